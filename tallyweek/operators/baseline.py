@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweek.operators.filters import is_national
@@ -15,16 +15,6 @@ GROWTH_FACTOR = 1.0131
 SEASON = ["state", "mmwr_week"]
 
 
-def _season_means(facts: DataFrame, years: tuple[int, int], base_year: int) -> DataFrame:
-    in_span = F.col("year").between(*years)
-    in_base = F.col("year") == base_year
-    means = facts.dropna(subset=SEASON).groupBy(*SEASON)
-    return means.agg(
-        F.avg(F.when(in_span, F.col("deaths"))).alias("avg_2015_2019"),
-        F.avg(F.when(in_base, F.col("deaths"))).alias("baseline_2015"),
-    )
-
-
 def seasonal_baseline(
     facts: DataFrame, years: tuple[int, int] = BASE_YEARS, base_year: int = BASE_YEAR
 ) -> DataFrame:
@@ -32,7 +22,13 @@ def seasonal_baseline(
 
     Both means come from one pass over the years that matter.
     """
-    return _season_means(facts.filter(F.col("year").between(*years) | (F.col("year") == base_year)), years, base_year)
+    in_span = F.col("year").between(*years)
+    in_base = F.col("year") == base_year
+    means = facts.filter(in_span | in_base).dropna(subset=SEASON).groupBy(*SEASON)
+    return means.agg(
+        F.avg(F.when(in_span, F.col("deaths"))).alias("avg_2015_2019"),
+        F.avg(F.when(in_base, F.col("deaths"))).alias("baseline_2015"),
+    )
 
 
 def with_expected(df: DataFrame, base_year: int = BASE_YEAR, growth: float = GROWTH_FACTOR) -> DataFrame:
@@ -48,22 +44,40 @@ def with_expected(df: DataFrame, base_year: int = BASE_YEAR, growth: float = GRO
     )
 
 
+def _attach_means(facts: DataFrame, years: tuple[int, int], base_year: int, one_row_per_week: bool) -> DataFrame:
+    if not one_row_per_week:
+        return facts.join(seasonal_baseline(facts, years, base_year), SEASON, "left")
+    season = Window.partitionBy(*SEASON)
+    known = F.col("state").isNotNull() & F.col("mmwr_week").isNotNull()
+
+    def mean(of_years):
+        return F.when(known, F.avg(F.when(of_years, F.col("deaths"))).over(season))
+
+    return facts.withColumns(
+        {
+            "avg_2015_2019": mean(F.col("year").between(*years)),
+            "baseline_2015": mean(F.col("year") == base_year),
+        }
+    )
+
+
 def with_baselines(
     facts: DataFrame,
     years: tuple[int, int] = BASE_YEARS,
     base_year: int = BASE_YEAR,
     growth: float = GROWTH_FACTOR,
+    one_row_per_week: bool = False,
 ) -> DataFrame:
     """Facts with both baselines, the expectation and both deviations.
 
-    The baseline is aggregated first (map-side combined, one row per state and
-    week) and joined back, rather than taken as a window over every fact. Its
-    side is deliberately not narrowed to the baseline years: both sides of the
-    join then start with the same plan, so facts that are themselves the result
-    of an aggregation are computed once and their exchange is reused.
+    In general the baseline is aggregated (map-side combined, one row per state
+    and week) and joined back, which reads the facts twice but copes with any
+    number of rows per state and week. Compiled facts hold one row per state,
+    year and week; say so with ``one_row_per_week``, and the means are taken
+    over a window instead: a group is then as long as the list of years, and
+    the facts, with everything that produces them, are computed once.
     """
-    df = facts.join(_season_means(facts, years, base_year), SEASON, "left")
-    df = with_expected(df, base_year, growth)
+    df = with_expected(_attach_means(facts, years, base_year, one_row_per_week), base_year, growth)
     return df.withColumns(
         {
             "deviation_from_avg": F.col("deaths") - F.col("avg_2015_2019"),

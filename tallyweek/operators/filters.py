@@ -35,13 +35,19 @@ def drop_missing(df: DataFrame, essentials: Sequence[str]) -> DataFrame:
     return df.dropna(subset=[c for c in essentials if c in df.columns])
 
 
-def is_national(state: Column | None = None) -> Column:
-    return (F.col("state") if state is None else state) == NATIONAL
+def is_national() -> Column:
+    """True on national rows, false on all others, also on rows without a state."""
+    return F.coalesce(F.col("state") == NATIONAL, F.lit(False))
+
+
+def side() -> Column:
+    """Which of the two output tables a row belongs to."""
+    return F.when(is_national(), F.lit("national")).otherwise(F.lit("state"))
 
 
 def split_national_state(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(national rows, all other rows including those without a state)."""
-    return df.filter(is_national()), df.filter(~F.coalesce(is_national(), F.lit(False)))
+    """(national rows, all other rows). Split a stored table, not a long plan."""
+    return df.filter(F.col("state") == NATIONAL), df.filter(~is_national())
 
 
 def select_states(df: DataFrame, states: Sequence[str] = (ALL_STATES,)) -> DataFrame:

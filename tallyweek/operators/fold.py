@@ -48,9 +48,10 @@ def fold_entities(
     * only the child occurs ("rename"): rows are renamed, nothing is summed;
     * only the parent occurs ("none"): rows stay as they are.
 
-    "auto" picks the case with two existence probes. A caller who knows the
-    case names it and saves the probes. The sum is combined map-side, so one
-    state holding most of the rows costs one partial row per task and week.
+    "auto" picks the case with two existence probes, cheap on landed files. A
+    caller who knows the case, or whose input is the result of a long plan,
+    names it and saves the probes. The sum is combined map-side, so one state
+    holding most of the rows costs one partial row per task and week.
     """
     if how == "auto":
         how = fold_mode(df, into, children)

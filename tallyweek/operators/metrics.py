@@ -89,6 +89,7 @@ METRICS = {
 def metric(df: DataFrame, states: Sequence[str], name: str) -> DataFrame:
     """One named metric as (metric, value); an unknown name has the value 0."""
     row = headline(df, states)
-    column = METRICS.get(name)
-    value = F.col(column).cast("double") if column in row.columns else F.lit(0.0)
-    return row.select(F.lit(name).alias("metric"), value.alias("value"))
+    label = F.lit(name).alias("metric")
+    if METRICS.get(name) in row.columns:
+        return row.select(label, F.col(METRICS[name]).cast("double").alias("value"))
+    return df.sparkSession.range(1).select(label, F.lit(0.0).alias("value"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweek.functions.numbers import (
@@ -244,34 +244,54 @@ def entity_total(facts: DataFrame, entity: str = CITY_PARENT) -> DataFrame:
 def summary(facts: DataFrame, data_type: str = "combined", year: int = 2019) -> DataFrame:
     """One row describing a table; state tables also list states and coverage.
 
-    Lists hold one entry per state, source or year of a cleaned table, which
-    the jurisdiction list bounds. Sources come in order of first appearance.
+    One pass: rows are reduced to state, year and source, then grouped three
+    ways at once (by year, by source, by state), then gathered. The lists hold
+    one entry per state, source or year of a cleaned table, so the jurisdiction
+    list bounds them. Sources come in order of first appearance.
     """
-    per_year = facts.groupBy("year", "data_source").agg(
+    cells = facts.groupBy("state", "year", "data_source").agg(
         F.count(F.lit(1)).alias("n"),
         total(F.col("deaths")).alias("d"),
-        F.min(F.struct("week", "state")).alias("first"),
+        F.min("week").alias("first_week"),
+        F.collect_set(F.when(F.col("year") == year, F.col("week"))).alias("weeks"),
     )
-    years = per_year.groupBy("year").agg(F.sum("d").alias("d"))
-    sources = per_year.groupBy("data_source").agg(F.min(F.struct("year", "first")).alias("first"))
-    row = per_year.agg(
+    by = ["year", "data_source", "state"]
+    first = F.struct("year", "first_week", "state")
+    # grouping sets blank the keys of the other sets, so keep the originals
+    cells = cells.withColumn("first", first)
+    level = F.grouping_id(*by)
+    sets = cells.groupingSets([["year"], ["data_source"], ["state"]], *by).agg(
+        level.alias("level"),
+        F.sum("n").alias("n"),
+        F.sum("d").alias("d"),
+        F.min("first").alias("first"),
+        F.array_size(F.array_distinct(F.flatten(F.collect_list("weeks")))).alias("weeks"),
+    )
+    per_year, per_source, per_state = (F.col("level") == code for code in (0b011, 0b101, 0b110))
+
+    def listed(condition: Column, *columns: str) -> Column:
+        return F.sort_array(F.collect_list(F.when(condition, F.struct(*columns))))
+
+    covered = per_state & (F.col("weeks") > 0)
+    row = sets.agg(
         F.lit(data_type).alias("data_type"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
+        total(F.when(per_year, F.col("n"))).alias("total_records"),
         F.concat_ws("-", F.min("year"), F.max("year")).alias("years_covered"),
-        F.sum("d").alias("total_deaths"),
+        F.sum(F.when(per_year, F.col("d"))).alias("total_deaths"),
+        listed(per_source & F.col("data_source").isNotNull(), "first", "data_source")["data_source"].alias("data_sources"),
+        F.map_from_entries(listed(per_year & F.col("year").isNotNull(), "year", "d")).alias("yearly_totals"),
+        listed(per_state & F.col("state").isNotNull(), "state")["state"].alias("state_coverage"),
+        F.count(F.when(covered, 1)).alias("states_with_data"),
+        F.count(F.when(covered & (F.col("weeks") >= FULL_YEAR_WEEKS), 1)).alias("states_with_full_year"),
+        F.avg(F.when(covered, F.col("weeks"))).alias("average_weeks_per_state"),
+    ).filter(F.col("total_records") > 0)
+    columns = ["data_type", "total_records", "years_covered", "total_deaths", "data_sources", "yearly_totals"]
+    if data_type != "state":
+        return row.select(*columns)
+    cover = F.struct("states_with_data", "states_with_full_year", "average_weeks_per_state")
+    return row.select(
+        *columns,
+        F.array_size("state_coverage").cast("bigint").alias("states_count"),
+        "state_coverage",
+        F.when(F.col("states_with_data") > 0, cover).alias(f"coverage_{year}"),
     )
-    in_order = F.sort_array(F.collect_list(F.struct("first", "data_source")))
-    extras = {
-        "data_sources": sources.agg(in_order["data_source"]).scalar(),
-        "yearly_totals": years.agg(
-            F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", "d"))))
-        ).scalar(),
-    }
-    if data_type == "state":
-        names = facts.select("state").dropna().distinct()
-        cover = coverage(facts, year)
-        extras["states_count"] = names.agg(F.count(F.lit(1))).scalar()
-        extras["state_coverage"] = names.agg(F.sort_array(F.collect_list("state"))).scalar()
-        extras[f"coverage_{year}"] = cover.select(F.struct(*cover.columns)).scalar()
-    return row.filter(F.col("total_records") > 0).withColumns(extras)
-

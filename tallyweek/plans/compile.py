@@ -95,6 +95,6 @@ def reports(facts: DataFrame) -> dict[str, DataFrame]:
 
 
 def chart(facts: DataFrame, kind: str, states: Sequence[str] = (ALL_STATES,)) -> tuple[DataFrame, DataFrame]:
-    """Data of one chart: its year-by-week points and its line ends."""
-    points = series(with_baselines(facts), kind, states)
+    """Data of one chart of compiled facts: year-by-week points and line ends."""
+    points = series(with_baselines(facts, one_row_per_week=True), kind, states)
     return points, endpoints(points)

@@ -250,9 +250,13 @@ oracle(
 oracle(
     "select_states",
     FACTS,
-    """SELECT 'all' AS pick, CAST(sum(deaths) AS BIGINT) AS deaths FROM f
-UNION ALL SELECT 'none', CAST(sum(deaths) AS BIGINT) FROM f
-UNION ALL SELECT 'mixed', CAST(sum(deaths) AS BIGINT) FROM f WHERE state IN ('Ohio', 'Alabama')""",
+    """SELECT 'All States, Ohio, Alabama' AS selection, year, CAST(sum(deaths) AS BIGINT) AS deaths
+FROM f WHERE state IN ('Ohio', 'Alabama') GROUP BY year""",
+)
+oracle(
+    "select_all_states",
+    FACTS,
+    "SELECT 'All States Combined' AS selection, year, CAST(sum(deaths) AS BIGINT) AS deaths FROM f GROUP BY year",
 )
 oracle(
     "state_choices",
@@ -266,18 +270,27 @@ oracle(
        CAST(sum(deaths) AS BIGINT) AS deaths
 FROM fo GROUP BY 1, 2, 3, 4, 5""",
 )
+LABELLED = f"""{EVENTS},
+e AS (SELECT year, week, label AS state, CASE WHEN event_id % 7 <> 5 THEN {number('number')} END AS deaths FROM ev)"""
 oracle(
     "fold_city_only",
-    FOLD,
-    f"""SELECT CASE WHEN {IS_CITY} THEN 'New York' ELSE state END AS state, nk, CAST(count(*) AS BIGINT) AS n,
-       CAST(sum(deaths) AS BIGINT) AS deaths
-FROM fo WHERE state <> 'New York' GROUP BY 1, 2""",
+    LABELLED,
+    f"""SELECT year, CASE WHEN {IS_CITY} THEN 'New York' ELSE state END AS state, CAST(count(*) AS BIGINT) AS n,
+       sum(deaths) AS deaths
+FROM e WHERE state IS NULL OR state <> 'New York' GROUP BY 1, 2""",
 )
 oracle(
     "fold_state_only",
-    FOLD,
-    f"""SELECT state, nk, CAST(count(*) AS BIGINT) AS n, CAST(sum(deaths) AS BIGINT) AS deaths
-FROM fo WHERE NOT {IS_CITY} GROUP BY 1, 2""",
+    LABELLED,
+    f"""SELECT year, state, CAST(count(*) AS BIGINT) AS n, sum(deaths) AS deaths
+FROM e WHERE state IS NULL OR NOT {IS_CITY} GROUP BY 1, 2""",
+)
+oracle(
+    "fold_both",
+    LABELLED
+    + f""", g AS (SELECT year, week, CASE WHEN {IS_CITY} THEN 'New York' ELSE state END AS state,
+  coalesce(sum(deaths), 0) AS deaths FROM e GROUP BY 1, 2, 3)""",
+    "SELECT year, state, CAST(count(*) AS BIGINT) AS n, sum(deaths) AS deaths FROM g GROUP BY 1, 2",
 )
 oracle(
     "first_per_entity",
@@ -501,8 +514,8 @@ oracle(
 )
 oracle(
     "metric_by_name",
-    W,
-    """SELECT 'total_deaths' AS metric, CAST(sum(deaths) AS DOUBLE) AS value FROM w
+    DASHBOARD,
+    f"""SELECT 'total_above_avg' AS metric, CAST(total_above_avg AS DOUBLE) AS value FROM (SELECT {ABOVE} FROM b)
 UNION ALL SELECT 'no such metric', 0.0::DOUBLE""",
 )
 oracle(

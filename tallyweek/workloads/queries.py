@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,24 +145,26 @@ def filter_country(spark, sf_dir):
 
 @query
 def split_national_state(spark, sf_dir):
-    national, states = filters.split_national_state(views.foldable(spark, sf_dir))
-    sides = [part.select(F.lit(side).alias("side"), "deaths") for side, part in (("national", national), ("state", states))]
-    both = sides[0].unionByName(sides[1])
-    return both.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("deaths").alias("deaths"))
+    rows = views.foldable(spark, sf_dir)
+    return rows.groupBy(filters.side().alias("side")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("deaths").alias("deaths")
+    )
+
+
+def _picked(spark, sf_dir, states):
+    rows = filters.select_states(views.facts(spark, sf_dir), states)
+    label = F.lit(filters.selection_label(states)).alias("selection")
+    return rows.groupBy("year").agg(F.sum("deaths").alias("deaths")).select(label, "year", "deaths")
 
 
 @query
 def select_states(spark, sf_dir):
-    rows = views.facts(spark, sf_dir)
-    picked = [
-        filters.select_states(rows, states).groupBy().agg(F.lit(name).alias("pick"), F.sum("deaths").alias("deaths"))
-        for name, states in (
-            ("all", ["All States"]),
-            ("none", []),
-            ("mixed", ["All States", "Ohio", "Alabama"]),
-        )
-    ]
-    return picked[0].unionByName(picked[1]).unionByName(picked[2])
+    return _picked(spark, sf_dir, ["All States", "Ohio", "Alabama"])
+
+
+@query
+def select_all_states(spark, sf_dir):
+    return _picked(spark, sf_dir, ["All States"])
 
 
 @query
@@ -174,20 +177,32 @@ def state_choices(spark, sf_dir):
 
 @query
 def fold_entities(spark, sf_dir):
-    rows = views.foldable(spark, sf_dir).drop("nk")
-    return fold.fold_entities(rows)
+    # the view is a long plan and known to hold both city and state
+    return fold.fold_entities(views.foldable(spark, sf_dir).drop("nk"), how="sum")
+
+
+def _fold_events(spark, sf_dir, without):
+    rows = views.dirty_events(spark, sf_dir).select(
+        "year", "week", F.col("label").alias("state"), to_number(F.col("number")).alias("deaths")
+    )
+    rows = rows.filter(~F.coalesce(without, F.lit(False)))
+    folded = fold.fold_entities(rows)
+    return folded.groupBy("year", "state").agg(F.count(F.lit(1)).alias("n"), F.sum("deaths").alias("deaths"))
 
 
 @query
 def fold_city_only(spark, sf_dir):
-    rows = views.foldable(spark, sf_dir).filter(F.col("state") != CITY_PARENT)
-    return fold.fold_entities(rows).groupBy("state", "nk").agg(F.count(F.lit(1)).alias("n"), F.sum("deaths").alias("deaths"))
+    return _fold_events(spark, sf_dir, F.col("state") == CITY_PARENT)
 
 
 @query
 def fold_state_only(spark, sf_dir):
-    rows = views.foldable(spark, sf_dir).filter(~F.col("state").contains("NYC") & (F.col("state") != CITY))
-    return fold.fold_entities(rows).groupBy("state", "nk").agg(F.count(F.lit(1)).alias("n"), F.sum("deaths").alias("deaths"))
+    return _fold_events(spark, sf_dir, F.col("state").contains(CITY) | F.col("state").contains("NYC"))
+
+
+@query
+def fold_both(spark, sf_dir):
+    return _fold_events(spark, sf_dir, F.lit(False))
 
 
 @query
@@ -320,7 +335,7 @@ def seasonal_baseline(spark, sf_dir):
 
 @query
 def expected_deaths(spark, sf_dir):
-    rows = baseline.with_baselines(views.weekly(spark, sf_dir))
+    rows = baseline.with_baselines(views.weekly(spark, sf_dir), one_row_per_week=True)
     return rows.select("state", "year", "week", "years_from_2015", six("growth_factor"), six("expected_deaths"))
 
 
@@ -357,7 +372,7 @@ def series_per_100k_known(spark, sf_dir):
 
 
 def _deviation_series(spark, sf_dir, kind, states=("All States",)):
-    points = series.series(baseline.with_baselines(views.facts(spark, sf_dir)), kind, states)
+    points = series.series(baseline.with_baselines(views.facts(spark, sf_dir), one_row_per_week=True), kind, states)
     return points.select("year", "mmwr_week", six("value"), "n_missing_baseline", "selection")
 
 
@@ -394,7 +409,7 @@ def excess_vs_baseline(spark, sf_dir):
 
 
 def _dashboard(spark, sf_dir):
-    return baseline.with_baselines(_facts_with_population(spark, sf_dir))
+    return baseline.with_baselines(_facts_with_population(spark, sf_dir), one_row_per_week=True)
 
 
 @query
@@ -424,7 +439,7 @@ def metric_selection(spark, sf_dir):
 @query
 def metric_by_name(spark, sf_dir):
     rows = _dashboard(spark, sf_dir)
-    known = metrics.metric(rows, ["All States"], "total_deaths")
+    known = metrics.metric(rows, ["All States"], "total_above_avg")
     return known.unionByName(metrics.metric(rows, ["All States"], "no such metric"))
 
 
@@ -637,17 +652,19 @@ def sink_states(spark, sf_dir):
 
 
 def _compiled(spark, sf_dir, rules: Rules):
+    # each raw source is a long plan known to hold both city and state, so the
+    # fold is named rather than probed for
     return compile_facts(views.raw_sources(spark, sf_dir), views.facts_population(spark, sf_dir), rules)
 
 
 @query
 def flagship_compile(spark, sf_dir):
-    return _compiled(spark, sf_dir, DEFAULT)
+    return _compiled(spark, sf_dir, replace(DEFAULT, fold="sum"))
 
 
 @query
 def flagship_compile_parity(spark, sf_dir):
-    return _compiled(spark, sf_dir, PARITY)
+    return _compiled(spark, sf_dir, replace(PARITY, fold="sum"))
 
 
 @query
@@ -655,5 +672,5 @@ def flagship_deviation(spark, sf_dir):
     """Two sources to the deviation series, through every stage between."""
     best = combine.dedup_best(combine.union_sources(views.two_sources(spark, sf_dir)))
     rows = pop.with_rate(pop.attach_population(best, views.population(spark, sf_dir)))
-    points = series.series(baseline.with_baselines(rows), "deviation_avg")
+    points = series.series(baseline.with_baselines(rows, one_row_per_week=True), "deviation_avg")
     return points.select("year", "mmwr_week", six("value"), "n_missing_baseline", "selection")
