@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def to_number(text: Column, thousands: str | None = None) -> Column:
@@ -20,6 +21,14 @@ def to_number(text: Column, thousands: str | None = None) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def number_column(df: DataFrame, name: str, thousands: str | None = None) -> Column:
+    """A column as double, through text only if it is text."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return to_number(F.col(name), thousands)
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def round_half_even(value: Column, digits: int = 1) -> Column:
     """Scale, round to the nearest even integer, unscale."""
     scale = float(10**digits)

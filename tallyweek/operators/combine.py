@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyweek.functions.columns import completeness, with_week_pair
-from tallyweek.functions.numbers import to_number
+from tallyweek.functions.numbers import number_column
 from tallyweek.operators.filters import drop_missing, valid_jurisdictions, valid_measure
 from tallyweek.rules import DEFAULT, Rules
 from tallyweek.schema import CITY, CITY_PARENT, JURISDICTIONS
@@ -58,10 +58,14 @@ def dedup_best(df: DataFrame, keys: Sequence[str] = ("year", "week", "state")) -
 
 
 def clean(df: DataFrame, rules: Rules = DEFAULT, jurisdictions: Sequence[str] = tuple(JURISDICTIONS)) -> DataFrame:
-    """Coerce, drop incomplete rows, deduplicate, relabel, keep known states."""
+    """Coerce, drop incomplete rows, deduplicate, relabel, keep known states.
+
+    By default rows without a positive count leave before the dedup, so they
+    cannot displace a usable row; with ``relabel_first`` off they leave after.
+    """
     essentials = ["year", "state", "deaths", "week"]
     df = drop_missing(with_week_pair(df), essentials)
-    number = {c: to_number(F.col(c), rules.thousands) for c in ("year", "week", "mmwr_week", "deaths")}
+    number = {c: number_column(df, c, rules.thousands) for c in ("year", "week", "mmwr_week", "deaths")}
     df = drop_missing(df.withColumns(number), ["year", "week", "deaths"])
     df = df.withColumns(
         {

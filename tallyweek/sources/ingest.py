@@ -20,7 +20,7 @@ from tallyweek.functions.columns import (
     rename_present,
     typed_empty,
 )
-from tallyweek.functions.numbers import to_number
+from tallyweek.functions.numbers import number_column
 from tallyweek.operators.filters import exclude_totals, valid_measure, valid_week
 from tallyweek.operators.fold import fold_entities
 from tallyweek.rules import DEFAULT, Rules
@@ -68,7 +68,7 @@ def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     empty = _unusable(df, ["state", "deaths"], LABEL_DATED_FILE)
     if empty is not None:
         return empty
-    df = valid_measure(df.withColumn("deaths", to_number(F.col("deaths"), rules.thousands)))
+    df = valid_measure(df.withColumn("deaths", number_column(df, "deaths", rules.thousands)))
     df = exclude_totals(df)
     if "week_ending_date" in df.columns:
         day = parse_date(F.col("week_ending_date"), rules.offset_dates)
@@ -95,7 +95,7 @@ def ingest_country_series(
     if rules.weekly_only and "time_unit" in df.columns:
         df = df.filter(F.col("time_unit") == "weekly")
     df = rename_present(df, COUNTRY_SERIES_NAMES)
-    df = df.withColumns({c: to_number(F.col(c), rules.thousands) for c in ("year", "week", "deaths")})
+    df = df.withColumns({c: number_column(df, c, rules.thousands) for c in ("year", "week", "deaths")})
     df = df.filter(F.col("year").between(*years))
     df = df.withColumns({"state": F.lit(NATIONAL), "mmwr_week": F.col("week")})
     return _finish(df, LABEL_COUNTRY_SERIES)
@@ -109,9 +109,9 @@ def ingest_provisional(df: DataFrame, rules: Rules = DEFAULT, first_year: int =
         return empty
     df = df.withColumns(
         {
-            "year": to_number(F.col("year"), rules.thousands),
-            "mmwr_week": to_number(F.col("mmwr_week"), rules.thousands),
-            "deaths": to_number(F.col("total_deaths"), rules.thousands),
+            "year": number_column(df, "year", rules.thousands),
+            "mmwr_week": number_column(df, "mmwr_week", rules.thousands),
+            "deaths": number_column(df, "total_deaths", rules.thousands),
         }
     )
     df = valid_week(valid_measure(df.filter(F.col("year") >= first_year)), "mmwr_week")
@@ -128,13 +128,13 @@ def ingest_packed_week(
     if empty is not None:
         return empty
     df = df.filter(F.col("age") == age)
-    year, week = split_year_week(to_number(F.col(PACKED_WEEK_KEY), rules.thousands))
+    year, week = split_year_week(number_column(df, PACKED_WEEK_KEY, rules.thousands))
     df = df.withColumns(
         {
             "year": year.cast("double"),
             "week": week.cast("double"),
             "mmwr_week": week.cast("double"),
-            "deaths": to_number(F.col("deaths"), rules.thousands),
+            "deaths": number_column(df, "deaths", rules.thousands),
         }
     )
     df = valid_week(valid_measure(df.filter(F.col("year").between(*years))), "week")

@@ -756,9 +756,10 @@ oracle("flagship_compile", _compile(False), OUTPUT.format("data_source", "out"))
 oracle("flagship_compile_parity", _compile(True), OUTPUT.format("data_source", "out"))
 oracle(
     "flagship_deviation",
-    f"{BEST}, {baselines('best')}",
+    f"{BEST}, {baselines('best')}, {POP_ONLY}, {asof('b', 'pop', 'bp')}",
     f"""SELECT year, mmwr_week, {six('coalesce(sum(deviation_from_avg), 0)', 'value')},
        CAST(count(*) FILTER (WHERE deviation_from_avg IS NULL) AS BIGINT) AS n_missing_baseline,
        'All States Combined' AS selection
-FROM b GROUP BY year, mmwr_week""",
+FROM bp WHERE round_even(deaths / CAST(population AS DOUBLE) * 100000 * 10, 0) / 10 > 0
+GROUP BY year, mmwr_week""",
 )

@@ -669,8 +669,9 @@ def flagship_compile_parity(spark, sf_dir):
 
 @query
 def flagship_deviation(spark, sf_dir):
-    """Two sources to the deviation series, through every stage between."""
+    """Two sources to the deviation series of the weeks that have a population."""
     best = combine.dedup_best(combine.union_sources(views.two_sources(spark, sf_dir)))
     rows = pop.with_rate(pop.attach_population(best, views.population(spark, sf_dir)))
-    points = series.series(baseline.with_baselines(rows, one_row_per_week=True), "deviation_avg")
+    rows = baseline.with_baselines(rows, one_row_per_week=True)
+    points = series.series(rows.filter(F.col("mortality_rate_per_100k") > 0), "deviation_avg")
     return points.select("year", "mmwr_week", six("value"), "n_missing_baseline", "selection")

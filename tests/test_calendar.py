@@ -1,0 +1,138 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week, week_ending
+
+
+def weeks(spark, rule, *days):
+    frame = spark.createDataFrame([(d,) for d in days], "day date")
+    year, week = epi_week(F.col("day"), rule)
+    return [(r[1], r[2]) for r in sorted(frame.select("day", year, week).collect())]
+
+
+@pytest.mark.parametrize(
+    "rule, day, expected",
+    [
+        ("first_sunday", "2019-01-05", (2018, 52)),
+        ("first_sunday", "2019-01-12", (2019, 1)),
+        ("first_sunday", "2019-12-28", (2019, 51)),
+        ("first_sunday", "2017-12-31", (2017, 53)),
+        ("first_sunday", "2018-01-06", (2017, 53)),
+        ("mmwr", "2019-01-05", (2019, 1)),
+        ("mmwr", "2018-01-06", (2018, 1)),
+        ("mmwr", "2020-01-04", (2020, 1)),
+        ("mmwr", "2021-01-02", (2020, 53)),
+    ],
+)
+def test_week_cases(spark, rule, day, expected):
+    assert weeks(spark, rule, dt.date.fromisoformat(day)) == [expected]
+
+
+def brute_first_sunday(day):
+    def start(year):
+        first = dt.date(year, 1, 1)
+        return first + dt.timedelta((6 - first.weekday()) % 7)
+
+    year = day.year if day >= start(day.year) else day.year - 1
+    return year, (day - start(year)).days // 7 + 1
+
+
+def brute_mmwr(day):
+    sunday = day - dt.timedelta((day.weekday() + 1) % 7)
+    inside = [sunday + dt.timedelta(i) for i in range(7)]
+    year = next(y for y in (day.year - 1, day.year, day.year + 1) if sum(d.year == y for d in inside) >= 4)
+    week = 0
+    probe = sunday
+    while sum((probe + dt.timedelta(i)).year == year for i in range(7)) >= 4:
+        week += 1
+        probe -= dt.timedelta(7)
+    return year, week
+
+
+@pytest.mark.parametrize("rule, brute", [("first_sunday", brute_first_sunday), ("mmwr", brute_mmwr)])
+def test_every_day_1994_to_2026(spark, rule, brute):
+    first = dt.date(1994, 1, 1)
+    days = [first + dt.timedelta(i) for i in range((dt.date(2027, 1, 1) - first).days)]
+    assert weeks(spark, rule, *days) == [brute(d) for d in days]
+
+
+def test_week_53_survives(spark):
+    assert weeks(spark, "first_sunday", dt.date(2023, 12, 31)) == [(2023, 53)]
+
+
+def test_unknown_rule(spark):
+    with pytest.raises(ValueError):
+        epi_week(F.lit(None), "iso")
+
+
+def test_week_ending_is_saturday(spark):
+    frame = spark.createDataFrame([(dt.date(2019, 1, d),) for d in (5, 6, 12)], "day date")
+    got = [r[0] for r in frame.select(week_ending(F.col("day"))).collect()]
+    assert got == [dt.date(2019, 1, 5), dt.date(2019, 1, 12), dt.date(2019, 1, 12)]
+
+
+def test_shift_clamps_and_keeps_missing(make, rows):
+    frame = make("id int, w double", [(1, 1.0), (2, 2.0), (3, 52.0), (4, None), (5, 53.0)])
+    assert rows(frame.select("id", shift_weeks(F.col("w")))) == [(1, 1.0), (2, 1.0), (3, 51.0), (4, None), (5, 52.0)]
+    assert rows(frame.select("id", shift_weeks(F.col("w"), 0)))[0] == (1, 1.0)
+
+
+def test_saturdays_of_2019_collapse_when_shifted(spark):
+    days = [(dt.date(2019, 1, 5) + dt.timedelta(7 * i),) for i in range(52)]
+    _, week = epi_week(F.col("day"), "first_sunday")
+    shifted = spark.createDataFrame(days, "day date").select(shift_weeks(week).alias("w"))
+    counts = {r.w: r["count"] for r in shifted.groupBy("w").count().collect()}
+    assert len(counts) == 51 and counts[1] == 2 and counts[51] == 1
+
+
+def test_split(make, rows):
+    year, week = split_year_week(F.col("p"))
+    frame = make("p double", [(201501.0,), (201853.0,), (None,)])
+    assert rows(frame.select(year, week)) == [(2015, 1), (2018, 53), (None, None)]
+
+
+JAN5 = dt.date(2019, 1, 5)
+DATES = [
+    ("1/5/2019", JAN5),
+    ("13/02/2019", dt.date(2019, 2, 13)),
+    ("2019/1/5", JAN5),
+    ("2019-1-5", JAN5),
+    ("2019-01-05", JAN5),
+    (" 2019-01-05 ", JAN5),
+    ("01/05/19", JAN5),
+    ("13/02/19", dt.date(2019, 2, 13)),
+    ("01/05/99", dt.date(1999, 1, 5)),
+    ("2019-01-05T00:00:00.000", JAN5),
+    ("2019-01-05 10:20", JAN5),
+    ("January 5, 2019", JAN5),
+    ("Jan 5, 2019", JAN5),
+    ("01/05/2019 12:00:00 AM", JAN5),
+    ("2019-01-05T00:00:00Z", JAN5),
+    ("2019-01-05T23:00:00-05:00", JAN5),
+    ("not a date", None),
+    ("2019-02-30", None),
+    ("31/31/2019", None),
+    ("99/99/99", None),
+    ("2019", None),
+    ("2019-01", None),
+    ("", None),
+    (None, None),
+]
+
+
+def test_parse_date(spark):
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(DATES)], "id int, t string")
+    got = {r[0]: r[1] for r in frame.select("id", parse_date(F.col("t"))).collect()}
+    assert got == {i: d for i, (_, d) in enumerate(DATES)}
+
+
+def test_offset_dates_can_be_refused(make, rows):
+    frame = make("id int, t string", [(1, "2019-01-05T00:00:00Z"), (2, "2019-01-05T00:00:00.000")])
+    assert rows(frame.select("id", parse_date(F.col("t"), offset_dates=False))) == [(1, None), (2, JAN5)]
+
+
+def test_real_date_columns_pass_through(make, rows):
+    frame = make("d date, t timestamp", [(JAN5, dt.datetime(2019, 1, 5, 13, 0))])
+    assert rows(frame.select(parse_date(F.col("d")), parse_date(F.col("t")))) == [(JAN5, JAN5)]

@@ -1,0 +1,56 @@
+import math
+
+from pyspark.sql import functions as F
+
+from tallyweek.functions.numbers import (
+    number_column,
+    pct_change,
+    per_100k,
+    round_half_even,
+    signed_pct_text,
+    thousands_text,
+    to_number,
+    total,
+)
+
+CASES = [
+    ("1,234", None), (" 12 ", 12.0), ("2019/2020", None), ("", None), ("nan", None), ("NaN", None),
+    ("1.0d", None), ("1.0D", None), ("3f", None), ("1e3", 1000.0), ("-5", -5.0), ("+5", 5.0), ("abc", None),
+    ("inf", math.inf), (None, None), ("0", 0.0), (".5", 0.5),
+]
+
+
+def test_to_number(spark):
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "id int, t string")
+    got = {r[0]: r[1] for r in frame.select("id", to_number(F.col("t"))).collect()}
+    assert got == {i: v for i, (_, v) in enumerate(CASES)}
+
+
+def test_thousands_are_opt_in(make, rows):
+    assert rows(make("t string", [("1,234,567",)]).select(to_number(F.col("t"), ","))) == [(1234567.0,)]
+
+
+def test_number_column_of_numbers(make, rows):
+    frame = make("a double, b int", [(math.nan, 1), (2.0, None)])
+    assert rows(frame.select(number_column(frame, "a"), number_column(frame, "b"))) == [(2.0, None), (None, 1.0)]
+
+
+def test_half_even(make, rows):
+    frame = make("x double", [(0.25,), (0.35,), (2.25,), (-0.25,), (None,)])
+    got = {r[0]: r[1] for r in rows(frame.select("x", round_half_even(F.col("x"))))}
+    # a plain round would give 0.3 and 2.3
+    assert got == {0.25: 0.2, 0.35: 0.4, 2.25: 2.2, -0.25: -0.2, None: None}
+
+
+def test_zero_division_is_null(make, rows):
+    frame = make("d double, p long", [(5.0, 0)])
+    assert rows(frame.select(per_100k(F.col("d"), F.col("p")), pct_change(F.col("p"), F.col("d")))) == [(None, None)]
+
+
+def test_total_of_nothing_is_zero(make, rows):
+    assert rows(make("x double", [(None,)]).agg(total(F.col("x")))) == [(0.0,)]
+
+
+def test_report_text(make, rows):
+    frame = make("x double", [(1234567.0,)])
+    assert rows(frame.select(thousands_text(F.col("x")), signed_pct_text(F.lit(4.96)))) == [("1,234,567", "+5.0%")]

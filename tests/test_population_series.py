@@ -1,0 +1,170 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallyweek.operators import baseline, metrics, population, series
+
+POP = "year int, state string, population long"
+
+
+def test_asof_takes_the_latest_estimate_at_most_four_years_old(make, rows):
+    dimension = make(POP, [(2015, "a", 10), (2018, "a", 13), (2016, "b", 20), (2017, "c", None)])
+    facts = make(
+        "year int, state string",
+        [(2015, "a"), (2017, "a"), (2022, "a"), (2023, "a"), (2015, "b"), (2020, "b"), (2021, "b"), (2017, "c"), (2018, None)],
+    )
+    got = {(r.state, r.year): r.population for r in population.attach_population(facts, dimension).collect()}
+    assert got == {
+        ("a", 2015): 10, ("a", 2017): 10, ("a", 2022): 13, ("a", 2023): None,
+        ("b", 2015): None, ("b", 2020): 20, ("b", 2021): None, ("c", 2017): None, (None, 2018): None,
+    }
+
+
+def test_asof_never_multiplies_facts(make):
+    dimension = make(POP, [(2015, "a", 10), (2015, "a", 11), (2016, "a", 12)])
+    facts = make("year int, state string, population long", [(2015, "a", 1), (2015, "a", 1), (2016, "a", 1)])
+    got = sorted(r.population for r in population.attach_population(facts, dimension).collect())
+    assert got == [11, 11, 12]
+
+
+def test_exact_join(make, rows):
+    dimension = make(POP, [(2015, "a", 10)])
+    facts = make("year int, state string", [(2015, "a"), (2016, "a")])
+    assert rows(population.attach_population(facts, dimension, 0), "year", "population") == [(2015, 10), (2016, None)]
+
+
+def test_rate(make, rows):
+    frame = make("deaths double, population long", [(5.0, 0), (5.0, None), (123.0, 1000000), (25.0, 10000000)])
+    got = rows(population.with_rate(frame), "deaths", "mortality_rate_per_100k")
+    assert got == [(123.0, 12.3), (25.0, 0.2), (5.0, None), (5.0, None)]
+
+
+def test_coverage(make, rows):
+    frame = make("week int, population long", [(1, 5), (None, None), (2, 5), (3, 5)])
+    assert rows(population.population_coverage(frame)) == [(4, 3, 75.0, 1)]
+    assert rows(population.population_coverage(frame.drop("week")), "rows_missing_week") == [(4,)]
+
+
+def test_gap(make, rows):
+    frame = make(POP, [(2015, "United States", 100), (2015, "Ohio", 60), (2015, "Texas", 30), (2016, "Ohio", 1)])
+    assert rows(population.population_gap(frame)) == [(2015, 100, 90, 10), (2016, None, 1, None)]
+
+
+FACT = "year int, mmwr_week int, state string, deaths double"
+
+
+@pytest.mark.parametrize("one_row_per_week", [False, True])
+def test_baselines(make, one_row_per_week):
+    frame = make(
+        FACT,
+        [(2015, 1, "a", 100.0), (2016, 1, "a", 110.0), (2020, 1, "a", 200.0), (2020, 53, "a", 5.0), (2019, 2, "a", None),
+         (2015, None, "a", 7.0), (2015, 1, None, 8.0), (2016, 1, None, 9.0)],
+    )
+    got = {(r.year, r.mmwr_week, r.state): r for r in baseline.with_baselines(frame, one_row_per_week=one_row_per_week).collect()}
+    assert len(got) == 8
+    row = got[(2016, 1, "a")]
+    assert row.avg_2015_2019 == 105.0 and row.baseline_2015 == 100.0 and row.years_from_2015 == 1
+    assert row.expected_deaths == pytest.approx(101.31) and row.deviation_from_expected == pytest.approx(8.69)
+    assert got[(2020, 1, "a")].deviation_from_avg == 95.0
+    for key in [(2020, 53, "a"), (2015, None, "a"), (2015, 1, None), (2016, 1, None), (2019, 2, "a")]:
+        assert got[key].avg_2015_2019 is None and got[key].deviation_from_avg is None, key
+
+
+def test_excess_aligns_weeks(make, rows):
+    frame = make(
+        "year int, week int, state string, deaths double",
+        [(2020, 1, "United States", 5.0), (2020, 2, "United States", 9.0), (2017, 2, "United States", 4.0),
+         (2018, 2, "United States", 6.0), (2019, 3, "United States", 1.0), (2020, 3, "Ohio", 99.0), (2016, 4, "United States", 1.0)],
+    )
+    assert rows(baseline.excess_vs_baseline(frame)) == [
+        (1, 5.0, None, None), (2, 9.0, 5.0, 4.0), (3, None, 1.0, None),
+    ]
+
+
+def test_series_raw_drops_missing_weeks(make, rows):
+    frame = make(FACT, [(2015, 1, "a", 1.0), (2015, 1, "b", 2.0), (2015, None, "a", 9.0), (2015, 2, "a", None)])
+    assert rows(series.series(frame, "raw"), "mmwr_week", "value") == [(1, 3.0), (2, 0.0)]
+    assert rows(series.series(frame, "raw", ["a"]), "mmwr_week", "value", "selection") == [(1, 1.0, "a"), (2, 0.0, "a")]
+
+
+def test_ratio_of_sums(make, rows):
+    frame = make(FACT + ", population long", [(2015, 1, "a", 10.0, 100), (2015, 1, "b", 5.0, None), (2015, 2, "a", 1.0, 0)])
+    assert rows(series.series(frame, "deaths_per_100k"), "mmwr_week", "value") == [(1, 15000.0), (2, None)]
+    known = series.series(frame, "deaths_per_100k", require_population=True)
+    assert rows(known, "mmwr_week", "value") == [(1, 10000.0), (2, None)]
+
+
+def test_no_population_column_is_an_empty_series(make):
+    got = series.series(make(FACT, [(2015, 1, "a", 1.0)]), "deaths_per_100k")
+    assert got.columns == ["year", "mmwr_week", "value", "selection"] and got.count() == 0
+
+
+def test_deviation_without_baseline_counts_as_zero(make, rows):
+    frame = baseline.with_baselines(make(FACT, [(2020, 53, "a", 5.0), (2015, 1, "a", 3.0), (2020, 1, "a", 7.0)]))
+    for kind in ("deviation_avg", "deviation_expected"):
+        got = {(r.year, r.mmwr_week): (r.value, r.n_missing_baseline) for r in series.series(frame, kind).collect()}
+        assert got[(2020, 53)] == (0.0, 1) and got[(2015, 1)] == (0.0, 0)
+
+
+def test_unknown_series(make):
+    with pytest.raises(ValueError):
+        series.series(make(FACT, []), "pie")
+
+
+def test_endpoints(make, rows):
+    points = make("year int, mmwr_week int, value double", [(2015, 1, 5.0), (2015, 52, 7.0), (2025, 3, 1.0)])
+    assert rows(series.endpoints(points)) == [(2015, 52, 7.0, "baseline", "#2E8B57"), (2025, 3, 1.0, "current", "#1E90FF")]
+
+
+def test_bands(make, rows):
+    frame = make("year int", [(y,) for y in (2014, 2015, 2019, 2020, 2022, 2023, 2024, 2025, 2026)])
+    got = [r[0] for r in frame.select(series.year_band(F.col("year"))[0]).collect()]
+    assert got == ["other", "baseline", "baseline", "pandemic", "pandemic", "recent", "recent", "current", "other"]
+
+
+FULL = "year int, mmwr_week int, state string, deaths double, population long, deviation_from_avg double, deviation_from_expected double"
+
+
+def test_period_rate_by_hand(make):
+    frame = make(FULL, [(2015, 1, "a", 10.0, 1000, None, None), (2015, 2, "a", 20.0, 1000, None, None)])
+    row = metrics.headline(frame).first()
+    # 30 / 2000 * 1e5 * 2 / (5 * 52.18) = 11.4987...
+    assert row.rate_2015_2019 == 11.5
+    assert row.rate_pooled_weekly_2015_2019 == 1500.0
+    assert row.rate_pooled_annual_2015_2019 == pytest.approx(1500 * 52.18)
+    assert row.rate_2020_2022 == 0.0 and row.rate_2023_2025 == 0.0
+    assert row.total_deaths == 30
+
+
+def test_recent_period_divides_by_years_present(make):
+    frame = make(FULL, [(2023, 1, "a", 10.0, 1000, None, None), (2024, 1, "a", 10.0, 1000, None, None)])
+    expected = round(20 / 2000 * 1e5 * 2 / (2 * 52.18), 1)
+    assert metrics.headline(frame).first().rate_2023_2025 == expected
+
+
+def test_positive_excess_is_truncated(make):
+    deviations = [(2020, 3.6), (2021, -5.0), (2022, 1.2), (2020, None), (2019, 50.0), (2023, 50.0)]
+    frame = make(FULL, [(y, 1, "a", 1.0, 10, d, d) for y, d in deviations])
+    row = metrics.headline(frame).first()
+    assert (row.total_above_avg, row.total_above_expected) == (4, 4)
+
+
+def test_metric_of_nothing(make, rows):
+    empty = make(FULL, [])
+    assert rows(metrics.metric(empty, ["All States"], "total_deaths")) == [("total_deaths", 0.0)]
+    assert rows(metrics.metric(empty, ["All States"], "deaths_per_100k_2015_2019")) == [("deaths_per_100k_2015_2019", 0.0)]
+    assert rows(metrics.metric(empty, ["All States"], "nonsense")) == [("nonsense", 0.0)]
+
+
+def test_metrics_without_population_column(make):
+    row = metrics.headline(make(FACT, [(2015, 1, "a", 10.0)])).first()
+    assert row.rate_2015_2019 == 0.0 and row.total_deaths == 10
+
+
+def test_zero_population(make):
+    frame = make(FULL, [(2015, 1, "a", 10.0, 0, None, None)])
+    assert metrics.headline(frame).first().rate_2015_2019 == 0.0
+
+
+def test_selection_of_metrics(make):
+    frame = make(FULL, [(2015, 1, "a", 10.0, 10, None, None), (2015, 1, "b", 5.0, 10, None, None)])
+    assert metrics.headline(frame, ["b"]).first().total_deaths == 5
