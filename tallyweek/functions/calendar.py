@@ -11,7 +11,7 @@ _ANCHOR_DAY = {"first_sunday": 0, "mmwr": 3}
 
 
 def epi_week(day: Column, rule: str = "mmwr") -> tuple[Column, Column]:
-    """(year, week) of a date; weeks run Sunday to Saturday."""
+    """(year, week) of a date column; weeks run Sunday to Saturday."""
     if rule not in _ANCHOR_DAY:
         raise ValueError(f"unknown week rule {rule!r}; expected one of {sorted(_ANCHOR_DAY)}")
     anchor = F.date_add(day, F.lit(1 + _ANCHOR_DAY[rule]) - F.dayofweek(day))

@@ -53,13 +53,17 @@ def _finish(df: DataFrame, label: str) -> DataFrame:
     return keep_available(df.withColumn("data_source", F.lit(label)), [*SOURCE_COLUMNS, "row_ord"])
 
 
-def _iso_dates(df: DataFrame, rules: Rules) -> DataFrame:
+def _with_day(df: DataFrame, rules: Rules) -> DataFrame:
+    """The parsed date as a column of its own, so that it is parsed once."""
+    return df.withColumn("day", parse_date(F.col("week_ending_date"), rules.offset_dates))
+
+
+def _one_spelling(df: DataFrame, rules: Rules) -> DataFrame:
     """One spelling per date, so that equal weeks meet when folded."""
-    if rules.text_dates or "week_ending_date" not in df.columns:
+    if rules.text_dates:
         return df
-    raw = F.col("week_ending_date")
-    iso = F.date_format(parse_date(raw, rules.offset_dates), "yyyy-MM-dd")
-    return df.withColumn("week_ending_date", F.coalesce(iso, raw.cast("string")))
+    iso = F.date_format("day", "yyyy-MM-dd")
+    return df.withColumn("week_ending_date", F.coalesce(iso, F.col("week_ending_date").cast("string")))
 
 
 def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
@@ -71,17 +75,15 @@ def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     df = valid_measure(df.withColumn("deaths", number_column(df, "deaths", rules.thousands)))
     df = exclude_totals(df)
     if "week_ending_date" in df.columns:
-        day = parse_date(F.col("week_ending_date"), rules.offset_dates)
-        _, week = epi_week(day, rules.week_rule)
-        week = shift_weeks(week, rules.dated_file_shift)
+        df = _with_day(df, rules)
+        _, week = epi_week(F.col("day"), rules.week_rule)
+        df = df.withColumn("week", shift_weeks(week, rules.dated_file_shift).cast("double"))
+        df = _one_spelling(df, rules)
     else:
         log.warning("%s: no week-ending date, weeks are unknown", LABEL_DATED_FILE)
-        week = F.lit(None)
-    week = week.cast("double")
-    df = df.withColumns(
-        {"year": F.lit(float(rules.dated_file_year)), "week": week, "mmwr_week": week}
-    )
-    return fold_entities(_finish(_iso_dates(df, rules), LABEL_DATED_FILE), how=rules.fold)
+        df = df.withColumn("week", F.lit(None).cast("double"))
+    df = df.withColumns({"year": F.lit(float(rules.dated_file_year)), "mmwr_week": F.col("week")})
+    return fold_entities(_finish(df, LABEL_DATED_FILE), how=rules.fold)
 
 
 def ingest_country_series(
@@ -116,7 +118,9 @@ def ingest_provisional(df: DataFrame, rules: Rules = DEFAULT, first_year: int =
     )
     df = valid_week(valid_measure(df.filter(F.col("year") >= first_year)), "mmwr_week")
     df = df.withColumn("week", F.col("mmwr_week"))
-    return fold_entities(_finish(_iso_dates(df, rules), LABEL_PROVISIONAL), how=rules.fold)
+    if "week_ending_date" in df.columns and not rules.text_dates:
+        df = _one_spelling(_with_day(df, rules), rules)
+    return fold_entities(_finish(df, LABEL_PROVISIONAL), how=rules.fold)
 
 
 def ingest_packed_week(

@@ -6,8 +6,6 @@ on the order of addition.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -41,12 +39,6 @@ def six(name: str, column: str | None = None) -> Column:
     return round_half_even(F.col(column or name).cast("double"), 6).alias(name)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared place the session names."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyweek-")
-    return f"{root.rstrip('/')}/tallyweek/{name}-{uuid.uuid4().hex}"
-
-
 # --- calendar and text -------------------------------------------------------
 
 
@@ -609,7 +601,7 @@ def ingest_packed_week(spark, sf_dir):
 
 @query
 def scan_csv_(spark, sf_dir):
-    path = scratch(spark, "scan")
+    path = views.scratch(spark, "scan")
     rows = views.weekly(spark, sf_dir).select("year", "week", "state", "week_ending_date", "deaths")
     rows.write.option("header", True).csv(path)
     text = scan_csv(spark, path)
@@ -639,21 +631,21 @@ def compile_states(spark, sf_dir):
 
 @query
 def sink_national(spark, sf_dir):
-    written = write_outputs(_finished(spark, sf_dir), scratch(spark, "out"))
+    written = write_outputs(_finished(spark, sf_dir), views.scratch(spark, "out"))
     return scan_compiled(spark, written["national"])
 
 
 @query
 def sink_states(spark, sf_dir):
-    path = scratch(spark, "states")
+    path = views.scratch(spark, "states")
     states = filters.split_national_state(_finished(spark, sf_dir))[1]
     write_csv(states, path, ["year", "week", "state"])
     return scan_compiled(spark, path)
 
 
 def _compiled(spark, sf_dir, rules: Rules):
-    # each raw source is a long plan known to hold both city and state, so the
-    # fold is named rather than probed for
+    # the raw sources are known to hold both city and state, so the fold is named
+    # rather than probed for
     return compile_facts(views.raw_sources(spark, sf_dir), views.facts_population(spark, sf_dir), rules)
 
 

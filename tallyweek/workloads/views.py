@@ -7,8 +7,12 @@ customer counts (population) or from the event stream (dirty text).
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyweek.functions.calendar import epi_week, week_ending
 from tallyweek.schema import CITY, CITY_PARENT, JURISDICTIONS, NATIONAL
@@ -25,8 +29,29 @@ FOLD_NAMES = {0: NATIONAL, 1: CITY_PARENT, 2: CITY, 3: "Bronx NYC", 4: "nyc lowe
 EVENT_NAMES = [NATIONAL, CITY_PARENT, CITY, "Bronx NYC", "Ohio", "Texas", "Total", None]
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from a file footer once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared place the session names."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyweek-")
+    return f"{root.rstrip('/')}/tallyweek/{name}-{uuid.uuid4().hex}"
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a table out and read it back: what follows starts from files."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,8 +219,12 @@ def raw_packed_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four raw layouts cut out of ``weekly``, with dirt in each."""
-    rows = weekly(spark, sf_dir).withColumn("label", _name_of(SOURCE_NAMES))
+    """All four raw layouts cut out of ``weekly``, with dirt in each.
+
+    The counts are landed first, as real sources are, so the orders behind them
+    are read once and not once per layout.
+    """
+    rows = landed(weekly(spark, sf_dir), "weekly").withColumn("label", _name_of(SOURCE_NAMES))
     nk, year, week, deaths = (F.col(c) for c in ("nk", "year", "week", "deaths"))
     us_date = F.date_format(F.col("week_ending_date").cast("date"), "M/d/yyyy")
     text = deaths.cast("string")
