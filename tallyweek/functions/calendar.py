@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,36 +38,52 @@ def split_year_week(packed: Column) -> tuple[Column, Column]:
     return F.floor(packed / 100).try_cast("int"), F.pmod(packed, F.lit(100)).try_cast("int")
 
 
-def _as_date(text: Column, *patterns: str) -> Column:
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(p)).cast("date") for p in patterns))
+_TIME = r"\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?"
+_OFFSET = r"( ?(Z|[+-]\d{2}:?\d{2}))"
+_MONTH_NAME = r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$"
 
 
 def parse_date(text: Column, offset_dates: bool = True) -> Column:
     """Date from text in any of the accepted spellings, else null.
 
-    Each spelling is gated by its shape, because the pattern parser on its own
-    would read a two-digit year as a year of the first century. Month-first is
-    tried before day-first, so ``1/5/2019`` is 5 January and ``13/02/2019`` is
-    13 February.
+    Accepted: year-month-day with dashes or slashes, ISO date and time, month
+    or day first with slashes (also with a two-digit year or a time), and month
+    names. Month-first goes before day-first, so ``1/5/2019`` is 5 January and
+    ``13/02/2019`` is 13 February. A two-digit year is the one nearest to today.
+
+    The parts are put in year-month-day order for one cast, much cheaper than
+    trying one pattern parser after another. Every spelling is gated by its
+    shape, because the cast alone would accept bare years and trailing text.
     """
     text = F.trim(text.cast("string"))
-    first_token = F.substring_index(text, " ", 1)
-    offset = r"( ?(Z|[+-]\d{2}:?\d{2}))"
-    iso_time = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
-    iso_shape = iso_time + offset + "?$" if offset_dates else iso_time + "$"
-    short_year = _as_date(text, "M/d/yy", "d/M/yy")
-    short_year = F.when(
-        F.year(short_year) >= F.year(F.current_date()) + 50, F.add_months(short_year, -1200)
-    ).otherwise(short_year)
+    year_first = (
+        r"^\d{4}(/\d{1,2}/\d{1,2}|-\d{1,2}-\d{1,2}|-\d{2}-\d{2}[T ]"
+        + _TIME
+        + (_OFFSET + "?" if offset_dates else "")
+        + ")$"
+    )
+    day = F.substring_index(F.substring_index(text, "T", 1), " ", 1)
+    by_year = F.translate(day, "/", "-").try_cast("date")
+
+    year_last = r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})( " + _TIME + r"( ?[AaPp][Mm])?)?$"
+    day = F.substring_index(text, " ", 1)
+    first = F.substring_index(text, "/", 1)
+    pair = F.substring_index(day, "/", 2)
+    year = F.substring_index(day, "/", -1)
+    last_of_this_century = f"{(datetime.date.today().year + 50) % 100:02d}"
+    century = (
+        F.when(F.length(year) == 4, F.lit(""))
+        .when(year < last_of_this_century, F.lit("20"))
+        .otherwise(F.lit("19"))
+    )
+    month_first = (F.length(first) == 1) | (first <= "12")
+    swapped = F.concat(F.substring_index(pair, "/", -1), F.lit("-"), first)
+    month_day = F.when(month_first, F.translate(pair, "/", "-")).otherwise(swapped)
+    by_parts = F.concat(century, year, F.lit("-"), month_day).try_cast("date")
+
+    by_name = F.coalesce(*(F.try_to_timestamp(text, F.lit(p)).cast("date") for p in ("MMMM d, y", "MMM d, y")))
     return (
-        F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), _as_date(text, "y-M-d"))
-        .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), _as_date(text, "M/d/y", "d/M/y"))
-        .when(text.rlike(r"^\d{4}/\d{1,2}/\d{1,2}$"), _as_date(text, "y/M/d"))
-        .when(text.rlike(iso_shape), _as_date(F.substring(text, 1, 10), "y-M-d"))
-        .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), short_year)
-        .when(
-            text.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(:\d{2})?( ?[AaPp][Mm])?$"),
-            _as_date(first_token, "M/d/y", "d/M/y"),
-        )
-        .when(text.rlike(r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$"), _as_date(text, "MMMM d, y", "MMM d, y"))
+        F.when(text.rlike(year_first), by_year)
+        .when(text.rlike(year_last), by_parts)
+        .when(text.rlike(_MONTH_NAME), by_name)
     )

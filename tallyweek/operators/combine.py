@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tallyweek.functions.columns import completeness, with_week_pair
+from tallyweek.functions.columns import completeness, compute_once, with_week_pair
 from tallyweek.functions.numbers import number_column
 from tallyweek.operators.filters import drop_missing, valid_jurisdictions, valid_measure
 from tallyweek.rules import DEFAULT, Rules
@@ -66,7 +66,7 @@ def clean(df: DataFrame, rules: Rules = DEFAULT, jurisdictions: Sequence[str] =
     essentials = ["year", "state", "deaths", "week"]
     df = drop_missing(with_week_pair(df), essentials)
     number = {c: number_column(df, c, rules.thousands) for c in ("year", "week", "mmwr_week", "deaths")}
-    df = drop_missing(df.withColumns(number), ["year", "week", "deaths"])
+    df = drop_missing(compute_once(df, number), ["year", "week", "deaths"])
     df = df.withColumns(
         {
             "year": F.col("year").try_cast("int"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week
 from tallyweek.functions.columns import (
+    compute_once,
     discover_columns,
     keep_available,
     missing_columns,
@@ -53,15 +54,18 @@ def _finish(df: DataFrame, label: str) -> DataFrame:
     return keep_available(df.withColumn("data_source", F.lit(label)), [*SOURCE_COLUMNS, "row_ord"])
 
 
+def _typed(df: DataFrame, numbers: dict[str, str], rules: Rules) -> DataFrame:
+    """Numeric columns from their text."""
+    return compute_once(df, {name: number_column(df, text, rules.thousands) for name, text in numbers.items()})
+
+
 def _with_day(df: DataFrame, rules: Rules) -> DataFrame:
-    """The parsed date as a column of its own, so that it is parsed once."""
-    return df.withColumn("day", parse_date(F.col("week_ending_date"), rules.offset_dates))
+    """The parsed date as a column of its own, for the rows that are still left."""
+    return compute_once(df, {"day": parse_date(F.col("week_ending_date"), rules.offset_dates)})
 
 
-def _one_spelling(df: DataFrame, rules: Rules) -> DataFrame:
+def _one_spelling(df: DataFrame) -> DataFrame:
     """One spelling per date, so that equal weeks meet when folded."""
-    if rules.text_dates:
-        return df
     iso = F.date_format("day", "yyyy-MM-dd")
     return df.withColumn("week_ending_date", F.coalesce(iso, F.col("week_ending_date").cast("string")))
 
@@ -72,13 +76,12 @@ def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     empty = _unusable(df, ["state", "deaths"], LABEL_DATED_FILE)
     if empty is not None:
         return empty
-    df = valid_measure(df.withColumn("deaths", number_column(df, "deaths", rules.thousands)))
-    df = exclude_totals(df)
+    df = valid_measure(_typed(exclude_totals(df), {"deaths": "deaths"}, rules))
     if "week_ending_date" in df.columns:
         df = _with_day(df, rules)
         _, week = epi_week(F.col("day"), rules.week_rule)
         df = df.withColumn("week", shift_weeks(week, rules.dated_file_shift).cast("double"))
-        df = _one_spelling(df, rules)
+        df = df if rules.text_dates else _one_spelling(df)
     else:
         log.warning("%s: no week-ending date, weeks are unknown", LABEL_DATED_FILE)
         df = df.withColumn("week", F.lit(None).cast("double"))
@@ -97,7 +100,7 @@ def ingest_country_series(
     if rules.weekly_only and "time_unit" in df.columns:
         df = df.filter(F.col("time_unit") == "weekly")
     df = rename_present(df, COUNTRY_SERIES_NAMES)
-    df = df.withColumns({c: number_column(df, c, rules.thousands) for c in ("year", "week", "deaths")})
+    df = _typed(df, {"year": "year", "week": "week", "deaths": "deaths"}, rules)
     df = df.filter(F.col("year").between(*years))
     df = df.withColumns({"state": F.lit(NATIONAL), "mmwr_week": F.col("week")})
     return _finish(df, LABEL_COUNTRY_SERIES)
@@ -109,17 +112,11 @@ def ingest_provisional(df: DataFrame, rules: Rules = DEFAULT, first_year: int =
     empty = _unusable(df, ["year", "mmwr_week", "state", "total_deaths"], LABEL_PROVISIONAL)
     if empty is not None:
         return empty
-    df = df.withColumns(
-        {
-            "year": number_column(df, "year", rules.thousands),
-            "mmwr_week": number_column(df, "mmwr_week", rules.thousands),
-            "deaths": number_column(df, "total_deaths", rules.thousands),
-        }
-    )
+    df = _typed(df, {"year": "year", "mmwr_week": "mmwr_week", "deaths": "total_deaths"}, rules)
     df = valid_week(valid_measure(df.filter(F.col("year") >= first_year)), "mmwr_week")
     df = df.withColumn("week", F.col("mmwr_week"))
     if "week_ending_date" in df.columns and not rules.text_dates:
-        df = _one_spelling(_with_day(df, rules), rules)
+        df = _one_spelling(_with_day(df, rules))
     return fold_entities(_finish(df, LABEL_PROVISIONAL), how=rules.fold)
 
 
@@ -131,16 +128,10 @@ def ingest_packed_week(
     empty = _unusable(df, ["age", PACKED_WEEK_KEY, "state", "deaths"], LABEL_PACKED_WEEK)
     if empty is not None:
         return empty
-    df = df.filter(F.col("age") == age)
-    year, week = split_year_week(number_column(df, PACKED_WEEK_KEY, rules.thousands))
-    df = df.withColumns(
-        {
-            "year": year.cast("double"),
-            "week": week.cast("double"),
-            "mmwr_week": week.cast("double"),
-            "deaths": number_column(df, "deaths", rules.thousands),
-        }
-    )
-    df = valid_week(valid_measure(df.filter(F.col("year").between(*years))), "week")
     # this layout has no date of its own; ignore one that happens to be there
-    return fold_entities(_finish(df.drop("week_ending_date"), LABEL_PACKED_WEEK), how=rules.fold)
+    df = df.filter(F.col("age") == age).drop("week_ending_date")
+    df = _typed(df, {"packed": PACKED_WEEK_KEY, "deaths": "deaths"}, rules)
+    year, week = (part.cast("double") for part in split_year_week(F.col("packed")))
+    df = df.withColumns({"year": year, "week": week, "mmwr_week": week})
+    df = valid_week(valid_measure(df.filter(F.col("year").between(*years))), "week")
+    return fold_entities(_finish(df, LABEL_PACKED_WEEK), how=rules.fold)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week, week_ending
-from tallyweek.functions.columns import discover_columns
+from tallyweek.functions.columns import compute_once, discover_columns
 from tallyweek.functions.numbers import round_half_even, to_number
 from tallyweek.operators import baseline, combine, filters, fold, metrics, quality, series
 from tallyweek.operators import population as pop
@@ -72,9 +72,9 @@ def week_range(spark, sf_dir):
 @query
 def parse_dates(spark, sf_dir):
     events = views.dirty_events(spark, sf_dir)
-    day = parse_date(F.col("date"))
-    year, week = epi_week(day, "first_sunday")
-    return events.select("event_id", "date", day.alias("parsed"), year.alias("year"), week.alias("week"))
+    parsed = compute_once(events.select("event_id", "date"), {"parsed": parse_date(F.col("date"))})
+    year, week = epi_week(F.col("parsed"), "first_sunday")
+    return parsed.select("event_id", "date", "parsed", year.alias("year"), week.alias("week"))
 
 
 @query
@@ -89,9 +89,10 @@ def coerce_numeric(spark, sf_dir):
 
 @query
 def split_year_week_(spark, sf_dir):
-    packed = to_number(F.col("`MMWR Year/Week`"))
-    year, week = split_year_week(packed)
-    parts = views.raw_packed_week(spark, sf_dir).select(year.alias("year"), week.alias("week"))
+    raw = views.raw_packed_week(spark, sf_dir).select("`MMWR Year/Week`")
+    packed = compute_once(raw, {"packed": to_number(F.col("`MMWR Year/Week`"))})
+    year, week = split_year_week(F.col("packed"))
+    parts = packed.select(year.alias("year"), week.alias("week"))
     return parts.groupBy("year", "week").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -107,14 +108,15 @@ def discover_columns_(spark, sf_dir):
 @query
 def valid_measure(spark, sf_dir):
     events = views.dirty_events(spark, sf_dir)
-    rows = filters.valid_measure(events.select("event_id", to_number(F.col("number")).alias("deaths")))
-    return rows.select("event_id", "deaths")
+    typed = compute_once(events.select("event_id", "number"), {"deaths": to_number(F.col("number"))})
+    return filters.valid_measure(typed).select("event_id", "deaths")
 
 
 @query
 def valid_week(spark, sf_dir):
-    events = views.raw_provisional(spark, sf_dir).select(to_number(F.col("`MMWR Week`")).alias("week"))
-    return filters.valid_week(events).groupBy("week").agg(F.count(F.lit(1)).alias("n"))
+    raw = views.raw_provisional(spark, sf_dir).select("`MMWR Week`")
+    typed = compute_once(raw, {"week": to_number(F.col("`MMWR Week`"))})
+    return filters.valid_week(typed).groupBy("week").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
