@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyweek.functions.numbers import number_column
 from tallyweek.schema import FACT, NA_TOKENS, POPULATION
 
 
@@ -33,14 +34,25 @@ def blank_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def scan_csv(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType | None = None,
-    row_order: bool = False,
-    multiline: bool = False,
-) -> DataFrame | None:
-    """Delimited text with a header; all columns text unless a schema is given.
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema by name, from text where need be.
+
+    Numbers go through double, so a count written as ``4858979.0`` by another
+    tool is read as the integer it is. Absent columns are null.
+    """
+
+    def cell(field: T.StructField):
+        if field.name not in df.columns:
+            return F.lit(None).cast(field.dataType)
+        if isinstance(field.dataType, T.NumericType):
+            return number_column(df, field.name).try_cast(field.dataType)
+        return F.col(field.name).cast(field.dataType)
+
+    return df.select(*(cell(field).alias(field.name) for field in schema.fields))
+
+
+def scan_csv(spark: SparkSession, path: str, row_order: bool = False, multiline: bool = False) -> DataFrame | None:
+    """Delimited text with a header; every column is text.
 
     Only the header line is read to learn the names, never the data. Files stay
     splittable unless ``multiline`` is set for quoted line breaks. With
@@ -54,8 +66,6 @@ def scan_csv(
         .option("multiLine", multiline)
         .option("enforceSchema", False)
     )
-    if schema is not None:
-        reader = reader.schema(schema)
     df = _if_present(lambda: reader.csv(path))
     if df is None:
         return None
@@ -74,18 +84,21 @@ def scan_landing(spark: SparkSession, root: str, source: str, row_order: bool =
     return scan_csv(spark, f"{root.rstrip('/')}/{source}", row_order=row_order)
 
 
-def scan_compiled(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame | None:
-    """A compiled fact table with its fixed schema."""
+def _scan_typed(spark: SparkSession, path: str, file_format: str, schema: T.StructType) -> DataFrame | None:
     if file_format == "csv":
-        return scan_csv(spark, path, schema=FACT)
-    return _if_present(lambda: spark.read.schema(FACT).format(file_format).load(path))
+        text = scan_csv(spark, path)
+        return None if text is None else conform(text, schema)
+    return _if_present(lambda: spark.read.schema(schema).format(file_format).load(path))
+
+
+def scan_compiled(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame | None:
+    """A compiled fact table, national or by state."""
+    return _scan_typed(spark, path, file_format, FACT)
 
 
 def scan_population(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame | None:
     """The population dimension in long form: year, state, population."""
-    if file_format == "csv":
-        return scan_csv(spark, path, schema=POPULATION)
-    return _if_present(lambda: spark.read.schema(POPULATION).format(file_format).load(path))
+    return _scan_typed(spark, path, file_format, POPULATION)
 
 
 def flatten_population(nested: DataFrame) -> DataFrame:

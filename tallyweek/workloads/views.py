@@ -42,8 +42,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared place the session names."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyweek-")
+    """A fresh folder in the shared place the session names.
+
+    Only a local session may do without one; a folder of one machine is of no
+    use to the executors of a cluster.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tallyweek-")
     return f"{root.rstrip('/')}/tallyweek/{name}-{uuid.uuid4().hex}"
 
 

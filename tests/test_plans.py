@@ -43,6 +43,34 @@ def test_orders_are_read_once(spark, sf_dir, name, scans):
     assert plan.count("FileScan parquet [o_custkey") == scans
 
 
+def test_hot_customer_is_split(spark, sf_dir, tmp_path):
+    """A customer with a third of all orders does not end up in one task."""
+    for name in ("customer", "nation"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.range(0, 600_000, 1, 8).selectExpr(
+        "id AS o_orderkey",
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE 1 + abs(xxhash64(id)) % 1000 END AS o_custkey",
+        "cast(date_add(date'1995-01-01', cast(abs(xxhash64(id, 1)) % 2000 AS int)) AS timestamp_ntz) AS o_orderdate",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        frame = QUERIES["metric_total"](spark, str(tmp_path))
+        assert frame.collect()[0][0] == 600_000
+        assert "SortMergeJoin(skew=true)" in physical(frame)
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_columns_and_filters_reach_the_scan(spark, sf_dir):
     plan = physical(QUERIES["series_raw"](spark, sf_dir))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan

@@ -41,8 +41,20 @@ def test_row_order_follows_the_file(spark, folder):
     assert got == list(range(500))
 
 
+def test_compiled_file_of_another_tool(spark, folder, rows):
+    path = folder(
+        "facts.csv",
+        "year,week,mmwr_week,state,deaths,population,mortality_rate_per_100k,data_source\n"
+        "2019,1,1,Ohio,2500.0,11689100.0,21.4,x\n2019,2,2,Ohio,2400,,,x\n",
+    )
+    assert rows(scan.scan_compiled(spark, path)) == [
+        (2019, 1, 1, None, "Ohio", 2500.0, 11689100, 21.4, "x"),
+        (2019, 2, 2, None, "Ohio", 2400.0, None, None, "x"),
+    ]
+
+
 def test_population_inputs(spark, folder, rows):
-    path = folder("pop.csv", "year,state,population\n2015,Ohio,10\n2016,Ohio,NA\n")
+    path = folder("pop.csv", "year,state,population\n2015,Ohio,10.0\n2016,Ohio,NA\n")
     long_form = scan.scan_population(spark, path)
     assert rows(long_form) == [(2015, "Ohio", 10), (2016, "Ohio", None)]
     nested = scan.population_from_dict(spark, {2015: {"Ohio": 10, "Texas": 20}, 2016: {"Ohio": 11}})
