@@ -17,7 +17,8 @@ def _if_present(load) -> DataFrame | None:
     try:
         return load()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        # no such path, or a folder without any file
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 

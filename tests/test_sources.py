@@ -34,6 +34,15 @@ def test_missing_path_is_no_source(spark, tmp_path):
     assert scan.scan_population(spark, str(tmp_path / "nowhere")) is None
 
 
+def test_empty_folder_and_empty_files(spark, tmp_path, folder):
+    (tmp_path / "provisional").mkdir()
+    assert scan.scan_landing(spark, str(tmp_path), "provisional") is None
+    folder("blank/a.csv", "")
+    folder("headed/a.csv", "State,Year\n")
+    for name in ("blank", "headed"):
+        assert ingest.ingest_provisional(scan.scan_landing(spark, str(tmp_path), name)).count() == 0
+
+
 def test_row_order_follows_the_file(spark, folder):
     body = "\n".join(str(i) for i in range(500))
     frame = scan.scan_csv(spark, folder("c.csv", "v\n" + body + "\n"), row_order=True)
