@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyweek.functions.columns import completeness, compute_once, with_week_pair
 from tallyweek.functions.numbers import number_column
@@ -66,7 +67,9 @@ def clean(df: DataFrame, rules: Rules = DEFAULT, jurisdictions: Sequence[str] =
     essentials = ["year", "state", "deaths", "week"]
     df = drop_missing(with_week_pair(df), essentials)
     number = {c: number_column(df, c, rules.thousands) for c in ("year", "week", "mmwr_week", "deaths")}
-    df = drop_missing(compute_once(df, number), ["year", "week", "deaths"])
+    has_text = any(isinstance(df.schema[c].dataType, StringType) for c in number)
+    df = compute_once(df, number) if has_text else df.withColumns(number)
+    df = drop_missing(df, ["year", "week", "deaths"])
     df = df.withColumns(
         {
             "year": F.col("year").try_cast("int"),

@@ -208,7 +208,7 @@ def first_per_entity(spark, sf_dir):
 
 @query
 def attach_first(spark, sf_dir):
-    rows = views.foldable(spark, sf_dir)
+    rows = views.landed(views.foldable(spark, sf_dir), "foldable")
     late = rows.withColumn("first_date", F.when(F.col("week") > 10, F.col("week_ending_date")))
     yearly = rows.groupBy("state", "year").agg(F.sum("deaths").alias("deaths"))
     return fold.attach_first(yearly, late, ["first_date"], ["year", "week", "nk"])
@@ -335,7 +335,8 @@ def expected_deaths(spark, sf_dir):
 
 @query
 def baseline_deviation(spark, sf_dir):
-    rows = baseline.with_baselines(views.weekly(spark, sf_dir))
+    # the general form reads its facts twice, so they are landed first
+    rows = baseline.with_baselines(views.landed(views.weekly(spark, sf_dir), "weekly"))
     return rows.select(
         "state",
         "year",

@@ -130,8 +130,11 @@ def foldable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def two_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Source A: dated rows of even nations. Source B: undated rows of all."""
-    rows = weekly(spark, sf_dir)
+    """Source A: dated rows of even nations. Source B: undated rows of all.
+
+    Both are cut from one landed table, so the orders are read once.
+    """
+    rows = landed(weekly(spark, sf_dir), "weekly")
     columns = ["year", "week", "mmwr_week", "state", "deaths"]
     dated = rows.filter(F.col("nk") % 2 == 0).select(*columns, "week_ending_date", F.lit("A").alias("data_source"))
     undated = rows.withColumn("deaths", F.col("deaths") * 10).select(*columns, F.lit("B").alias("data_source"))
