@@ -23,7 +23,7 @@ from tallyweek.functions.columns import (
 )
 from tallyweek.functions.numbers import number_column
 from tallyweek.operators.filters import exclude_totals, valid_measure, valid_week
-from tallyweek.operators.fold import fold_entities
+from tallyweek.operators.fold import fold_entities, fold_mode
 from tallyweek.rules import DEFAULT, Rules
 from tallyweek.schema import (
     COUNTRY_SERIES_NAMES,
@@ -66,10 +66,21 @@ def _with_day(df: DataFrame, rules: Rules) -> DataFrame:
 
 def _one_spelling(df: DataFrame) -> DataFrame:
     """One spelling per date, so that equal weeks meet when folded."""
-    iso = F.date_format("day", "yyyy-MM-dd")
+    iso = F.col("day").cast("string")
     return df.withColumn("week_ending_date", F.coalesce(iso, F.col("week_ending_date").cast("string")))
 
 
+def _fold_spellings(df: DataFrame, rules: Rules) -> tuple[DataFrame, str]:
+    """Sum rows of one date text before any date is parsed, where rows are summed.
+
+    Sums of sums are the same sums, so the fold by date that follows is not
+    changed, but dates are parsed once per group instead of once per row.
+    Returns the reduced rows and the fold that is still to be done.
+    """
+    how = fold_mode(df) if rules.fold == "auto" else rules.fold
+    return (fold_entities(df, how=how), how) if how == "sum" else (df, how)
+
+
 def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Single-year file: columns found by keyword, weeks derived from dates."""
     df = discover_columns(df)
@@ -77,6 +88,7 @@ def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     if empty is not None:
         return empty
     df = valid_measure(_typed(exclude_totals(df), {"deaths": "deaths"}, rules))
+    df, how = _fold_spellings(keep_available(df, ["week_ending_date", "state", "deaths", "row_ord"]), rules)
     if "week_ending_date" in df.columns:
         df = _with_day(df, rules)
         _, week = epi_week(F.col("day"), rules.week_rule)
@@ -86,7 +98,7 @@ def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
         log.warning("%s: no week-ending date, weeks are unknown", LABEL_DATED_FILE)
         df = df.withColumn("week", F.lit(None).cast("double"))
     df = df.withColumns({"year": F.lit(float(rules.dated_file_year)), "mmwr_week": F.col("week")})
-    return fold_entities(_finish(df, LABEL_DATED_FILE), how=rules.fold)
+    return fold_entities(_finish(df, LABEL_DATED_FILE), how=how)
 
 
 def ingest_country_series(
@@ -114,10 +126,13 @@ def ingest_provisional(df: DataFrame, rules: Rules = DEFAULT, first_year: int =
         return empty
     df = _typed(df, {"year": "year", "mmwr_week": "mmwr_week", "deaths": "total_deaths"}, rules)
     df = valid_week(valid_measure(df.filter(F.col("year") >= first_year)), "mmwr_week")
-    df = df.withColumn("week", F.col("mmwr_week"))
+    df = _finish(df.withColumn("week", F.col("mmwr_week")), LABEL_PROVISIONAL)
+    df, how = _fold_spellings(df, rules)
     if "week_ending_date" in df.columns and not rules.text_dates:
-        df = _one_spelling(_with_day(df, rules))
-    return fold_entities(_finish(df, LABEL_PROVISIONAL), how=rules.fold)
+        df = fold_entities(_one_spelling(_with_day(df, rules)).drop("day"), how=how)
+    elif how == "rename":
+        df = fold_entities(df, how=how)
+    return keep_available(df, [*SOURCE_COLUMNS, "row_ord"])
 
 
 def ingest_packed_week(

@@ -90,7 +90,7 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
         (year + YEAR_SHIFT).alias("year"),
         week.alias("week"),
         week.alias("mmwr_week"),
-        F.date_format("saturday", "yyyy-MM-dd").alias("week_ending_date"),
+        F.col("saturday").cast("string").alias("week_ending_date"),
         "deaths",
     )
 
