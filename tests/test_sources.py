@@ -188,3 +188,37 @@ def test_sorted_csv(spark, make, tmp_path):
         lines += body
     assert [line.split(",")[:2] for line in lines] == [["2019", "9"], ["2020", "1"], ["2020", "2"]]
     assert 'A "q", x' in {r.state for r in scan.scan_csv(spark, path).collect()}
+
+
+PROVISIONAL = "Year string, `MMWR Week` string, `Week Ending Date` string, State string, `Total Deaths` string"
+
+
+@pytest.mark.parametrize("rules", [DEFAULT, PARITY])
+def test_city_alone_is_renamed_not_summed(make, rows, rules):
+    twice = [("2020", "1", "2020-01-04", "New York City", "5")] * 2
+    got = rows(ingest.ingest_provisional(make(PROVISIONAL, twice), rules), "week", "state", "deaths")
+    assert got == [(1.0, "New York", 5.0)] * 2
+    dated = make(DATED, [("2019-01-12", "New York City", "5"), ("2019-01-12", "New York City", "5")])
+    assert rows(ingest.ingest_dated_file(dated, rules), "state", "deaths") == [("New York", 5.0)] * 2
+
+
+@pytest.mark.parametrize("rules", [DEFAULT, PARITY])
+def test_without_a_city_duplicates_stay(make, rows, rules):
+    twice = [("2020", "1", "2020-01-04", "Ohio", "5")] * 2
+    assert rows(ingest.ingest_provisional(make(PROVISIONAL, twice), rules), "state", "deaths") == [("Ohio", 5.0)] * 2
+
+
+def test_spellings_of_one_date_meet_across_three_rows(make, rows):
+    frame = make(
+        PROVISIONAL,
+        [
+            ("2020", "1", "2020-01-04", "New York", "1"),
+            ("2020", "1", "01/04/2020", "New York City", "2"),
+            ("2020", "1", "1/4/2020", "New York City", "4"),
+            ("2020", "1", None, "New York", "8"),
+            ("2020", "1", "soon", "New York", "16"),
+        ],
+    )
+    got = rows(ingest.ingest_provisional(frame), "week_ending_date", "deaths")
+    assert got == [("2020-01-04", 7.0), ("soon", 16.0), (None, 8.0)]
+    assert len(rows(ingest.ingest_provisional(frame, PARITY))) == 5
