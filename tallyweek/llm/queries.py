@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, language_id, mixing, quality_rules, sharding
+from . import bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, quality_rules, sharding, substring_dedup
 from .common import table
 
 
@@ -19,12 +19,21 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.removal(table(spark, sf_dir, "documents"), texts=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"), 16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
@@ -50,7 +59,9 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": mix_sources,
+    "op2_substring_dedup": repeated_passages,
     "op3_shard_documents": shard_documents,
+    "op4_ngram_jaccard": near_copies,
     "op5_exact_dedup": exact_copies,
     "op6_bpe_round_trip": bpe_round_trip,
     "op8_language_id": language,
@@ -96,6 +107,51 @@ SELECT doc_id, size, source_size, target,
     (greatest(least(words - start, size), 0) + greatest(least(words - start - source_size, size), 0)
         + greatest(least(words - start - 2 * source_size, size), 0))::BIGINT AS taken
 FROM lined
+""",
+    "op2_substring_dedup": r"""
+WITH split AS (
+    SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS words FROM documents
+),
+starts AS (
+    SELECT doc_id, unnest(range(1, len(words) - 11)) AS place, words FROM split WHERE len(words) >= 13
+),
+windows AS (SELECT doc_id, place, md5(array_to_string(words[place:place + 12], ' ')) AS window_hash FROM starts),
+earliest AS (SELECT doc_id, place, min(doc_id) OVER (PARTITION BY window_hash) AS first_id FROM windows),
+covered AS (
+    SELECT DISTINCT doc_id, place + step AS place FROM earliest, range(0, 13) steps(step) WHERE first_id < doc_id
+),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM split),
+kept AS (
+    SELECT p.doc_id, count(c.place) AS n_removed, string_agg(p.word, ' ' ORDER BY p.place) FILTER (WHERE c.place IS NULL) AS words
+    FROM placed p LEFT JOIN covered c ON p.doc_id = c.doc_id AND p.place = c.place GROUP BY p.doc_id
+)
+SELECT s.doc_id, len(s.words) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.words, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+""",
+    "op4_ngram_jaccard": r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(words[place:place + 3], ' ')) AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS place FROM split WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common_counts AS (
+    SELECT a.doc_id AS one, b.doc_id AS other, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+links AS (
+    SELECT one, other FROM common_counts JOIN sizes x ON one = x.doc_id JOIN sizes y ON other = y.doc_id
+    WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+reached(doc_id, met) AS (
+    SELECT doc_id, doc_id FROM split UNION SELECT r.doc_id, l.other FROM reached r JOIN links l ON r.met = l.one
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(met) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """,
     "op5_exact_dedup": """
 WITH folded AS (
