@@ -22,7 +22,6 @@ from . import packed
 from .common import cut
 from .graph import components, forest
 from .rolling import BASES, Block, mixed, span_hashes
-from .substring_dedup import _schema
 
 WIDTH = 4
 #: Two sets link if 100 * intersection >= PERCENT * union.
@@ -83,7 +82,7 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, block_bytes: int) ->
     def select(table: pa.Table, answers: pa.Table) -> pa.Table:
         count = table.num_rows
         if not count:
-            return pa.schema(_schema(schema)).empty_table()
+            return no_rows
         owner, hashes = shingles(Block(packed.texts_of(table), lower=True), width)
         keys, place, times = np.unique(hashes, return_inverse=True, return_counts=True)
         shared = ((times > 1) | packed.maybe_shared(keys, buckets, answers))[place]
@@ -103,6 +102,7 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, block_bytes: int) ->
         )
 
     schema = f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_key long, shared binary"
+    no_rows = packed.nothing(schema)
     answers = blocks.groupBy("block").applyInArrow(send, "bucket int, block int, key binary")
     answers = answers.groupBy("bucket").applyInArrow(packed.answer_shared, packed.ANSWER)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(select, schema)
@@ -150,7 +150,7 @@ def ordered_classes(classes: DataFrame, percent: int) -> DataFrame:
 
     def order(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows or not answers.num_rows:
-            return pa.schema(_schema(schema)).empty_table()
+            return no_rows
         keys, seen = np.concatenate(packed.unpacked(answers["key"], "<u8")), np.concatenate(packed.unpacked(answers["seen"], "<u4"))
         at = np.argsort(keys)
         keys, seen = keys[at], seen[at]
@@ -167,6 +167,7 @@ def ordered_classes(classes: DataFrame, percent: int) -> DataFrame:
         return pa.table({name: pa.array([row[i] for row in rows], kind) for i, (name, kind) in enumerate(zip(names, kinds, strict=True))})
 
     schema = "set_key long, n long, tokens binary, counts binary, prefix int"
+    no_rows = packed.nothing(schema)
     sent = grouped.groupBy("block").applyInArrow(send, "bucket int, block int, key binary, seen binary")
     answers = sent.groupBy("bucket").applyInArrow(count, "block int, key binary, seen binary")
     return grouped.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(order, schema)

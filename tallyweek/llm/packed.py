@@ -107,5 +107,13 @@ def maybe_shared(keys: np.ndarray, buckets: int, answers: pa.Table) -> np.ndarra
     return out
 
 
+def nothing(ddl: str) -> pa.Table:
+    """An empty Arrow table of a Spark schema; needs the session, so not for use in tasks."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(ddl)).empty_table()
+
+
 def texts_of(table: pa.Table) -> list[bytes | None]:
     return table["text"].cast(pa.binary()).to_pylist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, quality_rules, sharding, substring_dedup
+from . import bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, ppm, quality_rules, sharding, substring_dedup
 from .common import table
 
 
@@ -44,6 +44,14 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def corpus_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = ppm.scored(docs, ppm.training(docs))
+    return found.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.identify_all(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
@@ -64,6 +72,7 @@ QUERIES = {
     "op4_ngram_jaccard": near_copies,
     "op5_exact_dedup": exact_copies,
     "op6_bpe_round_trip": bpe_round_trip,
+    "op7_ppm_score": corpus_scores,
     "op8_language_id": language,
     "op9_quality_rules": quality,
     "op10_html_text": page_text,

@@ -72,7 +72,7 @@ def removal(docs: DataFrame, width: int = WIDTH, texts: bool = True, block_bytes
 
     def second_round(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.schema(_schema("bucket int, block int, key binary, second binary, least binary, several binary")).empty_table()
+            return no_sendings
         block, ids = Block(packed.texts_of(table)), _ids(table)
         found = _candidates(block, ids, answers, width, buckets) if len(block.starts) >= width else [np.empty(0, t) for t in ("u8", "u4", "i8", "u1")]
         return pa.Table.from_batches(
@@ -108,7 +108,7 @@ def removal(docs: DataFrame, width: int = WIDTH, texts: bool = True, block_bytes
 
     def cover(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return pa.schema(_schema(out_schema)).empty_table()
+            return no_rows
         block, ids = Block(packed.texts_of(table)), _ids(table)
         words = len(block.starts)
         gone = np.zeros(words, bool)
@@ -129,22 +129,15 @@ def removal(docs: DataFrame, width: int = WIDTH, texts: bool = True, block_bytes
     id_type = picked.schema["doc_id"].dataType.simpleString()
     out_schema = f"doc_id {id_type}, n_words long, removed array<struct<first: int, last: int>>, n_removed long, kept_sha256 string"
     out_schema += ", kept string" if texts else ""
+    sent_schema = "bucket int, block int, key binary, second binary, least binary, several binary"
+    no_rows, no_sendings = packed.nothing(out_schema), packed.nothing(sent_schema)
     answers = blocks.groupBy("block").applyInArrow(first_round, "bucket int, block int, key binary")
     answers = answers.groupBy("bucket").applyInArrow(packed.answer_shared, packed.ANSWER)
-    sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        second_round, "bucket int, block int, key binary, second binary, least binary, several binary"
-    )
+    sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(second_round, sent_schema)
     found = sent.groupBy("bucket").applyInArrow(earliest, "block int, key binary, least binary")
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(cover, out_schema)
 
 
-def _schema(ddl: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(ddl))
-
-
 def _described(table: pa.Table, block: Block, gone: np.ndarray, texts: bool) -> pa.Table:
     """The result rows of a block whose words marked ``gone`` go."""
     n_words = np.diff(block.bounds)
