@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Pieces and pairs that a worker remembers.
 REMEMBERED = 400_000
@@ -220,7 +221,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     ``path`` is the vocabulary's file, found under that path on every executor.
     """
     names = [name for name in docs.columns if name != "ids"]
-    schema = docs.select(*[F.col(f"`{name}`") for name in names]).schema.add("ids", "array<int>")
+    schema = docs.select(*[F.col(f"`{name}`") for name in names]).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(path)
@@ -236,7 +237,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(coded: DataFrame, path: str) -> DataFrame:
     """All columns but ``decoded``, then decoded, the text of ``ids``; null ids give the empty text."""
     names = [name for name in coded.columns if name != "decoded"]
-    schema = coded.select(*[F.col(f"`{name}`") for name in names]).schema.add("decoded", "string")
+    schema = coded.select(*[F.col(f"`{name}`") for name in names]).schema.add("decoded", T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(path)

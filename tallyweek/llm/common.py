@@ -15,15 +15,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 RANK_ROWS = 50_000
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, of ``spark.checkpoint.dir``.
 
-    Only where the session names no folder (tests) a private one is made.
+    Only where the session names none (tests) a private one is made.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-llm-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-llm-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

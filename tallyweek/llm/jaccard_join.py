@@ -69,8 +69,8 @@ def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def shingle_sets(docs: DataFrame, width: int, percent: int, block_bytes: int) -> DataFrame:
-    """doc_id, n_shingles, set_key and, where enough of them may be shared, shared (packed) of every row."""
-    picked = docs.select("doc_id", "text")
+    """doc_id, text_key, n_shingles, set_key and, where enough of them may be shared, shared (packed) of every row."""
+    picked = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     size = packed.text_bytes(picked)
     buckets = packed.bucket_count(size)
     blocks = packed.with_blocks(picked, size, block_bytes)
@@ -95,13 +95,14 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, block_bytes: int) ->
         return pa.table(
             {
                 "doc_id": table["doc_id"],
+                "text_key": table["text_key"],
                 "n_shingles": pa.array(n, pa.int64()),
                 "set_key": pa.array(mixed(sums ^ n.astype(np.uint64)).astype(np.int64), pa.int64()),
                 "shared": pa.array(found.to_pylist(), pa.binary(), mask=~enough),
             }
         )
 
-    schema = f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, n_shingles long, set_key long, shared binary"
+    schema = f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, text_key long, n_shingles long, set_key long, shared binary"
     no_rows = packed.nothing(schema)
     answers = blocks.groupBy("block").applyInArrow(send, "bucket int, block int, key binary")
     answers = answers.groupBy("bucket").applyInArrow(packed.answer_shared, packed.ANSWER)
@@ -320,19 +321,52 @@ def links(classes: DataFrame, percent: int, fragments: int = FRAGMENTS, chunk: i
 
 
 def linked_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block_bytes: int = packed.BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_shingles, set_key, component_id of every row.
+    """doc_id, text_key (hash of the text), n_shingles, root (key of the group), component_id of every row.
 
     Words are lower-cased (A-Z) runs of non-blanks. Rows with equal sets are one node; a null, empty or
-    blank text has no shingles and is linked with nothing. component_id is the smallest doc_id that
-    links reach; null ids are the largest. Rows that agree in doc_id are rows of their own. An empty
+    blank text has no shingles, no root, and is linked with nothing. component_id is the smallest doc_id
+    that links reach; null ids are the largest. Rows that agree in doc_id are rows of their own. An empty
     table gives an empty result; other columns are not read.
     """
     sets = cut(shingle_sets(docs, width, percent, block_bytes))
     classes = cut(ordered_classes(_class_table(sets), percent))
     roots = cut(components(links(classes, percent)))
-    numbers = sets.drop("shared").withColumn("_first", F.coalesce("set_key", F.lit(0)))
-    joined = numbers.join(roots, F.col("set_key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_key"))
-    least = joined.where("n_shingles > 0").groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("_least"))
-    return joined.join(least, (F.col("root") == F.col("_root")) & (F.col("n_shingles") > 0), "left").select(
-        "doc_id", "n_shingles", "set_key", F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id")
+    has_words = F.col("n_shingles") > 0
+    joined = (
+        sets.drop("shared")
+        .join(roots, F.col("set_key") == F.col("node"), "left")
+        .withColumn("root", F.when(has_words, F.coalesce("root", "set_key")))
+        .drop("node", "set_key")
     )
+    least = joined.where(has_words).groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("_least"))
+    return joined.join(least, F.col("root") == F.col("_root"), "left").select(
+        "doc_id", "text_key", "n_shingles", "root", F.when(has_words, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block_bytes: int = packed.BLOCK_BYTES) -> DataFrame:
+    """The rows, with all columns, that are no copy: of each linked group the row with the smallest doc_id stays.
+
+    Rows without shingles are linked with nothing and all stay. Among rows of a group with that doc_id the
+    first by the hashes of the text and of all columns stays.
+    """
+    names = [F.col(f"`{name}`") for name in docs.columns]
+    groups = cut(linked_groups(docs, width, percent, block_bytes).where("n_shingles > 0"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    best = groups.groupBy(F.col("root").alias("_root")).agg(F.min(place).alias("_best"), F.count("*").alias("_rows")).where("_rows > 1")
+    judged = groups.join(best, F.col("root") == F.col("_root")).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), (place == F.col("_best")).alias("_stays")
+    )
+    # a row per text that goes, and per text that stays once of several equal rows
+    marks = judged.groupBy("_id", "_text").agg(F.max("_stays").alias("_stays"), F.count("*").alias("_times"))
+    marks = cut(marks.where("NOT _stays OR _times > 1"))
+    marked = docs.withColumn("_key", F.xxhash64("text")).join(
+        marks, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")), "left"
+    )
+    repeated = (
+        marked.where("_stays")
+        .groupBy("_id", "_text")
+        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("_row"))
+        .select("_row.*")
+    )
+    return marked.where("_stays IS NULL").select(*names).unionByName(repeated)

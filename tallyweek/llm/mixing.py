@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RANK_ROWS, cut, word_count
+from .common import RANK_ROWS, WORD, cut, word_count
 
 WEIGHTS = (5, 2, 1)
 #: No document is taken more often.
@@ -166,7 +166,7 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """The documents with their source's target, and the pieces that the shards drew.
 
-    Documents: row_key, doc_id, source, size, source_size, target. Pieces: row_key, shard, place
+    Documents: row_key, doc_id, text_key, source, size, source_size, target. Pieces: row_key, shard, place
     (order within the shard), epoch, from_word, words; a piece is a run of one document's words in one block.
 
     A null or blank text has no words and gives no piece; a null source is a source; rows that
@@ -174,7 +174,9 @@ def mix(
     empty results; other columns are not read.
     """
     sized = cut(
-        docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+        docs.select(
+            "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key")
+        )
         .withColumn("row_key", F.monotonically_increasing_id())
         .withColumn("_order", _order(seed))
     )
@@ -198,7 +200,7 @@ def mix(
         dealt.withColumn("_end", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)))
         .join(sums, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_cell") == F.col("_in")))
         .withColumn("start", F.col("_base") + F.col("_end") - F.col("size"))
-        .select("row_key", "doc_id", "source", "size", "start")
+        .select("row_key", "doc_id", "text_key", "source", "size", "start")
     )
     known = targets.withColumnRenamed("source", "_of").drop("rows")
     lined = cut(lined.join(known, F.col("source").eqNullSafe(F.col("_of"))).drop("_of"))
@@ -244,3 +246,39 @@ def taken_words(docs: DataFrame, **how) -> DataFrame:
     return lined.join(sums, "row_key", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
+
+
+def mixed_rows(docs: DataFrame, **how) -> DataFrame:
+    """The mix as rows of ``docs``: one for each time a document is taken.
+
+    The one copy of a source that its target cuts has its first words only, joined by spaces, and its
+    own n_chars, if there is such a column. Rows that agree in doc_id, source and text are interchangeable.
+    """
+    lined, pieces = mix(docs, **how)
+    copies = pieces.groupBy("row_key", "epoch").agg(F.sum("words").alias("_words")).join(lined, "row_key")
+    copies = copies.select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "_words", F.col("size").alias("_size")
+    )
+    names = [F.col(f"`{name}`") for name in docs.columns]
+    # equal rows are one here; each of them has its own copies on the other side
+    ones = (
+        docs.groupBy(F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_source"), F.xxhash64("text").alias("_key"))
+        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("_row"))
+        .withColumnsRenamed({"_id": "_of_id", "_source": "_of_source", "_key": "_of_key"})
+    )
+    taken = copies.join(
+        ones,
+        F.col("_id").eqNullSafe(F.col("_of_id")) & F.col("_source").eqNullSafe(F.col("_of_source")) & (F.col("_key") == F.col("_of_key")),
+    )
+    whole = F.col("_words") == F.col("_size")
+    begun = F.array_join(F.slice(F.regexp_extract_all(F.col("_row.text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
+    out = taken.withColumn("_text", F.when(whole, F.col("_row.text")).otherwise(begun))
+    columns = []
+    for field in docs.schema.fields:
+        own = F.col(f"_row.`{field.name}`")
+        if field.name == "text":
+            own = F.col("_text")
+        elif field.name == "n_chars":
+            own = F.when(whole, own).otherwise(F.char_length("_text").cast(field.dataType))
+        columns.append(own.alias(field.name))
+    return out.select(*columns)

@@ -9,7 +9,7 @@ from . import bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, pp
 from .common import table
 
 
-def _vocabulary() -> str:
+def vocabulary_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -41,7 +41,7 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), _vocabulary())
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def corpus_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
