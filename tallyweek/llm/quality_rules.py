@@ -112,9 +112,10 @@ Rule = tuple[Condition, ...]
 
 
 def covers(rule: Rule) -> Column:
+    """Whether the rule covers a row; a null value meets no condition."""
     found = F.lit(True)
     for condition in rule:
-        found = found & condition.column()
+        found = found & F.coalesce(condition.column(), F.lit(False))
     return found
 
 
@@ -125,6 +126,54 @@ def _gain(bad: int, good: int, all_bad: int, all_good: int) -> float:
     return bad * (math.log2(bad / (bad + good)) - math.log2(all_bad / (all_bad + all_good)))
 
 
+def _binned(labelled: DataFrame, features: list[str], cuts: int) -> tuple[DataFrame, dict[str, list[float]]]:
+    """The rows with ``bins``, the number of cuts at or below each feature, and the cuts.
+
+    Cuts are quantiles of the bad and of the good rows.
+    """
+    shares = [at / (cuts + 1) for at in range(1, cuts + 1)]
+    kinds = {f"{name} {bad}": F.percentile_approx(F.when(F.col("bad") == bad, F.col(name)), shares, 10_000) for name in features for bad in (True, False)}
+    found = labelled.agg(*[column.alias(name) for name, column in kinds.items()]).first()
+    edges = {name: sorted({value for bad in (True, False) for value in found[f"{name} {bad}"] or ()}) for name in features}
+
+    def bin_of(name: str) -> Column:
+        steps = F.array(*[F.lit(float(value)) for value in edges[name]]).cast("array<double>")
+        return F.when(F.col(name).isNotNull(), F.size(F.filter(steps, lambda step: step <= F.col(name))))
+
+    return labelled.select("bad", "pruning", *features, F.array(*[bin_of(name) for name in features]).alias("bins")), edges
+
+
+def _counted(rows: DataFrame, tests: list[Column]) -> list[tuple[int, int]]:
+    """Bad and good rows that meet each of a few tests."""
+    sums = [F.count(F.when((F.col("bad") == bad) & test, 1)) for test in tests for bad in (True, False)]
+    found = list(rows.agg(*sums).first())
+    return list(zip(found[::2], found[1::2], strict=True))
+
+
+def _narrowed(rows: DataFrame, edges: dict[str, list[float]]) -> list[tuple[Condition, int, int]]:
+    """Bad and good rows under each possible condition, from one histogram per feature."""
+    counts = (
+        rows.select("bad", F.posexplode("bins").alias("at", "bin"))
+        .where(F.col("bin").isNotNull())
+        .groupBy("at", "bin")
+        .agg(F.count(F.when(F.col("bad"), 1)).alias("bad"), F.count(F.when(~F.col("bad"), 1)).alias("good"))
+        .collect()  # a row per feature and bin
+    )
+    out = []
+    for at, (name, values) in enumerate(edges.items()):
+        below = [[0, 0] for _ in range(len(values) + 1)]
+        for row in counts:
+            if row["at"] == at:
+                below[row["bin"]] = [row["bad"], row["good"]]
+        total = [sum(part[side] for part in below) for side in (0, 1)]
+        under = [0, 0]
+        for number, value in enumerate(values):
+            under = [under[side] + below[number][side] for side in (0, 1)]
+            out.append((Condition(name, value, False), *under))
+            out.append((Condition(name, value, True), total[0] - under[0], total[1] - under[1]))
+    return out
+
+
 def learn_rules(
     labelled: DataFrame,
     features: list[str],
@@ -142,51 +191,32 @@ def learn_rules(
     """
     if not features:
         return []
-    shares = [at / (cuts + 1) for at in range(1, cuts + 1)]
-    edges = labelled.agg(
-        *[F.percentile_approx(F.when(F.col("bad") == wanted, F.col(name)), shares, 10_000).alias(f"{name} {wanted}") for name in features for wanted in (True, False)]
-    ).first()
-    options = [
-        Condition(name, value, above)
-        for name in features
-        for value in sorted({v for wanted in (True, False) for v in edges[f"{name} {wanted}"] or ()})
-        for above in (True, False)
-    ]
+    binned, edges = _binned(labelled, features, cuts)
+    left = cut(binned)
     rules: list[Rule] = []
-    left = F.lit(True)
-
-    def counted(tests: list[Column], growing: bool | None) -> list[tuple[int, int]]:
-        rows = left if growing is None else left & (F.col("pruning") != F.lit(growing))
-        sums = [F.count(F.when(rows & (F.col("bad") == wanted) & test, 1)) for test in tests for wanted in (True, False)]
-        found: list[int] = []
-        for at in range(0, len(sums), 400):  # aggregates per job
-            found += list(labelled.agg(*sums[at : at + 400]).first())
-        return list(zip(found[::2], found[1::2], strict=True))
-
-    while options and len(rules) < max_rules:
-        rule: Rule = ()
-        (bad, good), = counted([F.lit(True)], True)
+    while len(rules) < max_rules:
+        growing, rule = left.where(~F.col("pruning")), ()
+        ((bad, good),) = _counted(growing, [F.lit(True)])
         while bad and good and len(rule) < max_conditions:
-            counts = counted([covers((*rule, option)) for option in options], True)
-            gains = [(_gain(b, g, bad, good), b, g) for b, g in counts]
-            best = max(range(len(options)), key=lambda at: (gains[at][0], -at))
-            if gains[best][0] <= 0:
+            options = _narrowed(growing.where(covers(rule)), edges)
+            if not options:
+                break
+            best = max(options, key=lambda option: _gain(*option[1:], bad, good))
+            if _gain(*best[1:], bad, good) <= 0:
                 break
-            rule, (bad, good) = (*rule, options[best]), counts[best]
+            rule, bad, good = (*rule, best[0]), best[1], best[2]
         if not rule:
             break
         # prune: the shortest beginning with the best worth on the pruning rows
         starts = [rule[: at + 1] for at in range(len(rule))]
-        worth = [(b - g) / (b + g) if b + g else -1.0 for b, g in counted([covers(start) for start in starts], False)]
-        rule = starts[max(range(len(starts)), key=lambda at: (worth[at], -at))]
-        (bad, good), = counted([covers(rule)], False)
-        if not bad + good:
-            (bad, good), = counted([covers(rule)], None)
-        (all_bad, all_good), = counted([covers(rule)], None)
-        if bad < least_precision * (bad + good) or all_bad < least_covered:
+        pruned, everywhere = (_counted(rows, [covers(start) for start in starts]) for rows in (left.where("pruning"), left))
+        worth = [(b - g) / (b + g) if b + g else -1.0 for b, g in pruned]
+        chosen = max(range(len(starts)), key=lambda at: (worth[at], -at))
+        bad, good = pruned[chosen] if sum(pruned[chosen]) else everywhere[chosen]
+        if bad < least_precision * (bad + good) or everywhere[chosen][0] < least_covered:
             break
-        rules.append(rule)
-        left = left & ~F.coalesce(covers(rule), F.lit(False))
+        rules.append(starts[chosen])
+        left = left.where(~covers(starts[chosen]))
     return rules
 
 
