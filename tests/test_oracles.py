@@ -4,9 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from tallyweek.workloads.oracles import ORACLES
+from tallyweek.workloads.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,7 @@ def database(sf_dir):
 
 def test_same_keys():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -2,9 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
-
-QUERIES = entry.queries()
+from tallyweek.workloads.queries import QUERIES
 
 
 def physical(frame):
