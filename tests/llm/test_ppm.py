@@ -1,0 +1,117 @@
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyweek.llm import ppm
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+class Brute:
+    """Method D with exclusion and update exclusion, context by context."""
+
+    def __init__(self, texts, order):
+        self.order, self.seen = order, [defaultdict(Counter) for _ in range(order + 1)]
+        for text in texts:
+            data = self.padded(text)
+            for at in range(order, len(data)):
+                self.seen[order][data[at - order : at]][data[at]] += 1
+                for k in (0, 1):
+                    self.seen[k][data[at - k : at]][data[at]] += 1
+        for k in range(order - 1, 1, -1):
+            for context, bytes_ in self.seen[k + 1].items():
+                for byte in bytes_:
+                    self.seen[k][context[1:]][byte] += 1
+
+    def padded(self, text):
+        return b"\xff" * self.order + " ".join(WORD.findall(lower(text))).encode() + b"\xff"
+
+    def score(self, text):
+        data, total = self.padded(text), 0.0
+        for at in range(self.order, len(data)):
+            excluded, found = set(), False
+            for k in range(self.order, -1, -1):
+                node = self.seen[k].get(data[at - k : at], {})
+                open_ = {byte: count for byte, count in node.items() if byte not in excluded}
+                mass = sum(open_.values())
+                if mass and data[at] in open_:
+                    total += math.log10((open_[data[at]] - 0.5) / mass)
+                    found = True
+                    break
+                if mass:
+                    total += math.log10(0.5 * len(open_) / mass)
+                excluded |= set(node)
+            if not found:
+                total -= math.log10(256 - len(self.seen[0].get(b"", {})))
+        return total
+
+
+def check(docs, order=5, **how):
+    rows = docs.collect()
+    trained = [r for r in rows if zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 7 != 2]
+    counts = Counter()
+    for r in trained:
+        counts.update(WORD.findall(lower(r.text)))
+        counts[None] += 1
+    tokens, different = sum(counts.values()), len(counts)
+    brute = Brute([r.text for r in trained], order)
+    expected = []
+    for r in rows:
+        words = [*WORD.findall(lower(r.text)), None]
+        base = sum(math.log10((counts[w] + 1) / (tokens + different + 1)) for w in words)
+        expected.append((repr(r.doc_id), len(words), sum(counts[w] > 0 for w in words), base, brute.score(r.text), r in trained))
+    out = ppm.scored(docs, ppm.training(docs), order, **how).collect()
+    actual = [(repr(r.doc_id), r.n_tokens, r.n_known, r.base_score, r.score, r.trained) for r in out]
+    assert len(actual) == len(expected) and {r.train_tokens for r in out} <= {tokens}
+    for a, e in zip(sorted(actual), sorted(expected)):
+        assert a[:3] == e[:3] and a[5] == e[5]
+        assert a[3] == pytest.approx(e[3], rel=1e-9) and a[4] == pytest.approx(e[4], rel=1e-5)
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_against_brute_force(some_docs, order):
+    check(some_docs, order)
+
+
+def test_many_blocks_and_parts(some_docs, monkeypatch):
+    monkeypatch.setattr(ppm, "PART_BYTES", 700)
+    check(some_docs, block_bytes=3000)
+
+
+def test_odd(odd_docs, no_docs):
+    check(odd_docs)
+    assert ppm.scored(no_docs, ppm.training(no_docs)).count() == 0
+
+
+def test_nothing_learned(some_docs):
+    out = ppm.scored(some_docs, F.lit(False)).collect()
+    for r in out:
+        assert r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and r.score < 0
+
+
+def test_chances_sum_to_one():
+    grams = ppm.Grams([b"abracadabra abra", b"cadabra"], 3)
+    counts = grams.counts(np.array([True, True]))
+    low = np.zeros((256, 256), np.int64)
+    np.add.at(low, ((grams.codes >> np.uint64(8)).astype(np.int64) & 255, grams.codes.astype(np.int64) & 255), counts)
+    for context in np.unique(grams.codes >> np.uint64(8)).tolist():
+        probe = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
+        codes, place = np.unique(np.concatenate([grams.codes, probe]), return_inverse=True)
+        full = np.bincount(place[: len(grams.codes)], weights=counts, minlength=len(codes)).astype(np.int64)
+        chances = 10 ** ppm.log_probabilities(codes, full, low, 3)[place[len(grams.codes) :]]
+        assert chances.sum() == pytest.approx(1, abs=1e-6)
+
+
+def test_learned_text_is_likelier(spark):
+    rows = [(n, "the cat sat on the mat and the dog lay by the door") for n in range(60)] + [(100, "zq xj vkw pfy qqz jjx")]
+    out = {r.doc_id: r for r in ppm.scored(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") < 50).collect()}
+    assert out[55].score > out[55].base_score and out[55].score / 51 > out[100].score / 21 + 0.5

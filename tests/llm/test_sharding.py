@@ -1,0 +1,66 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+
+from tallyweek.llm import sharding
+
+
+def spread(sizes, places, shards):
+    sums = np.zeros(shards, np.int64)
+    for size, place in zip(sizes, places):
+        sums[place] += size
+    return int(np.ptp(sums))
+
+
+def test_differencing_beats_greedy():
+    draw = random.Random(3)
+    sizes = [draw.randrange(1, 10_000) for _ in range(300)]
+    placed = sharding.karmarkar_karp(sizes, 4)
+    assert spread(sizes, placed, 4) < 20
+    sums = [0] * 4
+    for size in sorted(sizes, reverse=True):
+        sums[sums.index(min(sums))] += size
+    assert spread(sizes, placed, 4) <= max(sums) - min(sums)
+
+
+def test_differencing_of_two_parts_by_hand():
+    # 8-7, 6-5, 4: 1, 1, 4 -> 4-1, 1 -> 3-1 = 2
+    assert spread([4, 5, 6, 7, 8], sharding.karmarkar_karp([4, 5, 6, 7, 8], 2), 2) == 2
+    assert sharding.karmarkar_karp([], 3) == [] and sharding.karmarkar_karp([5], 3) == [0]
+    assert sharding.karmarkar_karp([5, 6], 1) == [0, 0]
+
+
+def check(docs, shards=16, units=sharding.UNITS):
+    rows, out = docs.collect(), sharding.balanced_shards(docs, shards, units).collect()
+    text = lambda r: (r.text or "").encode()
+    assert sorted((repr(r.doc_id), len(text(r)) + 1, zlib.crc32(text(r))) for r in rows) == sorted((repr(r.doc_id), r["size"], r.text_crc32) for r in out)
+    slots, groups = defaultdict(list), defaultdict(set)
+    for r in out:
+        slots[r.shard].append(r.slot)
+        groups[bytes(r.digest)].add(r.shard)
+    assert all(sorted(found) == list(range(len(found))) for found in slots.values()) and all(0 <= s < shards for s in slots)
+    assert all(len(found) == 1 for found in groups.values())
+    sums = np.zeros(shards)
+    for r in out:
+        sums[r.shard] += r["size"]
+    return sums
+
+
+def test_shards_are_even(some_docs):
+    sums = check(some_docs, 4)
+    assert np.ptp(sums) < 0.01 * sums.mean()
+    check(some_docs, 4, units=3)
+
+
+def test_odd(odd_docs, no_docs):
+    check(odd_docs)
+    assert sharding.balanced_shards(no_docs).count() == 0
+
+
+def test_slots_of_large_shards_have_no_gap(some_docs, monkeypatch):
+    from tallyweek.llm import common
+
+    monkeypatch.setattr(common, "RANK_ROWS", 10)
+    check(some_docs, 3)

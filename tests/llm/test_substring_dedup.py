@@ -1,0 +1,82 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tallyweek.llm import packed, rolling, substring_dedup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def expected(rows, width):
+    last = 2**63 - 1
+    first = {}
+    split = [(last if r.doc_id is None else r.doc_id, WORD.findall(r.text or "")) for r in rows]
+    for number, words in split:
+        for at in range(len(words) - width + 1):
+            key = tuple(words[at : at + width])
+            first[key] = min(first.get(key, number), number)
+    out = []
+    for row, (number, words) in zip(rows, split):
+        gone = set()
+        for at in range(len(words) - width + 1):
+            if first[tuple(words[at : at + width])] < number:
+                gone.update(range(at, at + width))
+        kept = " ".join(word for at, word in enumerate(words) if at not in gone)
+        out.append((row.doc_id, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept, sorted(gone)))
+    return out
+
+
+def check(docs, width=13, **how):
+    found = substring_dedup.removal(docs, width, **how).collect()
+    places = lambda r: [at for run in r.removed for at in range(run.first, run.last + 1)]
+    actual = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept, places(r)) for r in found]
+    assert sorted(actual, key=repr) == sorted(expected(docs.collect(), width), key=repr)
+    for r in found:  # maximal: a kept word lies between two intervals
+        assert all(a.last + 1 < b.first for a, b in zip(r.removed, r.removed[1:]))
+
+
+@pytest.mark.parametrize("width", [3, 13])
+@pytest.mark.parametrize("block_bytes", [2000, 8 << 20])
+def test_against_brute_force(some_docs, width, block_bytes):
+    check(some_docs, width, block_bytes=block_bytes)
+
+
+def test_odd(odd_docs, no_docs):
+    check(odd_docs)
+    check(odd_docs, 3, block_bytes=500)
+    assert substring_dedup.removal(no_docs).count() == 0
+
+
+def test_windows_do_not_cross_documents(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c d"), (3, "a b c d"), (4, "d a b c")], "doc_id long, text string")
+    check(docs, 3)
+
+
+def test_fingerprints_met_by_chance_do_no_harm(some_docs, monkeypatch):
+    monkeypatch.setattr(packed, "SHORT", 1)
+    check(some_docs.coalesce(1), 13, block_bytes=3000)
+
+
+def test_span_hashes(monkeypatch):
+    draw = random.Random(1)
+    data = np.array([draw.randrange(256) for _ in range(5000)], np.uint8)
+    starts = np.array(sorted(draw.randrange(4990) for _ in range(500)))
+    ends = np.maximum.accumulate(starts + 1 + np.array([draw.randrange(9) for _ in range(500)]))
+    whole = rolling.span_hashes(data, starts, ends, rolling.BASES[0])
+    monkeypatch.setattr(rolling, "STRETCH", 64)
+    assert (whole == rolling.span_hashes(data, starts, ends, rolling.BASES[0])).all()
+    by_text = {}
+    for start, end, value in zip(starts, ends, whole):
+        assert by_text.setdefault(data[start:end].tobytes(), value) == value
+    assert len(set(by_text.values())) == len(by_text)
+
+
+def test_block_words():
+    texts = [b"a  b\x0bc", None, b"", b" \n", "é ü".encode(), b"end"]
+    block = rolling.Block(texts)
+    words = [block.data[s:e].tobytes() for s, e in zip(block.starts, block.ends)]
+    assert words == [b"a", b"b", b"c", "é".encode(), "ü".encode(), b"end"]
+    assert block.owner.tolist() == [0, 0, 0, 4, 4, 5] and block.bounds.tolist() == [0, 3, 3, 3, 3, 5, 6]
