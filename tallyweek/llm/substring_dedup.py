@@ -35,12 +35,17 @@ def _second(block: Block, first: np.ndarray, width: int) -> np.ndarray:
 
 def _candidates(block: Block, ids: np.ndarray, answers: pa.Table, width: int, buckets: int) -> tuple[np.ndarray, ...]:
     """key, second, smallest id, whether several texts hold it: of the block's windows that may be repeated."""
+    nothing = tuple(np.empty(0, kind) for kind in ("u8", "u4", "i8", "u1"))
     first, hashes = block.windows(block.words(), width)
+    if not len(hashes):
+        return nothing
     order = np.argsort(hashes, kind="stable")
     keys, holders = hashes[order], ids[block.owner[first[order]]]
     begins = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
     least, most = np.minimum.reduceat(holders, begins), np.maximum.reduceat(holders, begins)
     wanted = (least != most) | packed.maybe_shared(keys[begins], buckets, answers)
+    if not wanted.any():
+        return nothing
     picked = np.repeat(wanted, np.diff(begins, append=len(keys)))
     keys, holders, seconds = keys[picked], holders[picked], _second(block, first[order[picked]], width)
     order = np.lexsort((holders, seconds, keys))
@@ -74,7 +79,7 @@ def removal(docs: DataFrame, width: int = WIDTH, texts: bool = True, block_bytes
         if not table.num_rows:
             return no_sendings
         block, ids = Block(packed.texts_of(table)), _ids(table)
-        found = _candidates(block, ids, answers, width, buckets) if len(block.starts) >= width else [np.empty(0, t) for t in ("u8", "u4", "i8", "u1")]
+        found = _candidates(block, ids, answers, width, buckets)
         return pa.Table.from_batches(
             [packed.sendings(table["block"][0].as_py(), found[0], buckets, ["key", "second", "least", "several"], found)]
         )
@@ -142,15 +147,15 @@ def _described(table: pa.Table, block: Block, gone: np.ndarray, texts: bool) ->
     """The result rows of a block whose words marked ``gone`` go."""
     n_words = np.diff(block.bounds)
     counts = np.concatenate([[0], np.cumsum(gone)])
-    # bytes of kept words, each with the blank behind it made a space
-    of_byte = np.repeat(np.arange(len(block.starts)), block.ends - block.starts + 1)
-    places = np.arange(len(of_byte)) + np.repeat(block.starts - np.concatenate([[0], np.cumsum(block.ends - block.starts + 1)[:-1]]), block.ends - block.starts + 1)
-    kept = ~gone[of_byte]
-    out = block.data[places[kept]]
-    out = np.where(block.blank[places[kept]], np.uint8(0x20), out)
-    sizes = np.bincount(block.owner[of_byte[kept]], minlength=len(n_words))
+    # bytes of kept words, each with the blank behind it made a space; a byte of memory per byte
+    steps = np.zeros(len(block.data) + 1, np.int8)
+    steps[block.starts[~gone]] += 1
+    steps[block.ends[~gone] + 1] -= 1
+    kept = np.cumsum(steps[:-1], dtype=np.int8, out=steps[:-1]).view(bool)
+    data = np.where(block.blank, np.uint8(0x20), block.data)[kept].tobytes()
+    begins = np.concatenate([[0], block.text_ends[:-1]])
+    sizes = np.add.reduceat(kept, begins, dtype=np.int64)
     ends = np.cumsum(sizes)
-    data = out.tobytes()
     pieces = [data[end - size : max(end - 1, end - size)] for end, size in zip(ends.tolist(), sizes.tolist(), strict=True)]
     # intervals, cut at the borders of texts
     fresh = gone & np.concatenate([[True], ~gone[:-1] | (block.owner[1:] != block.owner[:-1])])[: len(gone)]
