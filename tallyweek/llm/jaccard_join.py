@@ -40,17 +40,19 @@ def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of every distinct shingle, ascending by text and hash.
-
-    A text with fewer words than ``width`` has its whole sequence as one.
-    """
+def all_shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of every shingle; a text with fewer words than ``width`` has its whole sequence as one."""
     words = block.words()
     first, hashes = block.windows(words, width)
     counts = np.diff(block.bounds)
     brief = np.flatnonzero((counts > 0) & (counts < width))
     whole = span_hashes(words, block.bounds[brief], block.bounds[brief + 1], BASES[1])
-    owner, hashes = np.concatenate([block.owner[first], brief]), np.concatenate([hashes, whole])
+    return np.concatenate([block.owner[first], brief]), np.concatenate([hashes, whole])
+
+
+def shingles(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of every distinct shingle, ascending by text and hash."""
+    owner, hashes = all_shingles(block, width)
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
     fresh = np.ones(len(owner), bool)
@@ -76,7 +78,7 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, block_bytes: int) ->
     blocks = packed.with_blocks(picked, size, block_bytes)
 
     def send(table: pa.Table) -> pa.Table:
-        keys = np.unique(shingles(Block(packed.texts_of(table), lower=True), width)[1])
+        keys = np.unique(all_shingles(Block(packed.texts_of(table), lower=True), width)[1])
         return pa.Table.from_batches([packed.sendings(table["block"][0].as_py(), keys, buckets, ["key"], [packed.short(keys)])])
 
     def select(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -194,21 +196,22 @@ def _segments(classes: DataFrame, fragments: int, pivots: list[tuple[int, int]])
     def run(batches):  # noqa: ANN001, ANN202
         for batch in batches:
             rows = batch.to_pydict()
-            out = {"set_key": [], "n": [], "cluster": [], "chunk": [], "fragment": [], "segment": []}
+            out = {name: [] for name in (*passed, "fragment", "segment")}
             for at, tokens in enumerate(rows["tokens"]):
                 order, counts = np.frombuffer(tokens, "<u8"), np.frombuffer(rows["counts"][at], "<u4")
                 ends = [int(((counts < c) | ((counts == c) & (order < t))).sum()) for c, t in pivots]
                 bounds = [0, *ends, len(order)]
                 for fragment in range(fragments):
-                    for name in ("set_key", "n", "cluster", "chunk"):
+                    for name in passed:
                         out[name].append(rows[name][at])
                     out["fragment"].append(fragment)
                     out["segment"].append(order[bounds[fragment] : bounds[fragment + 1]].tobytes())
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            kinds = [*[batch.schema.field(name).type for name in passed], pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(out.values(), kinds, strict=True)], names=list(out))
 
-    wanted = classes.select("set_key", "n", "cluster", "chunk", "tokens", "counts")
-    return wanted.mapInArrow(run, "set_key long, n long, cluster long, chunk int, fragment int, segment binary")
+    passed = ["set_key", "n", "cluster", "chunk", "a", "b", "bin"]
+    schema = "set_key long, n long, cluster long, chunk int, a int, b int, bin int, fragment int, segment binary"
+    return classes.select(*passed, "tokens", "counts").mapInArrow(run, schema)
 
 
 def partial_overlaps(segments: list[np.ndarray], sizes: np.ndarray, split: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,12 +248,14 @@ def links(classes: DataFrame, percent: int, fragments: int = FRAGMENTS, chunk: i
     prefixes = cut(_prefix_rows(classes))
     first = prefixes.groupBy("token").agg(F.min("set_key").alias("low"))
     clusters = components(prefixes.join(first, "token").select("low", F.col("set_key").alias("high")))
-    placed = classes.join(clusters, F.col("set_key") == F.col("node"), "left").withColumn("cluster", F.coalesce("root", "set_key"))
+    # keys only: the shingles are joined to what is compared at the end, once
+    placed = classes.select("set_key").join(clusters, F.col("set_key") == F.col("node"), "left")
+    placed = placed.withColumn("cluster", F.coalesce("root", "set_key"))
     sizes = placed.groupBy("cluster").agg(F.count("*").alias("_classes")).where("_classes > 1")
     placed = placed.join(sizes, "cluster").withColumn(
         "chunk", F.pmod(F.xxhash64("set_key"), F.ceil(F.col("_classes") / chunk)).cast("int")
     )
-    placed = cut(placed.select("set_key", "n", "tokens", "counts", "cluster", "chunk", (F.col("_classes") > chunk).alias("large")))
+    placed = cut(placed.select("set_key", "cluster", "chunk", (F.col("_classes") > chunk).alias("large")))
     # pairs of chunks that share a prefix shingle; a small cluster is one chunk
     small = placed.where(~F.col("large")).select("cluster", F.col("chunk").alias("a"), F.col("chunk").alias("b")).distinct()
     seen = prefixes.join(placed.where("large").select("set_key", "cluster", "chunk"), "set_key").select("token", "cluster", "chunk").distinct()
@@ -275,12 +280,13 @@ def links(classes: DataFrame, percent: int, fragments: int = FRAGMENTS, chunk: i
                 found.append([int(counts[len(counts) * at // fragments]) for at in range(1, fragments)] if len(tokens) else [0] * (fragments - 1))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], names=["cuts"])
 
-    cuts = placed.select("tokens", "counts").mapInArrow(quarters, "cuts array<int>")
+    cuts = classes.select("tokens", "counts").mapInArrow(quarters, "cuts array<int>")
     middle = cuts.agg(*[F.percentile_approx(F.col("cuts")[at], 0.5).alias(str(at)) for at in range(fragments - 1)]).first()
     # the same count twice: the second cut halves the tokens of that count
     pivots = [((1 << 63) if at and middle[at] == middle[at - 1] else 0, count or 0) for at, count in enumerate(middle)]
     pivots = sorted((count, token) for token, count in pivots)
-    rows = _segments(placed, fragments, pivots).join(sides, ["cluster", "chunk"])
+    compared = placed.select("set_key", "cluster", "chunk").join(sides, ["cluster", "chunk"])
+    rows = _segments(classes.join(compared, "set_key"), fragments, pivots)
 
     def overlap(table: pa.Table) -> pa.Table:
         rows = table.select(["cluster", "a", "b", "chunk", "set_key", "n"]).to_pandas()
