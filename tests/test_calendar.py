@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week, week_ending
+from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week, unparsed_dates, week_ending
 
 
 def weeks(spark, rule, *days):
@@ -111,6 +111,23 @@ DATES = [
     ("01/05/2019 12:00:00 AM", JAN5),
     ("2019-01-05T00:00:00Z", JAN5),
     ("2019-01-05T23:00:00-05:00", JAN5),
+    ("20190105", JAN5),
+    ("05-Jan-2019", JAN5),
+    ("5-January-2019", JAN5),
+    ("01-05-2019", JAN5),
+    ("5 January 2019", JAN5),
+    ("Jan 5 2019", JAN5),
+    ("Sept 5, 2019", dt.date(2019, 9, 5)),
+    ("Sat, Jan 5, 2019", JAN5),
+    ("Saturday January 5 2019", JAN5),
+    ("2019.01.05", JAN5),
+    ("01/05/68", dt.date(2068, 1, 5)),
+    ("01/05/69", dt.date(1969, 1, 5)),
+    ("20191305", None),
+    ("201901051", None),
+    ("Foo 5, 2019", None),
+    ("Janx 5, 2019", None),
+    ("5 of January 2019", None),
     ("not a date", None),
     ("2019-02-30", None),
     ("31/31/2019", None),
@@ -128,6 +145,11 @@ def test_parse_date(spark):
     assert got == {i: d for i, (_, d) in enumerate(DATES)}
 
 
+def test_unparsed_dates_are_counted(spark):
+    frame = spark.createDataFrame([("2019-01-05",), ("soon",), ("soon",), (None,), ("2019",)], "week_ending_date string")
+    assert sorted(tuple(r) for r in unparsed_dates(frame).collect()) == [("2019", 1), ("soon", 2)]
+
+
 def test_offset_dates_can_be_refused(make, rows):
     frame = make("id int, t string", [(1, "2019-01-05T00:00:00Z"), (2, "2019-01-05T00:00:00.000")])
     assert rows(frame.select("id", parse_date(F.col("t"), offset_dates=False))) == [(1, None), (2, JAN5)]

@@ -5,7 +5,7 @@ import pytest
 from tallyweek.plans import compile as plans
 from tallyweek.rules import PARITY
 from tallyweek.schema import FACT, FACT_COLUMNS
-from tallyweek.sources.scan import population_from_dict, scan_compiled
+from tallyweek.sources.scan import population_from_dict, scan_compiled, scan_csv
 
 FILES = {
     "dated_file/a.csv": """Week Ending Date,Jurisdiction of Occurrence,All Cause
@@ -65,8 +65,8 @@ def test_outputs(spark, landing, rows):
         (2018, 2, 2, None, "Texas", 60.0, 2000, 3000.0, "Archived NCHS"),
         (2019, 2, 2, "2019-01-12", "New York", 150.0, 1100, 13636.4, "Local 2019 File"),
         (2019, 2, 2, "2019-01-12", "Ohio", 70.0, 500, 14000.0, "Local 2019 File"),
-        # the state file has no city, so nothing is summed: the first row wins
-        (2020, 5, 5, "2020-02-01", "Ohio", 80.0, 500, 16000.0, "CDC Provisional"),
+        # two rows of one key are summed, whether or not the file has a city
+        (2020, 5, 5, "2020-02-01", "Ohio", 170.0, 500, 34000.0, "CDC Provisional"),
     ]
 
 
@@ -80,7 +80,40 @@ def test_parity(spark, landing, rows):
 
 def test_absent_sources(spark, landing):
     written = compiled(spark, landing / "nothing-here")
-    assert set(written) == {"compiled"}
+    assert scan_compiled(spark, written["states"]).count() == 0
+    assert {r.rows for r in scan_csv(spark, written["counts"]).collect()} == {"0"}
+
+
+def test_an_extract_that_becomes_empty_leaves_no_rows(spark, landing):
+    assert scan_compiled(spark, compiled(spark, landing)["national"]).count() == 2
+    for name in ("country_series", "provisional"):
+        for file in (landing / "in" / name).iterdir():
+            file.write_text(file.read_text().replace("United States", "Ohio"))
+    written = compiled(spark, landing)
+    assert scan_compiled(spark, written["national"]).count() == 0
+    assert scan_compiled(spark, written["states"]).count() > 0
+
+
+@pytest.mark.parametrize("rules", [None, PARITY], ids=["default", "parity"])
+def test_counts_and_reports_are_written(spark, landing, rules):
+    (landing / "in" / "packed_week" / "p.csv").write_text("MMWR Year/Week,State,All Deaths\n201802,Ohio,5\n")
+    written = compiled(spark, landing, rules)
+    counts = {r.stage: int(r.rows) for r in scan_csv(spark, written["counts"]).collect()}
+    assert counts["dated_file read"] == 4 and counts["country_series read"] == 3
+    assert counts["packed_week read"] == counts["packed_week normalised"] == 0
+    assert counts["provisional normalised"] == (4 if rules else 3)
+    assert counts["cleaned"] == scan_compiled(spark, written["compiled"], "parquet").count()
+    for name in plans.reports(scan_compiled(spark, written["compiled"], "parquet")):
+        assert name in written
+    assert spark.read.json(written["validation"]).count() <= 2
+    assert spark.read.json(written["national_summary"]).count() == 1
+
+
+def test_quoted_line_breaks(spark, landing):
+    (landing / "in" / "dated_file" / "a.csv").write_text('Week Ending Date,Jurisdiction of Occurrence,All Cause,Note\n2019-01-12,Ohio,70,"a\nb"\n')
+    population = population_from_dict(spark, POPULATION)
+    written = plans.compile_landing(spark, str(landing / "in"), population, str(landing / "out"), multiline=True)
+    assert scan_compiled(spark, written["states"]).filter("year = 2019").count() == 1
 
 
 def test_no_source_at_all(spark):

@@ -13,20 +13,34 @@ def test_fold_both(make, rows):
             ("New York", 10.0), ("New York City", 5.0), ("Bronx NYC", 1.0), ("nyc lower", 7.0), ("Ohio", 3.0), ("Ohio", 4.0),
         )],
     )
-    assert fold.fold_mode(frame) == "sum"
-    assert rows(fold.fold_entities(frame), "state", "deaths") == [("New York", 16.0), ("Ohio", 7.0), ("nyc lower", 7.0)]
+    for how in ("sum", "data"):
+        got = rows(fold.fold_entities(frame, how=how), "state", "deaths")
+        assert got == [("New York", 16.0), ("Ohio", 7.0), ("nyc lower", 7.0)]
 
 
-def test_fold_city_only_renames(make, rows):
+def test_fold_city_only(make, rows):
     frame = make(KEYS, [(2019, 2, 2, "New York City", 5.0), (2019, 2, 2, "New York City", 6.0)])
-    assert fold.fold_mode(frame) == "rename"
-    assert rows(fold.fold_entities(frame), "state", "deaths") == [("New York", 5.0), ("New York", 6.0)]
+    assert rows(fold.fold_entities(frame, how="data"), "state", "deaths") == [("New York", 5.0), ("New York", 6.0)]
+    assert rows(fold.fold_entities(frame), "state", "deaths") == [("New York", 11.0)]
 
 
-def test_fold_state_only_is_untouched(make, rows):
-    frame = make(KEYS, [(2019, 2, 2, "New York", 5.0), (2019, 2, 2, "Ohio", 3.0), (2019, 2, 2, "Ohio", 4.0)])
-    assert fold.fold_mode(frame) == "none"
-    assert rows(fold.fold_entities(frame)) == rows(frame)
+def test_fold_state_only(make, rows):
+    frame = make(KEYS, [(2019, 2, 2, "New York", 5.0), (2019, 2, 2, "Ohio", 3.0), (2019, 2, 2, "Ohio", None)])
+    assert rows(fold.fold_entities(frame, how="data")) == rows(frame) == rows(fold.fold_entities(frame, how="none"))
+    assert rows(fold.fold_entities(frame), "state", "deaths") == [("New York", 5.0), ("Ohio", 3.0)]
+
+
+def test_a_stray_city_changes_no_other_key(make, rows):
+    ohio = [(2019, 2, 2, "Ohio", 80.0), (2019, 2, 2, "Ohio", 90.0), (2019, 3, 3, "New York", 1.0)]
+    stray = (2019, 9, 9, "Bronx NYC", 4.0)
+    for frame in (make(KEYS, ohio), make(KEYS, [*ohio, stray])):
+        folded = fold.fold_entities(frame)
+        assert rows(folded.filter("state = 'Ohio'"), "deaths") == [(170.0,)]
+
+
+def test_the_historical_fold_keeps_row_order(make, rows):
+    frame = make(KEYS + ", row_ord int", [(2019, 2, 2, "Ohio", 5.0, 3), (2019, 2, 2, "Ohio", 5.0, 4)])
+    assert rows(fold.fold_entities(frame, how="data")) == rows(frame)
 
 
 def test_fold_keeps_missing_keys_and_states(make, rows):
@@ -136,10 +150,20 @@ def test_unusable_row_displaces_only_in_parity(make, rows):
     assert rows(combine.clean(merged, PARITY)) == []
 
 
-def test_observed_rows(make):
-    frame, seen = combine.observe_rows(make("x int", [(1,), (2,)]), "step")
-    frame.collect()
-    assert seen.get["rows"] == 2
+def test_observed_rows(spark, make):
+    counts = combine.RowCounts()
+    counts.watch(make("x int", [(1,), (2,)]), "step").collect()
+    assert counts.watch(None, "other") is None
+    assert [tuple(r) for r in counts.table(spark, ["step", "other"]).collect()] == [(0, "step", 2), (1, "other", 0)]
+
+
+def test_keys_that_are_no_integer_leave(make, rows):
+    frame = make(
+        "year double, week double, mmwr_week double, state string, deaths double",
+        [(2020.0, float("inf"), float("inf"), "Ohio", 1.0), (2020.0, 1e12, 1e12, "Ohio", 2.0), (2020.0, 3.0, 3.0, "Ohio", 4.0)],
+    )
+    for rules in (DEFAULT, PARITY):
+        assert rows(combine.clean(frame, rules), "week", "deaths") == [(3, 4.0)]
 
 
 def test_lineage(make, rows):

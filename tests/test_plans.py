@@ -17,7 +17,23 @@ def threshold(spark, request):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"sink_national", "sink_states", "scan_csv"}))
+#: These write files and read them back.
+WRITERS = {"sink_national", "sink_states", "scan_csv", "population_dim", "flagship_landing", "flagship_landing_counts"}
+LAZY = sorted(set(QUERIES) - WRITERS)
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_building_calls_no_action(spark, sf_dir, name, monkeypatch):
+    def refuse(*_args, **_kwargs):
+        raise AssertionError("an action while a query is built")
+
+    for action in ("collect", "count", "first", "head", "isEmpty", "toPandas", "take", "checkpoint", "localCheckpoint"):
+        monkeypatch.setattr(type(spark.range(1)), action, refuse)
+    monkeypatch.setattr(type(spark.range(1)), "write", property(refuse))
+    QUERIES[name](spark, sf_dir)
+
+
+@pytest.mark.parametrize("name", LAZY)
 def test_no_plan_to_regret(spark, sf_dir, name, threshold):
     plan = physical(QUERIES[name](spark, sf_dir))
     for bad in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroupsIn"):
@@ -30,6 +46,17 @@ def test_no_plan_to_regret(spark, sf_dir, name, threshold):
         assert "BroadcastExchange" not in plan, "a broadcast that ignores its size limit"
 
 
+@pytest.mark.parametrize("name", ["summary_stats", "national_rollup", "first_per_entity", "yearly_rate"])
+def test_rows_are_reduced_by_hash_before_any_sort(spark, sf_dir, name):
+    """The first aggregate above the counted facts is a hash aggregate."""
+    lines = physical(QUERIES[name](spark, sf_dir)).split("== Initial Plan ==")[0].splitlines()
+    aggregates = [line for line in lines if "Aggregate(" in line]
+    sorted_ = [at for at, line in enumerate(aggregates) if "SortAggregate" in line or "ObjectHash" in line]
+    # top down: below every sort or object aggregate is a hash aggregate that is not the count of the facts
+    hashed = [at for at, line in enumerate(aggregates) if "HashAggregate" in line and "ObjectHash" not in line and "saturday" not in line]
+    assert not sorted_ or any(at > max(sorted_) for at in hashed)
+
+
 def test_dedup_limits_rows_before_the_shuffle(spark, sf_dir):
     plan = physical(QUERIES["dedup_best"](spark, sf_dir))
     assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -1,3 +1,7 @@
+import functools
+import operator
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +172,21 @@ def test_zero_population(make):
 def test_selection_of_metrics(make):
     frame = make(FULL, [(2015, 1, "a", 10.0, 10, None, None), (2015, 1, "b", 5.0, 10, None, None)])
     assert metrics.headline(frame, ["b"]).first().total_deaths == 5
+
+
+def test_totals_do_not_depend_on_row_order(spark):
+    """Deviations from means of five counts whose float sums fall on either side of an integer."""
+    draw = random.Random(0)
+    while True:
+        values = [draw.randrange(1, 200) / 5 for _ in range(40)]
+        orders = [draw.sample(values, 40) for _ in range(30)]
+        if len({int(functools.reduce(operator.add, order)) for order in orders}) > 1:
+            break
+    found = set()
+    for order in orders[:6]:
+        rows = [(2021, 1, "Ohio", 1.0, value, value) for value in order]
+        schema = "year int, mmwr_week int, state string, deaths double, deviation_from_avg double, deviation_from_expected double"
+        for parts in (1, 3):
+            row = metrics.headline(spark.createDataFrame(rows, schema).repartition(parts)).first()
+            found.add((row.total_above_avg, row.total_above_expected))
+    assert found == {(round(sum(values) * 5) // 5,) * 2}

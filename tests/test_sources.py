@@ -92,7 +92,7 @@ def test_dated_file(make, rows):
     assert got == [
         (2019.0, 1.0, "2019-01-05", "Alabama", 1078.0, label),
         (2019.0, 3.0, "2019-01-19", "New York", 15.0, label),
-        (2019.0, None, "not a date", "Ohio", 7.0, label),
+        (None, None, "not a date", "Ohio", 7.0, label),
     ]
     old = rows(ingest.ingest_dated_file(frame, PARITY), "week", "week_ending_date", "state", "deaths")
     assert old == [
@@ -105,7 +105,7 @@ def test_dated_file(make, rows):
 
 def test_dated_file_without_dates_or_columns(make, rows):
     undated = make("Jurisdiction string, Deaths string", [("Ohio", "5")])
-    assert rows(ingest.ingest_dated_file(undated), "year", "week", "state") == [(2019.0, None, "Ohio")]
+    assert rows(ingest.ingest_dated_file(undated), "year", "week", "state") == [(None, None, "Ohio")]
     useless = ingest.ingest_dated_file(make("Jurisdiction string", [("Ohio",)]))
     assert useless.count() == 0 and "deaths" in useless.columns
 
@@ -193,19 +193,50 @@ def test_sorted_csv(spark, make, tmp_path):
 PROVISIONAL = "Year string, `MMWR Week` string, `Week Ending Date` string, State string, `Total Deaths` string"
 
 
-@pytest.mark.parametrize("rules", [DEFAULT, PARITY])
-def test_city_alone_is_renamed_not_summed(make, rows, rules):
-    twice = [("2020", "1", "2020-01-04", "New York City", "5")] * 2
+@pytest.mark.parametrize("rules, expected", [(DEFAULT, [10.0]), (PARITY, [5.0, 5.0])], ids=["default", "parity"])
+@pytest.mark.parametrize("name, state", [("New York City", "New York"), ("Ohio", "Ohio")])
+def test_city_or_state_alone(make, rows, rules, expected, name, state):
+    """By default equal keys are always summed; the historical fold only renames."""
+    twice = [("2020", "1", "2020-01-04", name, "5")] * 2
     got = rows(ingest.ingest_provisional(make(PROVISIONAL, twice), rules), "week", "state", "deaths")
-    assert got == [(1.0, "New York", 5.0)] * 2
-    dated = make(DATED, [("2019-01-12", "New York City", "5"), ("2019-01-12", "New York City", "5")])
-    assert rows(ingest.ingest_dated_file(dated, rules), "state", "deaths") == [("New York", 5.0)] * 2
+    assert got == [(1.0, state, value) for value in expected]
+    dated = make(DATED, [("2019-01-12", name, "5")] * 2)
+    assert rows(ingest.ingest_dated_file(dated, rules), "state", "deaths") == [(state, value) for value in expected]
+
+
+def test_dated_rows_keep_their_year(make, rows):
+    frame = make(DATED, [("2020-01-04", "Ohio", "99"), ("2019-01-05", "Ohio", "1"), ("2013-06-01", "Ohio", "2"), ("soon", "Ohio", "3")])
+    got = rows(ingest.ingest_dated_file(frame), "year", "week", "deaths")
+    assert got == [(2013.0, 22.0, 2.0), (2019.0, 1.0, 1.0), (2020.0, 1.0, 99.0), (None, None, 3.0)]
+    assert {r.year for r in ingest.ingest_dated_file(frame, PARITY).collect()} == {2019.0}
+
+
+def test_building_an_ingest_starts_no_job(spark, make):
+    frame = make(DATED, [("2019-01-12", "New York City", "5")])
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for rules in (DEFAULT, PARITY):
+            ingest.ingest_dated_file(frame, rules)
+            ingest.ingest_provisional(make(PROVISIONAL, [("2020", "1", "2020-01-04", "Ohio", "5")]), rules)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("rules", [DEFAULT, PARITY])
-def test_without_a_city_duplicates_stay(make, rows, rules):
-    twice = [("2020", "1", "2020-01-04", "Ohio", "5")] * 2
-    assert rows(ingest.ingest_provisional(make(PROVISIONAL, twice), rules), "state", "deaths") == [("Ohio", 5.0)] * 2
+def test_year_range_reaches_a_typed_scan(spark, tmp_path, rules):
+    path = str(tmp_path / "typed")
+    spark.createDataFrame(
+        [("United States", 2016, "3", "weekly", 5.0), ("United States", 2012, "3", "weekly", 5.0)],
+        "country_name string, year int, time string, time_unit string, deaths double",
+    ).write.parquet(path)
+    found = ingest.ingest_country_series(spark.read.parquet(path), rules)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(year,2015)" in plan and "LessThanOrEqual(year,2020)" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert found.count() == 1
 
 
 def test_spellings_of_one_date_meet_across_three_rows(make, rows):
