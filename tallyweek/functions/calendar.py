@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import datetime
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The day of the Sunday-to-Saturday week that decides which year owns it:
@@ -40,16 +38,23 @@ def split_year_week(packed: Column) -> tuple[Column, Column]:
 
 _TIME = r"\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?"
 _OFFSET = r"( ?(Z|[+-]\d{2}:?\d{2}))"
-_MONTH_NAME = r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$"
+_NAMED = r"^(\p{L}+,? +)?(\p{L}{3,9}\.? +\d{1,2}|\d{1,2}[ -]+\p{L}{3,9}\.?),?[ -]+(\d{4})$"
+#: Beginnings of English month names, in order.
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+
+#: Two-digit years up to this one are of the 2000s, later ones of the 1900s.
+CENTURY_PIVOT = 68
 
 
-def parse_date(text: Column, offset_dates: bool = True) -> Column:
+def parse_date(text: Column, offset_dates: bool = True, pivot: int = CENTURY_PIVOT) -> Column:
     """Date from text in any of the accepted spellings, else null.
 
-    Accepted: year-month-day with dashes or slashes, ISO date and time, month
-    or day first with slashes (also with a two-digit year or a time), and month
-    names. Month-first goes before day-first, so ``1/5/2019`` is 5 January and
-    ``13/02/2019`` is 13 February. A two-digit year is the one nearest to today.
+    Accepted: year-month-day with dashes, slashes, dots or nothing between, ISO
+    date and time, month or day first with slashes or dashes (also with a
+    two-digit year or a time), and English month names before or after the day,
+    full or shortened, with or without commas and a weekday. Month-first goes
+    before day-first, so ``1/5/2019`` is 5 January and ``13/02/2019`` is 13
+    February. A two-digit year up to ``pivot`` is of the 2000s.
 
     The parts are put in year-month-day order for one cast, much cheaper than
     trying one pattern parser after another. Every spelling is gated by its
@@ -57,33 +62,45 @@ def parse_date(text: Column, offset_dates: bool = True) -> Column:
     """
     text = F.trim(text.cast("string"))
     year_first = (
-        r"^\d{4}(/\d{1,2}/\d{1,2}|-\d{1,2}-\d{1,2}|-\d{2}-\d{2}[T ]"
+        r"^\d{4}(/\d{1,2}/\d{1,2}|-\d{1,2}-\d{1,2}|\.\d{1,2}\.\d{1,2}|-\d{2}-\d{2}[T ]"
         + _TIME
         + (_OFFSET + "?" if offset_dates else "")
         + ")$"
     )
     day = F.substring_index(F.substring_index(text, "T", 1), " ", 1)
-    by_year = F.translate(day, "/", "-").try_cast("date")
+    by_year = F.translate(day, "/.", "--").try_cast("date")
+    by_digits = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date")
 
-    year_last = r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})( " + _TIME + r"( ?[AaPp][Mm])?)?$"
-    day = F.substring_index(text, " ", 1)
-    first = F.substring_index(text, "/", 1)
+    year_last = r"^(\d{1,2}/\d{1,2}/(\d{4}|\d{2})|\d{1,2}-\d{1,2}-\d{4})( " + _TIME + r"( ?[AaPp][Mm])?)?$"
+    day = F.translate(F.substring_index(text, " ", 1), "-", "/")
+    first = F.substring_index(day, "/", 1)
     pair = F.substring_index(day, "/", 2)
     year = F.substring_index(day, "/", -1)
-    last_of_this_century = f"{(datetime.date.today().year + 50) % 100:02d}"
-    century = (
-        F.when(F.length(year) == 4, F.lit(""))
-        .when(year < last_of_this_century, F.lit("20"))
-        .otherwise(F.lit("19"))
-    )
+    century = F.when(F.length(year) == 4, F.lit("")).when(year <= f"{pivot:02d}", F.lit("20")).otherwise(F.lit("19"))
     month_first = (F.length(first) == 1) | (first <= "12")
     swapped = F.concat(F.substring_index(pair, "/", -1), F.lit("-"), first)
     month_day = F.when(month_first, F.translate(pair, "/", "-")).otherwise(swapped)
     by_parts = F.concat(century, year, F.lit("-"), month_day).try_cast("date")
 
-    by_name = F.coalesce(*(F.try_to_timestamp(text, F.lit(p)).cast("date") for p in ("MMMM d, y", "MMM d, y")))
+    named = F.regexp_extract(text, _NAMED, 2)
+    name = F.lower(F.regexp_extract(named, r"(\p{L}+)", 1))
+    # a beginning of a month's name that is long enough to tell, or its whole name; "sept" is one
+    month = F.array_position(F.array(*(F.lit(m) for m in _MONTHS)), F.substring(name, 1, 3))
+    full = F.date_format(F.make_date(F.lit(2000), F.nullif(month, F.lit(0)).cast("int"), F.lit(1)), "MMMM")
+    spelled = F.lower(full).startswith(name) & (F.length(name) >= 3)
+    by_name = F.when(
+        spelled,
+        F.concat_ws("-", F.regexp_extract(text, _NAMED, 3), month.cast("string"), F.regexp_extract(named, r"(\d+)", 1)).try_cast("date"),
+    )
     return (
         F.when(text.rlike(year_first), by_year)
         .when(text.rlike(year_last), by_parts)
-        .when(text.rlike(_MONTH_NAME), by_name)
+        .when(text.rlike(r"^\d{8}$"), by_digits)
+        .when(text.rlike(_NAMED), by_name)
     )
+
+
+def unparsed_dates(df: DataFrame, column: str = "week_ending_date", offset_dates: bool = True) -> DataFrame:
+    """Date texts that are not understood, with their number of rows; nulls are not texts."""
+    texts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("text")).agg(F.count(F.lit(1)).alias("rows"))
+    return texts.filter(parse_date(F.col("text"), offset_dates).isNull())

@@ -55,6 +55,11 @@ def total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
+def exact_total(value: Column) -> Column:
+    """Sum of doubles to nine decimals, the same in whatever order rows come."""
+    return F.coalesce(F.sum(value.cast("decimal(28,9)")), F.lit(0).cast("decimal(38,9)"))
+
+
 def signed_pct_text(value: Column) -> Column:
     return F.format_string("%+.1f%%", value)
 

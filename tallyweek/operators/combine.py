@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -77,6 +77,8 @@ def clean(df: DataFrame, rules: Rules = DEFAULT, jurisdictions: Sequence[str] =
             "mmwr_week": F.coalesce(F.col("mmwr_week"), F.col("week")).try_cast("int"),
         }
     )
+    # a number that is no integer, such as infinity, has become null and is no key
+    df = drop_missing(df, ["year", "week", "mmwr_week"])
     # a relabelled row may meet its parent's key, so it is renamed before the
     # dedup unless the historical order is asked for
     if rules.relabel_first:
@@ -97,10 +99,22 @@ def merge_clean(
     return None if merged is None else clean(merged, rules, jurisdictions)
 
 
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as they pass, inside whatever job consumes the result."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+class RowCounts:
+    """Rows after each step, counted inside whatever job consumes the result."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame | None, step: str) -> DataFrame | None:
+        if df is None:
+            return None
+        self.seen[step] = Observation(step)
+        return df.observe(self.seen[step], F.count(F.lit(1)).alias("rows"))
+
+    def table(self, spark: SparkSession, steps: Sequence[str]) -> DataFrame:
+        """step, stage, rows of the steps, 0 for one that had no input; after the job has run."""
+        rows = [(at, step, self.seen[step].get["rows"] if step in self.seen else 0) for at, step in enumerate(steps)]
+        return spark.createDataFrame(rows, "step int, stage string, rows long")
 
 
 def row_lineage(merged: DataFrame, keys: Sequence[str] = ("year", "week", "state")) -> DataFrame:

@@ -22,6 +22,10 @@ def valid_week(df: DataFrame, week: str = "week", last: int = 53) -> DataFrame:
     return df.filter((F.col(week) > 0) & (F.col(week) <= last))
 
 
+def of_country(df: DataFrame, country: str = NATIONAL) -> DataFrame:
+    return df.filter(F.col("country_name") == country)
+
+
 def exclude_totals(df: DataFrame, names: Iterable[str] = tuple(NATIONAL_VARIANTS)) -> DataFrame:
     """Drop national totals but keep rows without a state, unlike SQL NOT IN."""
     return df.filter(~F.coalesce(F.col("state").isin(list(names)), F.lit(False)))

@@ -20,56 +20,49 @@ def _is_child(children: Sequence[str]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def _occurs(df: DataFrame, condition: Column) -> bool:
-    """Existence probe; stops at the first task that finds a matching row."""
-    return not df.filter(condition).select(F.lit(1)).isEmpty()
-
-
-def fold_mode(
-    df: DataFrame, into: str = CITY_PARENT, children: Sequence[str] = (CITY, CITY_ABBREVIATION)
-) -> str:
-    """Which fold the data calls for: "sum", "rename" or "none"."""
-    if not _occurs(df, _is_child(children)):
-        return "none"
-    return "sum" if _occurs(df, F.col("state") == into) else "rename"
-
-
 def fold_entities(
     df: DataFrame,
     into: str = CITY_PARENT,
     children: Sequence[str] = (CITY, CITY_ABBREVIATION),
     measure: str = "deaths",
-    how: str = "auto",
+    how: str = "sum",
 ) -> DataFrame:
     """Fold child entities (matched by case-sensitive substring) into a parent.
 
-    * both child and parent occur ("sum"): the measure is summed over all other
-      columns, for every state, and missing keys form groups of their own;
-    * only the child occurs ("rename"): rows are renamed, nothing is summed;
-    * only the parent occurs ("none"): rows stay as they are.
+    * "sum": children are renamed and the measure is summed over all other
+      columns, for every state; missing keys form groups of their own. One rule
+      for all data: no row changes what becomes of the rows of another key.
+    * "data": the historical rule. Children are renamed; rows are summed only if
+      child and parent both occur anywhere. That is found out inside the plan,
+      by one aggregate over the same rows, when the result is computed.
+    * "none": rows stay as they are.
 
-    "auto" picks the case with two existence probes, cheap on landed files. A
-    caller who knows the case, or whose input is the result of a long plan,
-    names it and saves the probes. The sum is combined map-side, so one state
-    holding most of the rows costs one partial row per task and week.
+    Sums are combined map-side, so one state holding most of the rows costs one
+    partial row per task and week.
     """
-    if how == "auto":
-        how = fold_mode(df, into, children)
-    renamed = df.withColumn("state", F.when(_is_child(children), F.lit(into)).otherwise(F.col("state")))
     if how == "none":
         return df
-    if how == "rename":
-        return renamed
-    if how != "sum":
+    if how not in ("sum", "data"):
         raise ValueError(f"unknown fold {how!r}")
+    renamed = df.withColumn("state", F.when(_is_child(children), F.lit(into)).otherwise(F.col("state")))
     keys = [c for c in df.columns if c not in (measure, "row_ord")]
-    return renamed.groupBy(*keys).agg(total(F.col(measure)).alias(measure)).select(*keys, measure)
+    if how == "sum":
+        return renamed.groupBy(*keys).agg(total(F.col(measure)).alias(measure)).select(*keys, measure)
+    both = df.agg(F.coalesce(F.max(_is_child(children)) & F.max(F.col("state") == into), F.lit(False))).scalar()
+    # a row that is not to be summed is a group of its own
+    own = renamed.withColumns({"_both": both, "_own": F.monotonically_increasing_id()})
+    own = own.withColumn("_own", F.when(~F.col("_both"), F.col("_own")))
+    rest = [F.when(~F.col("_both"), F.first("row_ord")).alias("row_ord")] if "row_ord" in df.columns else []
+    value = F.when(F.col("_both"), total(F.col(measure))).otherwise(F.sum(measure)).alias(measure)
+    return own.groupBy(*keys, "_both", "_own").agg(value, *rest).select(*df.columns)
 
 
 def first_per_entity(df: DataFrame, columns: Sequence[str], order: Sequence[str], entity: str = "state") -> DataFrame:
     """First non-missing value of each column per entity, in an explicit order."""
     position = F.struct(*order)
-    return df.groupBy(entity).agg(
+    # one row per place and value by hashing; only these are put in order
+    known = df.groupBy(entity, *dict.fromkeys([*order, *columns])).agg(F.count(F.lit(1)).alias("_rows"))
+    return known.groupBy(entity).agg(
         *(F.min_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in columns)
     )
 
@@ -82,10 +75,14 @@ def attach_first(df: DataFrame, source: DataFrame, columns: Sequence[str], order
 def national_rollup(df: DataFrame, order: Sequence[str] = ("state",)) -> DataFrame:
     """National weekly totals from state rows; rows without a week are left out."""
     keys = ["year", "week", "mmwr_week"]
+    rows = df.dropna(subset=keys)
+    if "week_ending_date" in df.columns:
+        # dates are few per week and state: a hash aggregate leaves one row for each before the first is taken
+        rows = rows.groupBy(*keys, *order, "week_ending_date").agg(total(F.col("deaths")).alias("deaths"))
     sums = [total(F.col("deaths")).alias("deaths")]
     if "week_ending_date" in df.columns:
         dated = F.when(F.col("week_ending_date").isNotNull(), F.struct(*order, "week_ending_date"))
         sums.append(F.min_by("week_ending_date", dated).alias("week_ending_date"))
-    weekly = df.dropna(subset=keys).groupBy(*keys).agg(*sums)
+    weekly = rows.groupBy(*keys).agg(*sums)
     weekly = weekly.withColumns({"state": F.lit(NATIONAL), "data_source": F.lit(LABEL_ROLLUP)})
     return keep_available(weekly, SOURCE_COLUMNS)

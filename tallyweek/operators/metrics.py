@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweek.functions.numbers import per_100k, ratio, round_half_even, total
+from tallyweek.functions.numbers import exact_total, per_100k, ratio, round_half_even, total
 from tallyweek.operators.filters import ALL_STATES, select_states
 
 WEEKS_PER_YEAR = 52.18
@@ -44,14 +44,14 @@ def headline(
     periods = PERIODS if periods is None else periods
     chosen = select_states(df, states)
     has_population = "population" in df.columns
-    yearly = [total(F.col("deaths")).alias("deaths")]
+    yearly = [exact_total(F.col("deaths")).alias("deaths")]
     for period in periods:
         yearly += _period_sums(period, has_population)
     for name in ("avg", "expected"):
         column = f"deviation_from_{name}"
         if column in df.columns:
             inside = F.col("year").between(*EXCESS_YEARS) & (F.col(column) > 0)
-            yearly.append(total(F.when(inside, F.col(column))).cast("double").alias(f"above_{name}"))
+            yearly.append(exact_total(F.when(inside, F.col(column))).alias(f"above_{name}"))
     sums = chosen.groupBy("year").agg(*yearly)
     overall = [total(F.col("deaths")).cast("bigint").alias("total_deaths")]
     for period, span in periods.items():
@@ -71,11 +71,12 @@ def headline(
     for name in ("avg", "expected"):
         if f"deviation_from_{name}" in df.columns:
             overall.append(
-                F.coalesce(F.sum(f"above_{name}"), F.lit(0.0)).cast("bigint").alias(f"total_above_{name}")
+                F.coalesce(F.sum(f"above_{name}"), F.lit(0)).cast("bigint").alias(f"total_above_{name}")
             )
     return sums.agg(*overall)
 
 
+#: The published names.
 METRICS = {
     "total_deaths": "total_deaths",
     "deaths_per_100k_2015_2019": "rate_2015_2019",

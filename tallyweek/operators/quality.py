@@ -157,7 +157,8 @@ def yearly_totals(facts: DataFrame) -> DataFrame:
 def yearly_rate(national: DataFrame) -> DataFrame:
     """National report: deaths, the first week's population and the year's rate."""
     first_week = F.struct("week", "state")
-    yearly = national.groupBy("year").agg(
+    weekly = national.groupBy("year", "week", "state", "population").agg(total(F.col("deaths")).alias("deaths"))
+    yearly = weekly.groupBy("year").agg(
         total(F.col("deaths")).alias("deaths"), F.min_by("population", first_week).alias("population")
     )
     rate = per_100k(F.col("deaths"), F.col("population"))
@@ -213,10 +214,10 @@ def distinct_lists(facts: DataFrame, columns: Sequence[str] = ("year", "state",
 def presence(facts: DataFrame, year: int = 2020, week: int = 1, total_year: int = 2019) -> DataFrame:
     """Is a given week there, which weeks of its year are, and a year's total.
 
-    Rows are reduced to one per year and week before the weeks are listed.
+    Rows of weeks that no year has are left out. Rows are reduced to one per year and week before the weeks are listed.
     """
     weekly = (
-        facts.filter(F.col("year").isin(year, total_year))
+        facts.filter(F.col("year").isin(year, total_year) & (F.col("week").between(1, 53) | F.col("week").isNull()))
         .groupBy("year", "week")
         .agg(F.count(F.lit(1)).alias("rows"), total(F.col("deaths")).alias("deaths"))
     )
@@ -244,14 +245,17 @@ def entity_total(facts: DataFrame, entity: str = CITY_PARENT) -> DataFrame:
 def summary(facts: DataFrame, data_type: str = "combined", year: int = 2019) -> DataFrame:
     """One row describing a table; state tables also list states and coverage.
 
-    One pass: rows are reduced to state, year and source, then grouped three
-    ways at once (by year, by source, by state), then gathered. The lists hold
+    One pass: rows are reduced to state, year, source and week by hashing, then
+    to state, year and source, then grouped three ways at once (by year, by source, by state), then gathered. The lists hold
     one entry per state, source or year of a cleaned table, so the jurisdiction
     list bounds them. Sources come in order of first appearance.
     """
-    cells = facts.groupBy("state", "year", "data_source").agg(
-        F.count(F.lit(1)).alias("n"),
-        total(F.col("deaths")).alias("d"),
+    weekly = facts.groupBy("state", "year", "data_source", "week").agg(
+        F.count(F.lit(1)).alias("n"), total(F.col("deaths")).alias("d")
+    )
+    cells = weekly.groupBy("state", "year", "data_source").agg(
+        F.sum("n").alias("n"),
+        F.sum("d").alias("d"),
         F.min("week").alias("first_week"),
         F.collect_set(F.when(F.col("year") == year, F.col("week"))).alias("weeks"),
     )

@@ -15,8 +15,8 @@ class Rules:
     week_rule: str = "mmwr"
     #: weeks subtracted from the dated single-year file, floored at week 1.
     dated_file_shift: int = 0
-    #: year forced onto the dated single-year file.
-    dated_file_year: int = 2019
+    #: year forced onto the dated single-year file; None takes each date's own.
+    dated_file_year: int | None = None
     #: thousands separator accepted in numeric text; None nulls such text.
     thousands: str | None = None
     #: accept date text carrying a UTC offset (its local date is used).
@@ -27,16 +27,21 @@ class Rules:
     relabel_first: bool = True
     #: keep only rows whose time unit is weekly in the country series.
     weekly_only: bool = True
-    #: "auto", "sum", "rename" or "none"; see ``operators.fold.fold_entities``.
-    fold: str = "auto"
+    #: drop rows of the country series whose week is not between 1 and 53.
+    check_weeks: bool = True
+    #: "sum", "data" or "none"; see ``operators.fold.fold_entities``.
+    fold: str = "sum"
 
 
 DEFAULT = Rules()
 PARITY = Rules(
     week_rule="first_sunday",
     dated_file_shift=1,
+    dated_file_year=2019,
     offset_dates=False,
     text_dates=True,
     relabel_first=False,
     weekly_only=False,
+    check_weeks=False,
+    fold="data",
 )

@@ -11,6 +11,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week
 from tallyweek.functions.columns import (
@@ -22,8 +23,8 @@ from tallyweek.functions.columns import (
     typed_empty,
 )
 from tallyweek.functions.numbers import number_column
-from tallyweek.operators.filters import exclude_totals, valid_measure, valid_week
-from tallyweek.operators.fold import fold_entities, fold_mode
+from tallyweek.operators.filters import exclude_totals, of_country, valid_measure, valid_week
+from tallyweek.operators.fold import fold_entities
 from tallyweek.rules import DEFAULT, Rules
 from tallyweek.schema import (
     COUNTRY_SERIES_NAMES,
@@ -55,8 +56,21 @@ def _finish(df: DataFrame, label: str) -> DataFrame:
 
 
 def _typed(df: DataFrame, numbers: dict[str, str], rules: Rules) -> DataFrame:
-    """Numeric columns from their text."""
-    return compute_once(df, {name: number_column(df, text, rules.thousands) for name, text in numbers.items()})
+    """Numeric columns, from text where they are text.
+
+    Parsed text is computed once per row; numbers are taken as they are, so that
+    filters on them reach the scan.
+    """
+    found = {name: number_column(df, text, rules.thousands) for name, text in numbers.items()}
+    parsed = {name: value for name, value in found.items() if isinstance(df.schema[numbers[name]].dataType, StringType)}
+    df = compute_once(df, parsed) if parsed else df
+    return df.withColumns({name: value for name, value in found.items() if name not in parsed})
+
+
+def _in_years(df: DataFrame, name: str, first: int, last: int | None = None) -> DataFrame:
+    """Rows of the years; on a column that is a number in the source, before anything is computed from it."""
+    bounds = F.col(name) >= first if last is None else F.col(name).between(first, last)
+    return df.filter(bounds) if isinstance(df.schema[name].dataType, NumericType) else df
 
 
 def _with_day(df: DataFrame, rules: Rules) -> DataFrame:
@@ -70,17 +84,6 @@ def _one_spelling(df: DataFrame) -> DataFrame:
     return df.withColumn("week_ending_date", F.coalesce(iso, F.col("week_ending_date").cast("string")))
 
 
-def _fold_spellings(df: DataFrame, rules: Rules) -> tuple[DataFrame, str]:
-    """Sum rows of one date text before any date is parsed, where rows are summed.
-
-    Sums of sums are the same sums, so the fold by date that follows is not
-    changed, but dates are parsed once per group instead of once per row.
-    Returns the reduced rows and the fold that is still to be done.
-    """
-    how = fold_mode(df) if rules.fold == "auto" else rules.fold
-    return (fold_entities(df, how=how), how) if how == "sum" else (df, how)
-
-
 def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Single-year file: columns found by keyword, weeks derived from dates."""
     df = discover_columns(df)
@@ -88,17 +91,22 @@ def ingest_dated_file(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     if empty is not None:
         return empty
     df = valid_measure(_typed(exclude_totals(df), {"deaths": "deaths"}, rules))
-    df, how = _fold_spellings(keep_available(df, ["week_ending_date", "state", "deaths", "row_ord"]), rules)
+    # rows of one date text are summed before any date is parsed: sums of sums are the same sums
+    df = fold_entities(keep_available(df, ["week_ending_date", "state", "deaths", "row_ord"]), how=rules.fold)
+    year = F.lit(None if rules.dated_file_year is None else float(rules.dated_file_year)).cast("double")
     if "week_ending_date" in df.columns:
         df = _with_day(df, rules)
-        _, week = epi_week(F.col("day"), rules.week_rule)
-        df = df.withColumn("week", shift_weeks(week, rules.dated_file_shift).cast("double"))
+        own_year, week = epi_week(F.col("day"), rules.week_rule)
+        df = df.withColumns(
+            {"week": shift_weeks(week, rules.dated_file_shift).cast("double"), "year": F.coalesce(year, own_year.cast("double"))}
+        )
         df = df if rules.text_dates else _one_spelling(df)
     else:
         log.warning("%s: no week-ending date, weeks are unknown", LABEL_DATED_FILE)
-        df = df.withColumn("week", F.lit(None).cast("double"))
-    df = df.withColumns({"year": F.lit(float(rules.dated_file_year)), "mmwr_week": F.col("week")})
-    return fold_entities(_finish(df, LABEL_DATED_FILE), how=how)
+        df = df.withColumns({"week": F.lit(None).cast("double"), "year": year})
+    df = _finish(df.withColumn("mmwr_week", F.col("week")), LABEL_DATED_FILE)
+    # dates that were one text each are one row each already
+    return df if rules.text_dates else fold_entities(df, how=rules.fold)
 
 
 def ingest_country_series(
@@ -108,12 +116,13 @@ def ingest_country_series(
     empty = _unusable(df, ["country_name", "year", "time", "deaths"], LABEL_COUNTRY_SERIES)
     if empty is not None:
         return empty
-    df = df.filter(F.col("country_name") == country)
+    df = of_country(df, country)
     if rules.weekly_only and "time_unit" in df.columns:
         df = df.filter(F.col("time_unit") == "weekly")
-    df = rename_present(df, COUNTRY_SERIES_NAMES)
+    df = _in_years(rename_present(df, COUNTRY_SERIES_NAMES), "year", *years)
     df = _typed(df, {"year": "year", "week": "week", "deaths": "deaths"}, rules)
     df = df.filter(F.col("year").between(*years))
+    df = valid_week(df) if rules.check_weeks else df
     df = df.withColumns({"state": F.lit(NATIONAL), "mmwr_week": F.col("week")})
     return _finish(df, LABEL_COUNTRY_SERIES)
 
@@ -124,14 +133,12 @@ def ingest_provisional(df: DataFrame, rules: Rules = DEFAULT, first_year: int =
     empty = _unusable(df, ["year", "mmwr_week", "state", "total_deaths"], LABEL_PROVISIONAL)
     if empty is not None:
         return empty
-    df = _typed(df, {"year": "year", "mmwr_week": "mmwr_week", "deaths": "total_deaths"}, rules)
+    df = _typed(_in_years(df, "year", first_year), {"year": "year", "mmwr_week": "mmwr_week", "deaths": "total_deaths"}, rules)
     df = valid_week(valid_measure(df.filter(F.col("year") >= first_year)), "mmwr_week")
     df = _finish(df.withColumn("week", F.col("mmwr_week")), LABEL_PROVISIONAL)
-    df, how = _fold_spellings(df, rules)
+    df = fold_entities(df, how=rules.fold)
     if "week_ending_date" in df.columns and not rules.text_dates:
-        df = fold_entities(_one_spelling(_with_day(df, rules)).drop("day"), how=how)
-    elif how == "rename":
-        df = fold_entities(df, how=how)
+        df = fold_entities(_one_spelling(_with_day(df, rules)).drop("day"), how=rules.fold)
     return keep_available(df, [*SOURCE_COLUMNS, "row_ord"])
 
 

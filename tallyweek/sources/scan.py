@@ -80,9 +80,11 @@ def scan_csv(spark: SparkSession, path: str, row_order: bool = False, multiline:
     return blank_to_null(df)
 
 
-def scan_landing(spark: SparkSession, root: str, source: str, row_order: bool = True) -> DataFrame | None:
+def scan_landing(
+    spark: SparkSession, root: str, source: str, row_order: bool = True, multiline: bool = False
+) -> DataFrame | None:
     """One source of a landing area: every delimited file in its subfolder."""
-    return scan_csv(spark, f"{root.rstrip('/')}/{source}", row_order=row_order)
+    return scan_csv(spark, f"{root.rstrip('/')}/{source}", row_order=row_order, multiline=multiline)
 
 
 def _scan_typed(spark: SparkSession, path: str, file_format: str, schema: T.StructType) -> DataFrame | None:

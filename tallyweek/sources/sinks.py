@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from tallyweek.functions.columns import keep_available
@@ -31,7 +33,7 @@ def write_outputs(facts: DataFrame, out: str) -> dict[str, str]:
 
     The facts are computed once, into the table; both extracts read that table
     back, so nothing is recomputed and a lost executor costs one task. An
-    extract without rows is not written.
+    extract without rows is a header, so no earlier run's rows stay behind.
     """
     written = {"compiled": f"{out}/compiled"}
     write_table(facts, written["compiled"])
@@ -41,8 +43,16 @@ def write_outputs(facts: DataFrame, out: str) -> dict[str, str]:
         ("national", national, ["year", "week"]),
         ("states", states, ["year", "week", "state"]),
     ):
-        if not part.isEmpty():
-            written[name] = f"{out}/{name}"
-            write_csv(part, written[name], sort)
+        written[name] = f"{out}/{name}"
+        write_csv(part, written[name], sort)
+    return written
+
+
+def write_reports(reports: Mapping[str, DataFrame], out: str) -> dict[str, str]:
+    """Each report as lines of JSON in a folder of its name; they hold lists and maps."""
+    written = {}
+    for name, report in reports.items():
+        written[name] = f"{out}/reports/{name}"
+        report.write.mode("overwrite").json(written[name])
     return written
 

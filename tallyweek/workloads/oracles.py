@@ -114,7 +114,7 @@ ab AS (
   SELECT 0 AS source_ord, year, week, mmwr_week, week_ending_date, state, deaths, 'A' AS data_source, nk
   FROM w WHERE nk % 2 = 0
   UNION ALL
-  SELECT 1, year, week, mmwr_week, NULL, state, deaths * 10, 'B', nk FROM w)"""
+  SELECT 1, year, week, mmwr_week, CASE WHEN nk % 6 = 0 THEN week_ending_date END, state, deaths * 10, 'B', nk FROM w)"""
 BEST = f"""{AB},
 best AS (
   SELECT * FROM ab QUALIFY row_number() OVER (
@@ -128,8 +128,15 @@ NUMBER = """CASE event_id % 7 WHEN 0 THEN '1,234' WHEN 1 THEN ' 12 ' WHEN 2 THEN
     WHEN 4 THEN 'nan' WHEN 5 THEN '1.0d' ELSE CAST(event_id AS VARCHAR) END"""
 DATE = """CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%-m/%-d/%Y')
     WHEN 2 THEN strftime(ts, '%Y/%-m/%-d') ELSE strftime(ts, '%-d/%-m/%Y') END"""
+# yyyy-MM-dd, M/d/yyyy, ... as in views.SPELLINGS; the last is not a date
+SPELLED = ["%Y-%m-%d", "%-m/%-d/%Y", "%Y/%-m/%-d", "%-d/%-m/%Y", "%Y%m%d", "%d-%b-%Y", "%m-%d-%Y", "%-d %B %Y", "%b %-d %Y",
+           "%B %-d, %Y", "%Y.%m.%d", "%-m/%-d/%y", "%A, %B %-d, %Y", "%Y-%m-%dT%H:%M:%S", "week %-d of %Y"]
+ANY_DATE = "CASE event_id % 15 " + " ".join(f"WHEN {n} THEN strftime(ts::DATE, '{p}')" for n, p in enumerate(SPELLED)) + " END"
+# 13/02/2019 can only be day first; all that could be month first is
+ANY_PARSED = """CASE WHEN event_id % 15 = 14 THEN NULL
+    WHEN event_id % 15 = 3 AND day(ts) <= 12 THEN make_date(year(ts), day(ts), month(ts)) ELSE ts::DATE END"""
 EVENTS = f"""ev AS (
-  SELECT event_id, {_list(EVENT_NAMES)}[user_id % 8 + 1] AS label, {NUMBER} AS number, {DATE} AS date,
+  SELECT event_id, ts, {_list(EVENT_NAMES)}[user_id % 8 + 1] AS label, {NUMBER} AS number, {DATE} AS date,
          CAST(2014 + event_id % 8 AS INT) AS year, CAST(event_id % 56 AS INT) AS week
   FROM events)"""
 
@@ -188,10 +195,15 @@ oracle(
 )
 oracle(
     "parse_dates",
-    f"{EVENTS}, p AS (SELECT event_id, date, {parsed('date')} AS parsed FROM ev)",
+    f"p AS (SELECT event_id, {ANY_DATE} AS date, {ANY_PARSED} AS parsed FROM events)",
     f"""SELECT event_id, date, parsed, CAST({sunday_year('parsed')} AS INT) AS year,
        CAST({sunday_week('parsed')} AS INT) AS week FROM p""",
 )
+oracle(
+    "unparsed_dates",
+    "",
+    f"SELECT {ANY_DATE} AS text, CAST(count(*) AS BIGINT) AS rows FROM events WHERE event_id % 15 = 14 GROUP BY 1",
+)
 oracle(
     "coerce_numeric",
     EVENTS,
@@ -292,6 +304,11 @@ oracle(
   coalesce(sum(deaths), 0) AS deaths FROM e GROUP BY 1, 2, 3)""",
     "SELECT year, state, CAST(count(*) AS BIGINT) AS n, sum(deaths) AS deaths FROM g GROUP BY 1, 2",
 )
+oracle(
+    "fold_stray_city",
+    LABELLED,
+    """SELECT year, week, state, coalesce(sum(deaths), 0) AS deaths FROM e WHERE state = 'Ohio' GROUP BY year, week, state""",
+)
 oracle(
     "first_per_entity",
     FOLD,
@@ -336,16 +353,16 @@ oracle(
     "merge_clean",
     BEST,
     """SELECT year, week, mmwr_week, 'S' || nk AS state, CAST(deaths AS DOUBLE) AS deaths, week_ending_date, data_source
-FROM best WHERE nk < 20""",
+FROM best WHERE nk < 20 AND NOT (nk = 3 AND week = 5) AND NOT (nk = 4 AND week = 6)""",
 )
 oracle(
     "row_lineage",
-    AB,
+    AB + ", whole AS (SELECT * FROM ab WHERE mmwr_week <> 11 AND week <> 9)",
     """SELECT 0 AS step, 'union' AS stage, CAST(count(*) AS BIGINT) AS rows FROM ab
-UNION ALL SELECT 1, 'complete', CAST(count(*) AS BIGINT) FROM ab WHERE year IS NOT NULL AND week IS NOT NULL
-UNION ALL SELECT 2, 'dedup', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT year, week, state FROM ab)
+UNION ALL SELECT 1, 'complete', CAST(count(*) AS BIGINT) FROM whole
+UNION ALL SELECT 2, 'dedup', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT year, week, state FROM whole)
 UNION ALL SELECT 3, 'known_state', CAST(count(*) AS BIGINT)
-  FROM (SELECT DISTINCT year, week, state FROM ab WHERE nk = 7)""",
+  FROM (SELECT DISTINCT year, week, state FROM whole WHERE nk = 7)""",
 )
 oracle("population_dim", POP_ONLY, "SELECT year, state, population FROM pop")
 oracle("population_nested", POP_ONLY, "SELECT year, state, population FROM pop")
@@ -379,7 +396,8 @@ oracle(
     "population_coverage",
     FP,
     """SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(population) AS BIGINT) AS rows_with_population,
-       count(population) / CAST(count(*) AS DOUBLE) * 100 AS coverage_pct, CAST(0 AS BIGINT) AS rows_missing_week
+       count(population) / CAST(count(*) AS DOUBLE) * 100 AS coverage_pct, 
+       CAST(count(*) FILTER (WHERE week % 10 = 3) AS BIGINT) AS rows_missing_week
 FROM fp""",
 )
 oracle(
@@ -490,17 +508,17 @@ def _pooled(prefix: str) -> str:
 
 oracle(
     "metric_period_rates",
-    FP,
+    FP + ", moved AS (SELECT * REPLACE (CASE WHEN year >= 2020 THEN year + 3 ELSE year END AS year) FROM fp)",
     "SELECT "
     + ",\n       ".join(
         f"{six(rate, f'rate_{p}')}, {six(_pooled(p), f'rate_pooled_weekly_{p}')}, "
         f"{six(f'{_pooled(p)} * 52.18::DOUBLE', f'rate_pooled_annual_{p}')}"
         for p, rate in RATES.items()
     )
-    + "\nFROM fp",
+    + "\nFROM moved",
 )
 ABOVE = ",\n       ".join(
-    f"CAST(trunc(coalesce(sum({d}) FILTER (WHERE {d} > 0 AND year BETWEEN 2020 AND 2022), 0)) AS BIGINT) AS {n}"
+    f"CAST(trunc(coalesce(sum(CAST({d} AS DECIMAL(28, 9))) FILTER (WHERE {d} > 0 AND year BETWEEN 2020 AND 2022), 0)) AS BIGINT) AS {n}"
     for d, n in (("deviation_from_avg", "total_above_avg"), ("deviation_from_expected", "total_above_expected"))
 )
 DASHBOARD = f"{FP}, {baselines('fp')}"
@@ -533,7 +551,9 @@ checks AS (
          CAST((SELECT sum(total_after) FROM t19) AS BIGINT), CAST((SELECT count(*) FROM t18) AS BIGINT),
          CAST((SELECT count(*) FROM t19) AS BIGINT), 5)""",
     f"""SELECT scope, name, total_before, total_after, states_before, states_after, {six(CHANGE, 'change_pct')},
-       CASE WHEN abs({CHANGE}) > lim THEN 'warning' ELSE 'reasonable' END AS status FROM checks""",
+       CASE WHEN abs({CHANGE}) > lim THEN 'warning' ELSE 'reasonable' END AS status,
+       name || ': ' || format('{{:,}}', total_before) || ' -> ' || format('{{:,}}', total_after)
+         || ' (' || printf('%+.1f', {CHANGE}) || '%)' AS report FROM checks""",
 )
 oracle(
     "state_yoy",
@@ -555,8 +575,12 @@ UNION ALL SELECT state, 'new in 2019' FROM t19 WHERE state NOT IN (SELECT state
 )
 oracle(
     "top5_yoy",
-    f"{UNEVEN}, {state_years('u')}, top AS (SELECT * FROM t19 ORDER BY total_after DESC, state LIMIT 5)",
-    f"""SELECT top.state, total_before, total_after, {six(CHANGE, 'change_pct')}
+    FACTS
+    + """, u AS (SELECT * REPLACE (CASE WHEN nk = 6 THEN deaths * 100 ELSE deaths END AS deaths) FROM f
+  WHERE NOT (nk = 6 AND year = 2018)), """
+    + f"{state_years('u')}, top AS (SELECT * FROM t19 ORDER BY total_after DESC, state LIMIT 5)",
+    f"""SELECT top.state, total_before, total_after, {six(CHANGE, 'change_pct')},
+       CASE WHEN total_before IS NULL THEN 'new in 2019' ELSE printf('%+.1f', {CHANGE}) || '% vs 2018' END AS note
 FROM top LEFT JOIN t18 ON t18.state = top.state""",
 )
 oracle(
@@ -566,7 +590,7 @@ oracle(
 GROUP BY state ORDER BY deaths DESC, state LIMIT 10""",
 )
 oracle("yearly_totals", W, "SELECT year, CAST(sum(deaths) AS BIGINT) AS deaths FROM w GROUP BY year")
-YEARLY = """SELECT year, CAST(sum(deaths) AS BIGINT) AS deaths, any_value(population) AS population
+YEARLY = """SELECT year, CAST(sum(deaths) AS BIGINT) AS deaths, CAST(arg_min(population + week * 7, week) AS BIGINT) AS population
   FROM fp WHERE state = 'United States' GROUP BY year"""
 oracle(
     "yearly_rate",
@@ -642,15 +666,27 @@ oracle(
 FROM best""",
 )
 
+oracle(
+    "summary_national",
+    FACTS + ", us AS (SELECT * FROM f WHERE state = 'United States'), "
+    "ty AS (SELECT year, CAST(sum(deaths) AS BIGINT) AS d FROM us GROUP BY year)",
+    """SELECT 'national' AS data_type, CAST(count(*) AS BIGINT) AS total_records, min(year) || '-' || max(year) AS years_covered,
+       CAST(sum(deaths) AS BIGINT) AS total_deaths, 'orders' AS data_sources,
+       (SELECT string_agg(year || '=' || d, ',' ORDER BY year) FROM ty) AS yearly_totals
+FROM us""",
+)
+
 
 def _dated(parity: bool) -> str:
     rule = sunday_week if parity else mmwr_week
     date = "date" if parity else f"coalesce(strftime({parsed('date')}, '%Y-%m-%d'), date)"
-    return f"""{EVENTS}, p AS (
+    year = "2019" if parity else mmwr_year("day")
+    moved = "(ts::DATE - CASE WHEN event_id % 3 = 0 THEN 1827 ELSE 0 END)"
+    return f"""{EVENTS}, back AS (SELECT * REPLACE ({DATE.replace('ts', moved)} AS date) FROM ev), p AS (
   SELECT label AS state, {number('number')} AS deaths, {parsed('date')} AS day, {date} AS week_ending_date
-  FROM ev WHERE event_id % 7 <> 5),
+  FROM back WHERE event_id % 7 <> 5),
 k AS (
-  SELECT 2019.0::DOUBLE AS year,
+  SELECT CAST({year} AS DOUBLE) AS year,
          CAST({'greatest(' + rule('day') + ' - 1, 1)' if parity else rule('day')} AS DOUBLE) AS week,
          week_ending_date, state, deaths
   FROM p WHERE deaths > 0
@@ -664,7 +700,7 @@ oracle("ingest_dated_file_parity", _dated(True), "SELECT * FROM o")
 
 
 def _country(parity: bool) -> str:
-    unit = "" if parity else "AND event_id % 5 <> 0"
+    unit = "" if parity else "AND event_id % 5 <> 0 AND week BETWEEN 1 AND 53"
     return f"""SELECT CAST(year AS DOUBLE) AS year, CAST(week AS DOUBLE) AS week, CAST(week AS DOUBLE) AS mmwr_week,
        'United States' AS state, CASE WHEN event_id % 7 = 5 THEN NULL ELSE {number('number')} END AS deaths,
        'World Mortality Dataset' AS data_source
@@ -712,11 +748,13 @@ for _name, _where in (
     oracle(_name, FP, OUTPUT.format("'orders'", "fp") + f" WHERE {_where}")
 
 
-def _compile(parity: bool) -> str:
-    """The whole batch on the four raw layouts, in typed form."""
-    rule = f"greatest({sunday_week('day')} - 1, 1)" if parity else mmwr_week("day")
+def _compile(parity: bool, names: tuple[str, ...] = ("dated", "country", "packed", "prov")) -> str:
+    """The whole batch on the raw layouts named, in typed form."""
+    rule = f"greatest({sunday_week('moved')} - 1, 1)" if parity else mmwr_week("moved")
     us_date = "strftime(CAST(week_ending_date AS DATE), '%-m/%-d/%Y')"
-    dated_text = f"CASE WHEN nk % 2 = 0 THEN week_ending_date ELSE {us_date} END" if parity else "week_ending_date"
+    iso_moved, us_moved = (f"strftime(moved, '{p}')" for p in ("%Y-%m-%d", "%-m/%-d/%Y"))
+    dated_text = f"CASE WHEN nk % 2 = 0 THEN {iso_moved} ELSE {us_moved} END" if parity else iso_moved
+    dated_year = "2019" if parity else mmwr_year("moved")
     provisional_text = us_date if parity else "week_ending_date"
     unit = "" if parity else "AND week <> 53"
 
@@ -726,10 +764,14 @@ def _compile(parity: bool) -> str:
   FROM {name} GROUP BY ALL"""
 
     _source_order = {"dated": 0, "packed": 2, "prov": 3}
+    parts = {name: fold_source(name) for name in _source_order} | {
+        "country": f"""SELECT 1, year, week, CAST(NULL AS VARCHAR), 'United States', 'World Mortality Dataset', deaths * 10
+  FROM r WHERE nk = 0 AND year BETWEEN 2015 AND 2020 {unit}"""
+    }
     return f"""{W},
 r AS (SELECT nk, {_list(SOURCE_NAMES)}[nk + 1] AS state, year, week, week_ending_date, deaths,
-             CAST(week_ending_date AS DATE) AS day FROM w),
-dated AS (SELECT 2019 AS year, {rule} AS week, {dated_text} AS week_ending_date, state, deaths,
+             CAST(week_ending_date AS DATE) + 7301 AS moved FROM w),
+dated AS (SELECT {dated_year} AS year, {rule} AS week, {dated_text} AS week_ending_date, state, deaths,
                  'Local 2019 File' AS data_source
   FROM r WHERE year = 2019 AND state <> 'United States' AND NOT (nk = 7 AND week % 10 = 0)),
 packed AS (SELECT year, week, CAST(NULL AS VARCHAR) AS week_ending_date, state, deaths, 'Archived NCHS' AS data_source
@@ -738,11 +780,7 @@ prov AS (SELECT year, week, {provisional_text} AS week_ending_date, state, death
                 'CDC Provisional' AS data_source
   FROM r WHERE year >= 2020 AND NOT (nk = 11 AND week = 9) AND NOT (nk = 12 AND week = 3) AND NOT (nk = 13 AND week = 2)),
 merged AS (
-  {fold_source('dated')}
-  UNION ALL SELECT 1, year, week, NULL, 'United States', 'World Mortality Dataset', deaths * 10
-  FROM r WHERE nk = 0 AND year BETWEEN 2015 AND 2020 {unit}
-  UNION ALL {fold_source('packed')}
-  UNION ALL {fold_source('prov')}),
+  {" UNION ALL ".join(parts[name] for name in names)}),
 deduped AS (
   SELECT CAST(year AS INT) AS year, CAST(week AS INT) AS week, CAST(week AS INT) AS mmwr_week, week_ending_date, state,
          deaths, data_source
@@ -754,6 +792,24 @@ deduped AS (
 
 oracle("flagship_compile", _compile(False), OUTPUT.format("data_source", "out"))
 oracle("flagship_compile_parity", _compile(True), OUTPUT.format("data_source", "out"))
+oracle(
+    "flagship_landing",
+    _compile(False, ("dated", "prov")),
+    OUTPUT.format("data_source", "out") + " WHERE state <> 'United States'",
+)
+oracle(
+    "flagship_landing_counts",
+    _compile(False, ("dated", "prov")),
+    """SELECT 0 AS step, 'dated_file read' AS stage, CAST(count(*) AS BIGINT) AS rows FROM r WHERE year = 2019
+UNION ALL SELECT 1, 'dated_file normalised', CAST(count(*) AS BIGINT) FROM merged WHERE source_ord = 0
+UNION ALL SELECT 2, 'country_series read', 0
+UNION ALL SELECT 3, 'country_series normalised', 0
+UNION ALL SELECT 4, 'packed_week read', 0
+UNION ALL SELECT 5, 'packed_week normalised', 0
+UNION ALL SELECT 6, 'provisional read', CAST(count(*) AS BIGINT) FROM r WHERE year >= 2019
+UNION ALL SELECT 7, 'provisional normalised', CAST(count(*) AS BIGINT) FROM merged WHERE source_ord = 3
+UNION ALL SELECT 8, 'cleaned', CAST(count(*) AS BIGINT) FROM deduped""",
+)
 oracle(
     "flagship_deviation",
     f"{BEST}, {baselines('best')}, {POP_ONLY}, {asof('b', 'pop', 'bp')}",

@@ -7,17 +7,17 @@ customer counts (population) or from the event stream (dirty text).
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallyweek.functions.calendar import epi_week, week_ending
 from tallyweek.schema import CITY, CITY_PARENT, JURISDICTIONS, NATIONAL
 
 YEAR_SHIFT = 20
+#: days of 1043 weeks, about as many years.
+DATE_SHIFT = 7301
+#: days by which a third of the events go back, from 2024 to 2019.
+EVENT_SHIFT = 1827
 _OTHERS = [name for name in JURISDICTIONS if name not in (NATIONAL, CITY_PARENT)]
 #: nation key -> jurisdiction, for operators that look for known names.
 FACT_NAMES = [NATIONAL, CITY_PARENT, *_OTHERS[:23]]
@@ -29,37 +29,17 @@ FOLD_NAMES = {0: NATIONAL, 1: CITY_PARENT, 2: CITY, 3: "Bronx NYC", 4: "nyc lowe
 EVENT_NAMES = [NATIONAL, CITY_PARENT, CITY, "Bronx NYC", "Ohio", "Texas", "Total", None]
 
 
-_schemas: dict[tuple[str, str], StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its schema is read from a file footer once per application."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared place the session names.
+    """The folder of a query that writes, in the place all executors share.
 
-    Only a local session may do without one; a folder of one machine is of no
-    use to the executors of a cluster.
+    A query has one folder per application and overwrites what it wrote before.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tallyweek-")
-    return f"{root.rstrip('/')}/tallyweek/{name}-{uuid.uuid4().hex}"
-
-
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """Write a table out and read it back: what follows starts from files."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/tallyweek/{spark.sparkContext.applicationId}/{name}"
 
 
 def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,15 +110,16 @@ def foldable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def two_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Source A: dated rows of even nations. Source B: undated rows of all.
+    """Source A: dated rows of even nations. Source B: rows of all, dated for every sixth nation.
 
-    Both are cut from one landed table, so the orders are read once.
+    Every sixth nation so has equally complete rows in both.
     """
-    rows = landed(weekly(spark, sf_dir), "weekly")
+    rows = weekly(spark, sf_dir)
     columns = ["year", "week", "mmwr_week", "state", "deaths"]
     dated = rows.filter(F.col("nk") % 2 == 0).select(*columns, "week_ending_date", F.lit("A").alias("data_source"))
-    undated = rows.withColumn("deaths", F.col("deaths") * 10).select(*columns, F.lit("B").alias("data_source"))
-    return [dated, undated]
+    date = F.when(F.col("nk") % 6 == 0, F.col("week_ending_date")).alias("week_ending_date")
+    tens = rows.withColumn("deaths", F.col("deaths") * 10)
+    return [dated, tens.select(*columns, date, F.lit("B").alias("data_source"))]
 
 
 def uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +154,21 @@ def date_text(key: Column, day: Column) -> Column:
     )
 
 
+#: pattern of each spelling of a date, by event id; one is not a date.
+SPELLINGS = [
+    "yyyy-MM-dd", "M/d/yyyy", "yyyy/M/d", "d/M/yyyy", "yyyyMMdd", "dd-MMM-yyyy", "MM-dd-yyyy", "d MMMM yyyy", "MMM d yyyy",
+    "MMMM d, yyyy", "yyyy.MM.dd", "M/d/yy", "EEEE, MMMM d, yyyy", "yyyy-MM-dd'T'HH:mm:ss", "'week' d 'of' yyyy",
+]
+
+
+def any_date_text(key: Column, day: Column) -> Column:
+    """A date in one of SPELLINGS."""
+    kind, text = key % len(SPELLINGS), F.lit(None).cast("string")
+    for number, pattern in enumerate(SPELLINGS):
+        text = F.when(kind == number, F.date_format(day, pattern)).otherwise(text)
+    return text
+
+
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, day, label, number text, date text, year and week as numbers."""
     key, day = F.col("event_id"), F.col("ts").cast("date")
@@ -189,8 +185,11 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_dated_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows is of five years before the others."""
+    key = F.col("event_id")
+    day = F.when(key % 3 == 0, F.date_sub("day", EVENT_SHIFT)).otherwise(F.col("day"))
     return dirty_events(spark, sf_dir).select(
-        F.col("date").alias("Week Ending Date"),
+        date_text(key, day).alias("Week Ending Date"),
         F.col("label").alias("Jurisdiction of Occurrence"),
         F.col("number").alias("All Cause"),
     )
@@ -232,16 +231,16 @@ def raw_packed_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All four raw layouts cut out of ``weekly``, with dirt in each.
 
-    The counts are landed first, as real sources are, so the orders behind them
-    are read once and not once per layout.
+    The dated file's Saturdays move by whole weeks to about the year of their rows.
     """
-    rows = landed(weekly(spark, sf_dir), "weekly").withColumn("label", _name_of(SOURCE_NAMES))
+    rows = weekly(spark, sf_dir).withColumn("label", _name_of(SOURCE_NAMES))
+    saturday = F.date_add(F.col("week_ending_date").cast("date"), DATE_SHIFT)
     nk, year, week, deaths = (F.col(c) for c in ("nk", "year", "week", "deaths"))
     us_date = F.date_format(F.col("week_ending_date").cast("date"), "M/d/yyyy")
     text = deaths.cast("string")
     return {
         "dated_file": rows.filter(year == 2019).select(
-            F.when(nk % 2 == 0, F.col("week_ending_date")).otherwise(us_date).alias("Week Ending Date"),
+            F.when(nk % 2 == 0, saturday.cast("string")).otherwise(F.date_format(saturday, "M/d/yyyy")).alias("Week Ending Date"),
             F.col("label").alias("Jurisdiction of Occurrence"),
             F.when((nk == 7) & (week % 10 == 0), F.lit("1,234")).otherwise(text).alias("All Cause"),
         ),
