@@ -27,6 +27,7 @@ def typed_empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def _canonical_name(header: str) -> str | None:
+    # fixed values: the words that tell a published header
     header = header.lower()
     if "week" in header and "date" in header:
         return "week_ending_date"

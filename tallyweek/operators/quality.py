@@ -162,6 +162,7 @@ def yearly_rate(national: DataFrame) -> DataFrame:
         total(F.col("deaths")).alias("deaths"), F.min_by("population", first_week).alias("population")
     )
     rate = per_100k(F.col("deaths"), F.col("population"))
+    # fixed values: the wording of the published line
     line = F.concat(F.col("year"), F.lit(": "), thousands_text(F.col("deaths")), F.lit(" deaths"))
     detail = F.concat(
         F.lit(" | Pop: "),

@@ -115,6 +115,9 @@ def reports(facts: DataFrame) -> dict[str, DataFrame]:
 
 
 def chart(facts: DataFrame, kind: str, states: Sequence[str] = (ALL_STATES,)) -> tuple[DataFrame, DataFrame]:
-    """Data of one chart of compiled facts: year-by-week points and line ends."""
+    """Data of one chart of compiled facts: year-by-week points and line ends.
+
+    Compiled facts have one row per year, week and state, as the dedup leaves them.
+    """
     points = series(with_baselines(facts, one_row_per_week=True), kind, states)
     return points, endpoints(points)
