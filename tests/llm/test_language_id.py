@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyweek.llm import language_id
 
@@ -67,5 +68,5 @@ def test_odd(odd_docs, no_docs):
 
 
 def test_nothing_learned(spark, odd_docs):
-    unlabelled = odd_docs.withColumn("lang", odd_docs["lang"].substr(0, 0).cast("int").cast("string"))
+    unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language_id.identify_all(unlabelled).collect()} == {"und"}
