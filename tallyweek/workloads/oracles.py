@@ -140,6 +140,10 @@ EVENTS = f"""ev AS (
          CAST(2014 + event_id % 8 AS INT) AS year, CAST(event_id % 56 AS INT) AS week
   FROM events)"""
 
+# the dated file: a third of the events lies five years back
+MOVED = "(ts::DATE - CASE WHEN event_id % 3 = 0 THEN 1827 ELSE 0 END)"
+BACK = f"back AS (SELECT * REPLACE ({DATE.replace('ts', MOVED)} AS date) FROM ev)"
+
 
 def number(text: str) -> str:
     return f"(CASE WHEN isnan(try_cast(trim({text}) AS DOUBLE)) THEN NULL ELSE try_cast(trim({text}) AS DOUBLE) END)"
@@ -219,9 +223,9 @@ FROM ev GROUP BY 1, 2""",
 )
 oracle(
     "discover_columns",
-    EVENTS,
+    f"{EVENTS}, {BACK}",
     """SELECT date AS week_ending_date, label AS state, number AS deaths, CAST(count(*) AS BIGINT) AS n
-FROM ev GROUP BY date, label, number""",
+FROM back GROUP BY date, label, number""",
 )
 oracle(
     "valid_measure",
@@ -681,8 +685,7 @@ def _dated(parity: bool) -> str:
     rule = sunday_week if parity else mmwr_week
     date = "date" if parity else f"coalesce(strftime({parsed('date')}, '%Y-%m-%d'), date)"
     year = "2019" if parity else mmwr_year("day")
-    moved = "(ts::DATE - CASE WHEN event_id % 3 = 0 THEN 1827 ELSE 0 END)"
-    return f"""{EVENTS}, back AS (SELECT * REPLACE ({DATE.replace('ts', moved)} AS date) FROM ev), p AS (
+    return f"""{EVENTS}, {BACK}, p AS (
   SELECT label AS state, {number('number')} AS deaths, {parsed('date')} AS day, {date} AS week_ending_date
   FROM back WHERE event_id % 7 <> 5),
 k AS (
