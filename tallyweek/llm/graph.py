@@ -32,13 +32,23 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return nodes[label[child]], nodes[child]
 
 
+#: Edges that one task contracts before the stars begin.
+EDGES_PER_TASK = 1 << 20
+
+
 def _contracted(edges: DataFrame) -> DataFrame:
-    """The edges of each batch as a forest; this only saves rows."""
+    """The edges of each partition as a forest, which joins the same nodes with fewer rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            low, high = forest(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["low", "high"])
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            if sum(len(part) for part, _ in held) > max(len(low), 1 << 17):
+                low, high = forest(np.concatenate([low, *(a for a, _ in held)]), np.concatenate([high, *(b for _, b in held)]))
+                held = []
+        low, high = forest(np.concatenate([low, *(a for a, _ in held)]), np.concatenate([high, *(b for _, b in held)]))
+        yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["low", "high"])
 
     return edges.select("low", "high").mapInArrow(run, "low long, high long")
 
@@ -49,7 +59,10 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars in turn until nothing changes. A node's neighbours are never gathered, only
     their minimum is taken, so a node may have any number of them.
     """
-    current = cut(_contracted(edges.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high")).where("low < high")).distinct())
+    ordered = edges.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high")).where("low < high")
+    current = cut(_contracted(ordered))
+    # once more over as few partitions as the edges that are left allow
+    current = cut(_contracted(current.repartition(-(-current.count() // EDGES_PER_TASK) or 1, "low")).distinct())
     while True:
         # large star: every larger neighbour of a node goes to the node's smallest neighbour or itself
         both = current.unionByName(current.select(F.col("high").alias("low"), F.col("low").alias("high")))

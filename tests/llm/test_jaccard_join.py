@@ -109,7 +109,9 @@ def test_partial_overlaps_sum_up():
         assert not linked or found == common
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [7, 1 << 20])
+def test_components(spark, monkeypatch, per_task):
+    monkeypatch.setattr(graph, "EDGES_PER_TASK", per_task)
     draw = random.Random(9)
     edges = [(a, a + 1) for a in range(1, 60)] + [(1000, 1000 + n) for n in range(1, 80)] + [(draw.randrange(2000, 2100), draw.randrange(2000, 2100)) for _ in range(70)]
     root = {}
