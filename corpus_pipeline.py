@@ -38,10 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, n_tokens, ids, and whether they decode to the text."""
-    coded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), vocabulary_path())
-    back = bpe.decode(coded, vocabulary_path())
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))
-    return back.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), vocabulary_path(), verify=True)
+    return coded.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

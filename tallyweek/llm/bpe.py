@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pieces and pairs that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Rows that are worked on at once.
+ROWS = 256
 
 #: How byte-level vocabularies split a text into pieces.
 PIECES = (
@@ -215,21 +217,33 @@ class Coder:
         return self.vocabulary.decode(ids.astype(np.int64)).decode("utf-8", errors="replace")
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
+def encode(docs: DataFrame, path: str, verify: bool = False) -> DataFrame:
     """All columns but ``ids``, then ids (array<int>). A null text counts as empty and has no ids.
 
-    ``path`` is the vocabulary's file, found under that path on every executor.
+    ``path`` is the vocabulary's file, found under that path on every executor. With ``verify`` the ids
+    are decoded as well, and ``round_trip`` says whether they give the text.
     """
-    names = [name for name in docs.columns if name != "ids"]
+    added = ["ids", "round_trip"] if verify else ["ids"]
+    names = [name for name in docs.columns if name not in added]
     schema = docs.select(*[F.col(f"`{name}`") for name in names]).schema.add("ids", T.ArrayType(T.IntegerType()))
+    schema = schema.add("round_trip", T.BooleanType()) if verify else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(path)
-        for batch in batches:
-            coded = [coder.encode(text or "") for text in batch.column(names.index("text")).to_pylist()]
+        for batch in _slices(batches):
+            texts = [text or "" for text in batch.column(names.index("text")).to_pylist()]
+            coded = [coder.encode(text) for text in texts]
             ends = np.cumsum([0, *map(len, coded)], dtype=np.int32)
-            values = np.concatenate([np.empty(0, "<u4"), *coded]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(ends, values)], names=[*names, "ids"])
+            columns = [*batch.columns, pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, "<u4"), *coded]).astype(np.int32))]
+            if verify:
+                columns.append(pa.array([coder.decode(ids) == text for ids, text in zip(coded, texts, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])
 
     return docs.select(*[F.col(f"`{name}`") for name in names]).mapInArrow(run, schema)
 
@@ -241,8 +255,9 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(path)
-        for batch in batches:
-            texts = [coder.decode(np.array(ids or [], np.int64)) for ids in batch.column(names.index("ids")).to_pylist()]
+        for batch in _slices(batches):
+            ids = batch.column(names.index("ids"))
+            texts = [coder.decode(one.values.to_numpy(zero_copy_only=False)) if one.is_valid else "" for one in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     return coded.select(*[F.col(f"`{name}`") for name in names]).mapInArrow(run, schema)
