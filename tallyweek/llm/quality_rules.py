@@ -248,23 +248,31 @@ def rules_from_labels(stats: DataFrame, labels: DataFrame, **how) -> list[Rule]:
     return learn_rules(labelled, list(RATIOS), **how)
 
 
+def _judged(docs: DataFrame, labels: DataFrame, **how) -> tuple[DataFrame, list[Rule]]:
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    ratios = with_ratios(cut(text_statistics(texts).drop("text")))
+    rules = rules_from_labels(ratios, labels, **how)
+    kept = ~base_failed() & verdict(rules)
+    return ratios.withColumns({"base_failed": base_failed(), "kept": kept}), rules
+
+
 def judged(docs: DataFrame, labels: DataFrame, **how) -> tuple[DataFrame, list[Rule]]:
     """doc_id, the statistics, base_failed and kept of every row, and the learned rules.
 
     Repeated ids are separate rows. Rows without words fail the fixed rules. An empty table gives an
     empty result.
     """
-    stats = text_statistics(docs.select("doc_id", "text")).drop("text")
-    stats = cut(stats)
-    ratios = with_ratios(stats)
-    rules = rules_from_labels(ratios, labels, **how)
-    kept = ~base_failed() & verdict(rules)
-    return ratios.select("doc_id", *BASE, base_failed().alias("base_failed"), kept.alias("kept")), rules
+    rows, rules = _judged(docs, labels, **how)
+    return rows.select("doc_id", *BASE, "base_failed", "kept"), rules
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
-    """The rows that are kept, with all their columns; the rules are learned as in ``judged``."""
-    _, rules = judged(docs, labels, **how)
+    """The rows that are kept, with all their columns; the rules are learned as in ``judged``.
+
+    The statistics are computed once; a row goes if its doc_id and the hash of its text were rejected.
+    """
     names = [F.col(f"`{name}`") for name in docs.columns]
-    whole = docs.select("text", F.struct(*names).alias("_row"))
-    return with_ratios(text_statistics(whole)).where(~base_failed() & verdict(rules)).select("_row.*")
+    rows, _ = _judged(docs, labels, **how)
+    rejected = rows.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
+    return docs.withColumn("_key", F.xxhash64("text")).join(rejected, same, "left_anti").select(*names)
