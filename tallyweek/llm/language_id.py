@@ -8,12 +8,12 @@ the bits with the weight each bit earned in training.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ BITS = 63
 UNKNOWN = "und"
 #: Bytes of text whose features are counted at once.
 AT_ONCE = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def codewords(classes: int, seed: int = 7) -> np.ndarray:

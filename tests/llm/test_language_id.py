@@ -34,7 +34,7 @@ def test_mixed_texts_are_ambiguous(texts, spark):
     model = language_id.fit(texts)
     mixed = " ".join(WORDS["en"] + WORDS["fr"])
     pure = " ".join(WORDS["en"])
-    docs = spark.createDataFrame([(1, mixed), (2, pure), (3, None), (4, "1234 !!"), (5, "")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, mixed), (2, pure), (3, None), (4, "1234 ²½ Ⅳ_ !!"), (5, "")], "doc_id long, text string")
     out = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
     assert out[1].score < out[2].score and out[2].lang_pred == "en" and not out[2].ambiguous
     assert [out[n].lang_pred for n in (3, 4, 5)] == ["und"] * 3 and out[3].score == 0
