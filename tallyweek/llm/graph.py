@@ -62,7 +62,7 @@ def components(edges: DataFrame) -> DataFrame:
     ordered = edges.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high")).where("low < high")
     current = cut(_contracted(ordered))
     # once more over as few partitions as the edges that are left allow
-    current = cut(_contracted(current.repartition(-(-current.count() // EDGES_PER_TASK) or 1, "low")).distinct())
+    current = cut(_contracted(current.repartition(-(-current.count() // EDGES_PER_TASK) or 1, "high")).distinct())
     while True:
         # large star: every larger neighbour of a node goes to the node's smallest neighbour or itself
         both = current.unionByName(current.select(F.col("high").alias("low"), F.col("low").alias("high")))

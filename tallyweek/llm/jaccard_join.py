@@ -122,12 +122,14 @@ def _class_table(sets: DataFrame) -> DataFrame:
     )
 
 
-def ordered_classes(classes: DataFrame, percent: int) -> DataFrame:
+def ordered_classes(sets: DataFrame, percent: int) -> DataFrame:
     """set_key, n, tokens (shared by two classes, in global order), counts (of classes), prefix (how many of tokens).
 
-    Classes that cannot link any more are left out.
+    Equal sets are one class; classes that cannot link any more are left out.
     """
-    total = classes.agg(F.coalesce(F.sum(F.octet_length("shared")), F.lit(0))).first()[0] // 8
+    classes = _class_table(sets)
+    # counted before equal sets meet, which is enough to size blocks
+    total = sets.agg(F.coalesce(F.sum(F.octet_length("shared")), F.lit(0))).first()[0] // 8
     blocks, buckets = max(1, -(-total // BLOCK_SHINGLES)), packed.LEAST_BUCKETS + total // (1 << 18)
     grouped = classes.withColumn("block", F.pmod(F.xxhash64("set_key"), F.lit(blocks)).cast("int"))
 
@@ -335,7 +337,7 @@ def linked_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, b
     table gives an empty result; other columns are not read.
     """
     sets = cut(shingle_sets(docs, width, percent, block_bytes))
-    classes = cut(ordered_classes(_class_table(sets), percent))
+    classes = cut(ordered_classes(sets, percent))
     roots = cut(components(links(classes, percent)))
     has_words = F.col("n_shingles") > 0
     joined = (
