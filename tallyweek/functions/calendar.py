@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweek.functions.columns import compute_once
+
 # The day of the Sunday-to-Saturday week that decides which year owns it:
 # the Sunday itself, or the Wednesday (so that at least four days fall inside).
 _ANCHOR_DAY = {"first_sunday": 0, "mmwr": 3}
@@ -103,4 +105,5 @@ def parse_date(text: Column, offset_dates: bool = True, pivot: int = CENTURY_PIV
 def unparsed_dates(df: DataFrame, column: str = "week_ending_date", offset_dates: bool = True) -> DataFrame:
     """Date texts that are not understood, with their number of rows; nulls are not texts."""
     texts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("text")).agg(F.count(F.lit(1)).alias("rows"))
-    return texts.filter(parse_date(F.col("text"), offset_dates).isNull())
+    parsed = compute_once(texts, {"day": parse_date(F.col("text"), offset_dates)})
+    return parsed.filter(F.col("day").isNull()).select("text", "rows")
