@@ -156,6 +156,56 @@ def shard_quotas(targets: DataFrame, block_words: int, shards: int, seed: str) -
     return with_quota.join(rooms, "part").groupBy("part").applyInPandas(inner, schema)
 
 
+#: Documents on either side of the end of a source's line that may change places.
+NEAR_END = 8
+
+
+def at_documents(lined: DataFrame) -> DataFrame:
+    """source, row_key, start, words: the documents at the end of each source's line, so ordered that it ends with one.
+
+    Of up to 16 documents around the end those are taken whole whose words come nearest to the target; of
+    equally near choices the larger, then the one that changes the line least. A source with a target is
+    never left empty. A line that ends with a copy of the whole source, or without words, has no rows here.
+    """
+    near = (
+        lined.withColumn("_past", F.expr("words % nullif(source_size, 0)"))
+        .where((F.col("size") > 0) & (F.col("_past") > 0))
+        .withColumn("_before", F.col("start") < F.col("_past"))
+    )
+    # documents with words have different starts; a filtered rank sends a few rows per task and source
+    rank = F.row_number().over(Window.partitionBy("source", "_before").orderBy(F.abs(F.col("start") - F.col("_past"))))
+    near = near.withColumn("_rank", rank).where(F.col("_rank") <= NEAR_END)
+
+    def choose(group: pd.DataFrame) -> pd.DataFrame:  # at most 2 * NEAR_END rows
+        group = group.sort_values("start", ignore_index=True)
+        sizes = group["size"].to_numpy(np.int64)
+        first, past, words = (int(group[name].iloc[0]) for name in ("start", "_past", "words"))
+        sums = np.zeros(1, np.int64)  # words of every choice; document n is bit n
+        for size in sizes.tolist():
+            sums = np.concatenate([sums, sums + size])
+        off = np.abs(sums - (past - first))
+        if words == past and first == 0:
+            off[0] = np.iinfo(np.int64).max
+        nearest = np.flatnonzero(off == off.min())
+        nearest = nearest[sums[nearest] == sums[nearest].max()]
+        bits = np.arange(len(sizes))
+        chosen = nearest[:, None] >> bits & 1 == 1
+        chosen = chosen[(chosen != (group["start"].to_numpy(np.int64) + sizes <= past)).sum(axis=1).argmin()]
+        order = np.argsort(~chosen, kind="stable")
+        ends = first + sizes[order].cumsum()
+        return pd.DataFrame(
+            {
+                "source": group["source"],
+                "row_key": group["row_key"].to_numpy()[order],
+                "start": ends - sizes[order],
+                "words": words - past + first + int(sizes[chosen].sum()),
+            }
+        )
+
+    near = near.select("source", "row_key", "size", "start", "words", "_past")
+    return near.groupBy("source").applyInPandas(choose, "source string, row_key long, start long, words long")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -163,6 +213,7 @@ def mix(
     shards: int = 16,
     block_words: int = BLOCK_WORDS,
     seed: str = SEED,
+    whole_documents: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The documents with their source's target, and the pieces that the shards drew.
 
@@ -172,6 +223,9 @@ def mix(
     A null or blank text has no words and gives no piece; a null source is a source; rows that
     agree in doc_id are separate documents that stand next to each other. An empty table gives two
     empty results; other columns are not read.
+
+    Targets are met to the word, which cuts one copy of a source; with ``whole_documents`` no copy is
+    cut, and a source's words are as near to its target as ``at_documents`` brings them.
     """
     sized = cut(
         docs.select(
@@ -204,6 +258,17 @@ def mix(
     )
     known = targets.withColumnRenamed("source", "_of").drop("rows")
     lined = cut(lined.join(known, F.col("source").eqNullSafe(F.col("_of"))).drop("_of"))
+    if whole_documents:
+        moved = cut(at_documents(lined))
+        ends = moved.groupBy(F.col("source").alias("_of")).agg(F.max("words").alias("_words"))
+        starts = moved.select("row_key", F.col("start").alias("_start"))
+
+        def ended(rows: DataFrame) -> DataFrame:
+            rows = rows.join(ends, F.col("source").eqNullSafe(F.col("_of")), "left")
+            return rows.withColumn("words", F.coalesce("_words", "words")).drop("_of", "_words")
+
+        lined = ended(lined.join(starts, "row_key", "left").withColumn("start", F.coalesce("_start", "start")).drop("_start"))
+        lined, targets = cut(lined), cut(ended(targets))
 
     # each copy of a document lies at start + epoch * source_size; it is cut where the mix ends and at block ends
     copies = (
@@ -251,8 +316,9 @@ def taken_words(docs: DataFrame, **how) -> DataFrame:
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """The mix as rows of ``docs``: one for each time a document is taken.
 
-    The one copy of a source that its target cuts has its first words only, joined by spaces, and its
-    own n_chars, if there is such a column. Rows that agree in doc_id, source and text are interchangeable.
+    With ``whole_documents`` every row is an unchanged row of ``docs``. Without it the one copy of a source
+    that its target cuts has its first words only, with the blanks between them, and its own n_chars, if there
+    is such a column. Rows that agree in doc_id, source and text are interchangeable.
     """
     lined, pieces = mix(docs, **how)
     copies = pieces.groupBy("row_key", "epoch").agg(F.sum("words").alias("_words")).join(lined, "row_key")
@@ -271,7 +337,8 @@ def mixed_rows(docs: DataFrame, **how) -> DataFrame:
         F.col("_id").eqNullSafe(F.col("_of_id")) & F.col("_source").eqNullSafe(F.col("_of_source")) & (F.col("_key") == F.col("_of_key")),
     )
     whole = F.col("_words") == F.col("_size")
-    begun = F.array_join(F.slice(F.regexp_extract_all(F.col("_row.text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
+    parts = F.regexp_extract_all(F.col("_row.text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))  # words with the blanks before them
+    begun = F.array_join(F.slice(parts, F.lit(1), F.col("_words").cast("int")), "")
     out = taken.withColumn("_text", F.when(whole, F.col("_row.text")).otherwise(begun))
     columns = []
     for field in docs.schema.fields:

@@ -108,3 +108,39 @@ def test_many_sources_are_split_in_two_tiers(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SOURCES_PER_TASK", 4)
     docs = spark.range(200).selectExpr("id AS doc_id", "'s' || id % 40 AS source", "repeat('w ', cast(5 + id % 60 AS int)) AS text")
     check(docs)
+
+
+def test_whole_documents_come_nearest_to_the_target(spark, some_docs, odd_docs):
+    few = spark.range(60).selectExpr("id AS doc_id", "repeat('w\n', cast(3 + id * id % 90 AS int)) AS text", "'s' || id % 25 AS source")
+    for docs in (some_docs, odd_docs, few):
+        lined, pieces = mixing.mix(docs, whole_documents=True)
+        found = {r.row_key: r for r in lined.collect()}
+        taken = defaultdict(int)
+        for p in pieces.collect():
+            taken[p.row_key, p.epoch] += p.words
+        assert all(words == found[key]["size"] for (key, _), words in taken.items())
+        per_source, sizes = defaultdict(int), defaultdict(list)
+        for (key, _), count in taken.items():
+            per_source[found[key].source] += count
+        for r in found.values():
+            sizes[r.source] += [r["size"]] * (r["size"] > 0)
+        for r in found.values():
+            off = abs(per_source[r.source] - r.target)
+            if per_source[r.source] != min(sizes[r.source], default=0):
+                assert off <= max(sizes[r.source]) / 2 + 1
+
+
+def test_whole_documents_are_unchanged_rows(spark, some_docs, odd_docs):
+    few = spark.range(60).selectExpr("id AS doc_id", "repeat('w\n', cast(3 + id * id % 90 AS int)) AS text", "'s' || id % 25 AS source")
+    for docs in (some_docs, odd_docs, few):
+        before, after = docs.collect(), mixing.mixed_rows(docs, whole_documents=True).collect()
+        assert after and {(r.doc_id, r.text, r.source) for r in after} <= {(r.doc_id, r.text, r.source) for r in before}
+        assert {r.source for r in after} == {r.source for r in before if words(r.text)}
+
+
+def test_a_cut_copy_keeps_its_line_breaks(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat(' one\ntwo\t three\n\n', cast(3 + id AS int)) AS text", "'s' || id % 5 AS source")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = mixing.mixed_rows(docs).collect()
+    assert all(texts[r.doc_id].startswith(r.text) for r in rows)
+    assert any(r.text != texts[r.doc_id] for r in rows)
