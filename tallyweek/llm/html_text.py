@@ -4,7 +4,8 @@ Every DOM node gets the density of its text: characters per tag, lowered where
 links hold much of it, relative to the whole body. The densities of a node's
 children are summed; the node with the largest sum is the centre of the content.
 The smallest density on its path to the body is the threshold: below every node
-that reaches it, the subtree with the largest sum is content too.
+that reaches it, the subtree with the largest sum is content too. If the centre
+lies in an article or main, the outermost of these is content as a whole.
 """
 
 from __future__ import annotations
@@ -138,9 +139,13 @@ def main_text(html: str) -> str:
             content[up] = True
         if tags[at] == "h1" or heading[at]:
             heading[up] = True
-    gone, article = [False] * count, [-1] * count
+    gone, article, region = [False] * count, [-1] * count, [-1] * count  # innermost article; outermost article or main
     for at in range(count):
         up = parents[at]
+        if at and region[up] >= 0:
+            region[at] = region[up]
+        elif tags[at] in ("article", "main") and not _words(tree.attrs[at]) & {"comment", "comments"}:
+            region[at] = at
         inside = at and article[up] >= 0
         outer = content[at] or heading[at] and not inside
         gone[at] = bool(at) and (gone[up] or _is_furniture(tags[at], tree.attrs[at], outer, heading[at] and inside))
@@ -179,15 +184,14 @@ def main_text(html: str) -> str:
             best[parents[at]] = best[at]
     centre = best[0]
     chosen = [False] * count
-    if article[centre] >= 0:
-        chosen[article[centre]] = True
-    else:
-        threshold, at = density[centre], centre
-        while at >= 0:
-            threshold, at = min(threshold, density[at]), parents[at]
-        for at in range(count):
-            if density[at] >= threshold and not gone[at]:
-                chosen[best[at]] = True
+    if region[centre] >= 0:
+        chosen[region[centre]] = True
+    threshold, at = density[centre], centre
+    while at >= 0:
+        threshold, at = min(threshold, density[at]), parents[at]
+    for at in range(count):
+        if density[at] >= threshold and not gone[at]:
+            chosen[best[at]] = True
     parts = []
     for at in range(count):
         chosen[at] = chosen[at] or at > 0 and chosen[parents[at]]

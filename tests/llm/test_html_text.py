@@ -80,6 +80,32 @@ def test_plain_empty_and_odd():
         main_text(f"<p>{LONG}</p>{broken}")
 
 
+def paragraphs(name, count):
+    return "".join(f"<p>{name} {number}: {LONG}</p>" for number in range(count))
+
+
+def plain(*parts):
+    return " ".join(" ".join(parts).replace("<p>", " ").replace("</p>", " ").split())
+
+
+def test_sibling_articles_stay():
+    first, second = paragraphs("first", 5), paragraphs("second", 4)
+    found = main_text(page(f"<h1>Head</h1><article>{first}</article><article>{second}</article>", MENU))
+    assert plain(first) in found and plain(second) in found
+
+
+def test_articles_around_an_article_stay():
+    lead, inner, tail = paragraphs("lead", 1), paragraphs("inner", 6), "<p>Short tail.</p>"
+    assert main_text(page(f"<article>{lead}<article>{inner}</article>{tail}</article>", MENU)) == plain(lead, inner, tail)
+    comment = '<article class="comment"><p>I think that this is wrong.</p></article>'
+    assert main_text(page(f"<article>{inner}{comment}</article>", MENU)) == plain(inner)
+
+
+def test_text_of_main_beside_the_article_stays():
+    lead, inner, tail = "<p>A lead.</p>", paragraphs("inner", 6), paragraphs("tail", 1)
+    assert main_text(page(f"<main>{lead}<article>{inner}</article>{tail}</main>", MENU)) == plain(lead, inner, tail)
+
+
 def test_table(spark):
     rows = [(1, "u", page(ARTICLE, MENU), "x"), (1, "u", page(ARTICLE, MENU), "x"), (None, None, None, "y"), (3, "v", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
