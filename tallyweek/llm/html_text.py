@@ -37,6 +37,7 @@ FURNITURE = frozenset(
     "subscription signup login signin search form toolbar pagination pager copyright legal disclaimer widget widgets skip "
     "complementary contentinfo dialog hidden".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus discussion reply replies respond".split())
 #: A start tag of the key ends an open element of these names, up to the nearest of the second set.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -106,16 +107,21 @@ class Tree(HTMLParser):
                 return
 
 
-def _is_furniture(tag: str, attrs: dict[str, str], holds_content: bool, holds_heading: bool) -> bool:
+def _is_unseen(tag: str, attrs: dict[str, str]) -> bool:
     if tag in NEVER:
         return True
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
-        return True
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
+
+
+def _is_furniture(tag: str, attrs: dict[str, str], holds_content: bool, holds_heading: bool, share: float) -> bool:
+    """Of what is seen; ``share`` is the node's part of the page's text outside links."""
     if holds_content or tag in ("", "body", "article", "main") and not _words(attrs) & {"comment", "comments"}:
         return False
     if tag == "header":
         return not holds_heading
-    return tag == "form" or bool(_words(attrs) & FURNITURE)
+    named = _words(attrs) & FURNITURE
+    # a name does not make furniture of what holds most of the text; comments may be longer than the article
+    return (tag == "form" or bool(named)) and share <= (0.9 if named & COMMENTS else 0.5)
 
 
 def _words(attrs: dict[str, str]) -> set[str]:
@@ -133,8 +139,16 @@ def main_text(html: str) -> str:
 
     # what each subtree holds, for the choice of furniture
     content, heading = [False] * count, [False] * count
+    linked, unseen, prose = [False] * count, [False] * count, [0] * count
+    for at in range(1, count):
+        up = parents[at]
+        linked[at] = tags[at] == "a" or linked[up]
+        unseen[at] = unseen[up] or _is_unseen(tags[at], tree.attrs[at])
+        if tags[at] == "" and not linked[at] and not unseen[at]:
+            prose[at] = len("".join(texts[at].split()))
     for at in range(count - 1, 0, -1):
         up = parents[at]
+        prose[up] += prose[at]
         if tags[at] in ("article", "main") and not _words(tree.attrs[at]) & {"comment", "comments"} or content[at]:
             content[up] = True
         if tags[at] == "h1" or heading[at]:
@@ -148,14 +162,13 @@ def main_text(html: str) -> str:
             region[at] = at
         inside = at and article[up] >= 0
         outer = content[at] or heading[at] and not inside
-        gone[at] = bool(at) and (gone[up] or _is_furniture(tags[at], tree.attrs[at], outer, heading[at] and inside))
+        share = prose[at] / max(1, prose[0])
+        gone[at] = bool(at) and (gone[up] or unseen[at] or _is_furniture(tags[at], tree.attrs[at], outer, heading[at] and inside, share))
         article[at] = at if tags[at] == "article" or tags[at] == "main" and not content[at] else article[up] if at else -1
 
     # characters, tags, and those of links, of every subtree
     chars, marks, link_chars, link_marks = [0] * count, [0] * count, [0] * count, [0] * count
-    linked = [False] * count
     for at in range(1, count):
-        linked[at] = tags[at] == "a" or linked[parents[at]]
         if tags[at] == "" and not gone[at]:
             chars[at] = len("".join(texts[at].split()))
             link_chars[at] = chars[at] if linked[at] else 0

@@ -106,6 +106,18 @@ def test_text_of_main_beside_the_article_stays():
     assert main_text(page(f"<main>{lead}<article>{inner}</article>{tail}</main>", MENU)) == plain(lead, inner, tail)
 
 
+@pytest.mark.parametrize("wrapper", ['div class="article-body share-enabled"', 'div class="content has-sidebar"', 'section id="legal-history"', 'form action="/"', 'div class="no-comments"'])
+def test_names_do_not_remove_most_of_the_text(wrapper):
+    inner = f"<{wrapper}>{FURNITURE[4]}<p>{LONG}</p><p>{MORE}</p></{wrapper.split()[0]}>"
+    assert main_text(page(inner, MENU)) == BODY
+    assert main_text(page(f"<article><h1>The headline</h1>{inner}</article>", MENU)) == f"The headline {BODY}"
+
+
+def test_long_comments_go():
+    comments = f'<div class="comments"><p>{"A comment that goes on. " * 60}</p></div>'
+    assert main_text(page(PARTS, MENU, comments)) == f"The headline {BODY}"
+
+
 def test_table(spark):
     rows = [(1, "u", page(ARTICLE, MENU), "x"), (1, "u", page(ARTICLE, MENU), "x"), (None, None, None, "y"), (3, "v", "", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
