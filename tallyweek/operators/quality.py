@@ -215,15 +215,16 @@ def distinct_lists(facts: DataFrame, columns: Sequence[str] = ("year", "state",
 def presence(facts: DataFrame, year: int = 2020, week: int = 1, total_year: int = 2019) -> DataFrame:
     """Is a given week there, which weeks of its year are, and a year's total.
 
-    Rows of weeks that no year has are left out. Rows are reduced to one per year and week before the weeks are listed.
+    Weeks that no year has are not listed; their rows count in the total. Rows are reduced to one per year and week before the weeks are listed.
     """
     weekly = (
-        facts.filter(F.col("year").isin(year, total_year) & (F.col("week").between(1, 53) | F.col("week").isNull()))
+        facts.filter(F.col("year").isin(year, total_year))
         .groupBy("year", "week")
         .agg(F.count(F.lit(1)).alias("rows"), total(F.col("deaths")).alias("deaths"))
     )
     here = (F.col("year") == year) & (F.col("week") == week)
-    weeks = F.sort_array(F.collect_set(F.when(F.col("year") == year, F.col("week"))))
+    listed = (F.col("year") == year) & F.col("week").between(1, 53)
+    weeks = F.sort_array(F.collect_set(F.when(listed, F.col("week"))))
     return weekly.agg(
         total(F.when(here, F.col("rows"))).alias("rows_in_week"),
         F.sum(F.when(here, F.col("deaths"))).alias("deaths_in_week"),

@@ -81,6 +81,11 @@ def test_presence(make, rows):
     assert rows(quality.presence(frame)) == [(0, None, "2,3", 8.0)]
 
 
+def test_presence_counts_weeks_that_no_year_has_in_the_total(make, rows):
+    frame = make(FACT, [(2020, 2, "US", 1.0), (2020, 99, "US", 1.0), (2019, 0, "US", 4.0), (2019, 54, "US", 2.0), (2019, 2, "US", 1.0), (2019, None, "US", 8.0)])
+    assert rows(quality.presence(frame)) == [(0, None, "2", 15.0)]
+
+
 def test_first_weeks(make):
     frame = make(FACT, [(2019, 1, "New York", 4.0), (2019, 2, "New York", 0.0), (2019, 6, "New York", 4.0), (2018, 1, "New York", 9.0)])
     assert [tuple(r) for r in quality.entity_first_weeks(frame).collect()] == [(1, 4.0)]
