@@ -291,23 +291,26 @@ def mix(
         F.array_sort(F.collect_list(F.struct("first", "shard", "blocks"))).alias("ranges")  # one entry per shard
     )
     drawn = F.pmod(F.col("block") * F.col("factor") + F.col("shift"), F.col("quota"))
+    shard = F.expr("try_element_at(filter(ranges, r -> _drawn >= r.first AND _drawn < r.first + r.blocks), 1).shard")
     pieces = (
-        pieces.join(lines, F.col("source").eqNullSafe(F.col("_of")))
+        pieces.join(lines, F.col("source").eqNullSafe(F.col("_of")), "left")
         .withColumn("_drawn", drawn)
-        .withColumn(
-            "shard",
-            F.expr("filter(ranges, r -> _drawn >= r.first AND _drawn < r.first + r.blocks)[0].shard"),
-        )
+        .withColumn("shard", F.coalesce(shard, F.raise_error(F.lit("no shard drew a block of the mix"))))
         .withColumn("place", F.xxhash64(F.lit(seed), "source", "block", "row_key"))
         .select("row_key", "shard", "place", "epoch", "from_word", "words")
     )
     return lined.drop("start", "words", "weight"), pieces
 
 
+def _drawn_words(name: str) -> Column:
+    """Words that shards drew; reading the shard raises an error for a block that none did."""
+    return F.sum(F.when(F.col("shard") >= 0, F.col("words"))).alias(name)
+
+
 def taken_words(docs: DataFrame, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken: the words that the mix takes of each document."""
     lined, pieces = mix(docs, **how)
-    sums = pieces.groupBy("row_key").agg(F.sum("words").alias("taken"))
+    sums = pieces.groupBy("row_key").agg(_drawn_words("taken"))
     return lined.join(sums, "row_key", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
@@ -321,7 +324,7 @@ def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     is such a column. Rows that agree in doc_id, source and text are interchangeable.
     """
     lined, pieces = mix(docs, **how)
-    copies = pieces.groupBy("row_key", "epoch").agg(F.sum("words").alias("_words")).join(lined, "row_key")
+    copies = pieces.groupBy("row_key", "epoch").agg(_drawn_words("_words")).join(lined, "row_key")
     copies = copies.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "_words", F.col("size").alias("_size")
     )

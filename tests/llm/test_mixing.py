@@ -144,3 +144,11 @@ def test_a_cut_copy_keeps_its_line_breaks(spark):
     rows = mixing.mixed_rows(docs).collect()
     assert all(texts[r.doc_id].startswith(r.text) for r in rows)
     assert any(r.text != texts[r.doc_id] for r in rows)
+
+
+def test_a_block_that_no_shard_drew_is_an_error(some_docs, monkeypatch):
+    real = mixing.shard_quotas
+    monkeypatch.setattr(mixing, "shard_quotas", lambda *given: real(*given).where("shard != 0"))
+    for found in (mixing.taken_words, mixing.mixed_rows):
+        with pytest.raises(Exception, match="no shard drew a block"):
+            found(some_docs, block_words=16).collect()
