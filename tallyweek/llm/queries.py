@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, ppm, quality_rules, sharding, substring_dedup
+from . import (
+    bpe,
+    exact_dedup,
+    html_text,
+    jaccard_join,
+    language_id,
+    mixing,
+    ppm,
+    prefix_tokens,
+    quality_rules,
+    sharding,
+    substring_dedup,
+)
 from .common import table
 
+#: Documents of more tokens are over the limit.
+TOKEN_LIMIT = 4096
+
 
 def vocabulary_path() -> str:
     import public_tokenizers
@@ -15,6 +30,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
@@ -65,6 +86,11 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefix_tokens.token_counts(table(spark, sf_dir, "documents"), piece_model_path())
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES = {
     "op1_mix_sources": mix_sources,
     "op2_substring_dedup": repeated_passages,
@@ -76,6 +102,7 @@ QUERIES = {
     "op8_language_id": language,
     "op9_quality_rules": quality,
     "op10_html_text": page_text,
+    "op13_prefix_tokens": token_counts,
 }
 
 SIZED = r"""
