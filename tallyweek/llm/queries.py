@@ -12,13 +12,14 @@ from . import (
     jaccard_join,
     language_id,
     mixing,
+    periodic_runs,
     ppm,
     prefix_tokens,
     quality_rules,
     sharding,
     substring_dedup,
 )
-from .common import table
+from .common import WORD, crc_of_id, table
 
 #: Documents of more tokens are over the limit.
 TOKEN_LIMIT = 4096
@@ -86,6 +87,51 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def planted_repetitions(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the tail of about every tenth text being the repetition of its first words.
+
+    With h the id's crc32 and g = floor(h / 10), the words from a = g mod n on repeat every
+    p = 1 + floor((n - a) / (3 + g mod 8)) words where 10 divides h; the other texts are as they are.
+    """
+    tenth = F.col("h") % 10 == 0
+    hashed = docs.select("doc_id", "text", crc_of_id(F.col("doc_id")).alias("h"))
+    split = hashed.withColumns(
+        {"words": F.when(tenth, F.filter(F.split("text", WORD.replace("[^", "[")), lambda w: w != "")), "g": F.expr("h div 10")}
+    )
+    sized = split.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    placed = sized.withColumns({"a": F.col("a").cast("int"), "p": period})
+    left = F.col("n") - F.col("a")
+    copies = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(left / F.col("p")).cast("int"))
+    words = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(F.flatten(copies), F.lit(1), left))
+    return placed.select("doc_id", F.when(tenth & (F.col("n") > 0), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def run_digests(docs: DataFrame) -> DataFrame:
+    """Per row the number of runs, the one with most periods, and digests of all runs and of the collapsed words."""
+    found = periodic_runs.find_runs(docs)
+    # runs come by start, then period, so the first of equals stays
+    most = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", F.lit(0)),
+        lambda best, run: F.when(run["length"] * best["period"] > best["length"] * run["period"], run).otherwise(best),
+    )
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    text = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("most", most).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "most.*",
+        F.expr("1000 * most.length div most.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(planted_repetitions(table(spark, sf_dir, "documents")))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix_tokens.token_counts(table(spark, sf_dir, "documents"), piece_model_path())
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -102,6 +148,7 @@ QUERIES = {
     "op8_language_id": language,
     "op9_quality_rules": quality,
     "op10_html_text": page_text,
+    "op11_periodic_runs": repetitions,
     "op13_prefix_tokens": token_counts,
 }
 
