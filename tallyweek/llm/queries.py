@@ -11,6 +11,7 @@ from . import (
     html_text,
     jaccard_join,
     language_id,
+    merkle_log,
     mixing,
     periodic_runs,
     ppm,
@@ -132,6 +133,32 @@ def repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(planted_repetitions(table(spark, sf_dir, "documents")))
 
 
+def dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
+def verified_manifest(docs: DataFrame, levels: int = merkle_log.LEVELS) -> DataFrame:
+    """Every document's proof, checked with its text, of every second document without line feeds."""
+
+    def leaf(text):
+        return merkle_log.digest_of([F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text])
+
+    touched = (crc_of_id(F.col("doc_id")) % 2 == 0) & F.col("text").contains("\n")
+    tampered = F.when(touched, leaf(F.translate("text", "\n", "")))
+    leaves = docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    proofs = merkle_log.manifest(leaves, "source", "doc_id", "leaf", levels).proofs()
+    checked = proofs.withColumn("folded_root", merkle_log.folded(F.coalesce("tampered", "leaf"), F.col("siblings")))
+    return checked.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle_log.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix_tokens.token_counts(table(spark, sf_dir, "documents"), piece_model_path())
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -149,6 +176,7 @@ QUERIES = {
     "op9_quality_rules": quality,
     "op10_html_text": page_text,
     "op11_periodic_runs": repetitions,
+    "op12_merkle_manifest": dataset_manifest,
     "op13_prefix_tokens": token_counts,
 }
 
@@ -243,5 +271,83 @@ WITH folded AS (
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
     doc_id = max(doc_id) OVER same AS kept, sha256(folded) AS text_sha256
 FROM folded WINDOW same AS (PARTITION BY folded)
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE crcs AS (
+    -- crc32 of the id's digits, bit by bit
+    SELECT DISTINCT doc_id, xor(list_reduce(
+        [4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), c -> ord(c)::BIGINT),
+        (crc, byte) -> list_reduce([xor(crc, byte)] || range(8), (r, bit) -> xor(r >> 1, 3988292384 * (r & 1)))
+    ), 4294967295) AS crc
+    FROM documents WHERE doc_id IS NOT NULL
+),
+parts AS (
+    SELECT d.doc_id, source, text, coalesce(crc, 0) % 2 = 0 AS tampers, list_transform(
+        [d.doc_id::VARCHAR, source, lang, n_chars::VARCHAR],
+        v -> CASE WHEN v IS NULL THEN '-' ELSE strlen(v)::VARCHAR || ':' || v END
+    ) AS parts
+    FROM documents d LEFT JOIN crcs c ON d.doc_id = c.doc_id
+),
+digests AS (
+    SELECT doc_id, source, sha256(array_to_string(parts, '') || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+        CASE WHEN tampers AND text IS NOT NULL THEN
+            sha256(array_to_string(parts, '') || strlen(replace(text, chr(10), ''))::VARCHAR || ':' || replace(text, chr(10), ''))
+        END AS tampered
+    FROM parts
+),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY source) AS n
+    FROM digests
+),
+nodes(source, level, place, n, digest) AS (
+    SELECT source, 0, place, n, leaf FROM leaves
+    UNION ALL
+    SELECT source, level + 1, place // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+    FROM nodes WHERE n > 1 GROUP BY source, level, place // 3
+),
+sources AS (
+    SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+),
+tops(level, place, n, digest) AS (
+    SELECT 0, place, n, subroot FROM sources
+    UNION ALL
+    SELECT level + 1, place // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+    FROM tops WHERE n > 1 GROUP BY level, place // 3
+),
+beside AS (
+    SELECT a.source, a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS before,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS after
+    FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.place // 3 = b.place // 3
+    WHERE a.n > 1 GROUP BY a.source, a.level, a.place
+),
+beside_top AS (
+    SELECT a.level, a.place, coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS before,
+        coalesce(string_agg(b.digest, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS after
+    FROM tops a JOIN tops b ON a.level = b.level AND a.place // 3 = b.place // 3
+    WHERE a.n > 1 GROUP BY a.level, a.place
+),
+paths AS (
+    SELECT l.source, l.place, list(before || '|' || after ORDER BY level) AS steps
+    FROM leaves l JOIN beside b ON l.source IS NOT DISTINCT FROM b.source AND l.place // pow(3, b.level)::BIGINT = b.place
+    GROUP BY l.source, l.place
+),
+top_paths AS (
+    SELECT s.source, list(before || '|' || after ORDER BY level) AS steps
+    FROM sources s JOIN beside_top b ON s.place // pow(3, b.level)::BIGINT = b.place GROUP BY s.source
+),
+proven AS (
+    SELECT l.doc_id, l.leaf, l.tampered, s.subroot, r.digest AS root, coalesce(p.steps, []) || coalesce(t.steps, []) AS steps
+    FROM leaves l JOIN sources s ON l.source IS NOT DISTINCT FROM s.source
+    JOIN (SELECT digest FROM tops WHERE n = 1) r ON true
+    LEFT JOIN paths p ON l.source IS NOT DISTINCT FROM p.source AND l.place = p.place
+    LEFT JOIN top_paths t ON l.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM (
+    SELECT *, list_reduce([coalesce(tampered, leaf)] || steps, (node, step) -> sha256(split_part(step, '|', 1) || node || split_part(step, '|', 2)))
+        AS folded_root FROM proven
+)
 """,
 }
