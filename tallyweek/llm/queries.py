@@ -276,15 +276,15 @@ FROM folded WINDOW same AS (PARTITION BY folded)
 WITH RECURSIVE crcs AS (
     -- crc32 of the id's digits, bit by bit
     SELECT DISTINCT doc_id, xor(list_reduce(
-        [4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), c -> ord(c)::BIGINT),
-        (crc, byte) -> list_reduce([xor(crc, byte)] || range(8), (r, bit) -> xor(r >> 1, 3988292384 * (r & 1)))
+        [4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+        lambda crc, byte: list_reduce([xor(crc, byte)] || range(8), lambda r, bit: xor(r >> 1, 3988292384 * (r & 1)))
     ), 4294967295) AS crc
     FROM documents WHERE doc_id IS NOT NULL
 ),
 parts AS (
     SELECT d.doc_id, source, text, coalesce(crc, 0) % 2 = 0 AS tampers, list_transform(
         [d.doc_id::VARCHAR, source, lang, n_chars::VARCHAR],
-        v -> CASE WHEN v IS NULL THEN '-' ELSE strlen(v)::VARCHAR || ':' || v END
+        lambda v: CASE WHEN v IS NULL THEN '-' ELSE strlen(v)::VARCHAR || ':' || v END
     ) AS parts
     FROM documents d LEFT JOIN crcs c ON d.doc_id = c.doc_id
 ),
@@ -346,7 +346,7 @@ proven AS (
 )
 SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM (
-    SELECT *, list_reduce([coalesce(tampered, leaf)] || steps, (node, step) -> sha256(split_part(step, '|', 1) || node || split_part(step, '|', 2)))
+    SELECT *, list_reduce([coalesce(tampered, leaf)] || steps, lambda node, step: sha256(split_part(step, '|', 1) || node || split_part(step, '|', 2)))
         AS folded_root FROM proven
 )
 """,
