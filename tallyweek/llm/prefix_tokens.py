@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 from pathlib import Path
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 #: Words and pairs that a worker remembers.
 REMEMBERED = 250_000
-#: A word longer than this is not remembered.
+#: The prefixes of a longer word are not remembered.
 LONGEST_REMEMBERED = 64
 #: Prefixes in a row of the stored table.
 BLOCK = 4096
@@ -37,10 +37,30 @@ BLOCK = 4096
 BLANK = "▁"
 
 
+class Remembered(dict):
+    """Values of a function, found once; those not asked for again make room for others."""
+
+    def __init__(self, find: Callable) -> None:
+        super().__init__()
+        self.find, self.before = find, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.find(key)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        if len(key) <= LONGEST_REMEMBERED:
+            self[key] = value
+        return value
+
+
 class Pieces:
     """A model's tokens with their ranks, and tables of words."""
 
     def __init__(self, path: str) -> None:
+        import ahocorasick
         from sentencepiece import sentencepiece_model_pb2 as described
 
         model = described.ModelProto()
@@ -66,14 +86,18 @@ class Pieces:
         self.rank = {piece: place[score] for piece, score in found.items() if len(piece) > 1}
         #: the last merge of each token that the merges do reach.
         self.split = {piece: halves for piece in self.rank if (halves := self._last_merge(piece))}
-        self.longest = max(map(len, self.split), default=1)
+        automaton = ahocorasick.Automaton()
+        for piece in self.split:
+            automaton.add_word(piece, piece)
+        automaton.make_automaton()
+        self.endings = automaton.iter if self.split else lambda word: ()
         joining = "".join(sorted({c for piece in self.split for c in piece} - {BLANK}))
         inside = f"[{re.escape(joining)}]" if joining else "(?!)"
         # blanks and a word, or a character that no token joins with another
         self.words = re.compile(f"{BLANK}+{inside}*|{inside}+|.", re.DOTALL).findall
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.totals: dict[str, int] = {}
-        self.tables: dict[str, array] = {}
+        self.apart = Remembered(self._stay_apart)
+        self.totals = Remembered(lambda word: self._count(word)[-1])
+        self.tables = Remembered(lambda word: array("q", self._count(word)[1:]))
 
     def _last_merge(self, piece: str) -> tuple[str, str] | None:
         """The two tokens of a token's last merge; None if merging its text gives something else."""
@@ -87,78 +111,62 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts[0], parts[1]
 
-    def stay_apart(self, left: str, right: str) -> bool:
+    def _stay_apart(self, pair: tuple[str, str]) -> bool:
         """Whether the two tokens are two again when their joined text is encoded.
 
         The later of the merges next to the border is undone, step by step; a merge across the border
         that comes before the undone one would have joined the two. Of equal ranks the right one is later.
         """
-        known = self.apart.get((left, right))
-        if known is not None:
-            return known
-        rank, a, b, until, good = self.rank, left, right, len(self.rank) + 2, True
+        rank, (a, b), until = self.rank, pair, len(self.rank) + 2
         while True:
             if rank.get(a + b, until) < until:
-                good = False
-                break
+                return False
             of_a, of_b = rank.get(a, 0), rank.get(b, 0)
             if not of_a and not of_b:
-                break
+                return True
             if of_a > of_b:
                 until, a = of_a, self.split[a][1]
             else:
                 until, b = of_b + 1, self.split[b][0]
-        if len(self.apart) >= REMEMBERED:
-            self.apart.clear()
-        self.apart[left, right] = good
-        return good
+
+    def _count(self, word: str) -> list[int]:
+        """Tokens of the word's prefixes of 0, 1, ... characters."""
+        n, apart = len(word), self.apart
+        last: list[str | None] = [None] * (n + 1)
+        counts = [0] + [-1] * n
+        done = 0
+        # matches come by their end, the longest first
+        for stop, token in self.endings(word):
+            while done < stop:
+                done += 1
+                if counts[done] < 0:
+                    self._one(word, done, last, counts)
+            end = stop + 1
+            if counts[end] < 0:
+                start = end - len(token)
+                before = last[start]
+                if before is None or apart[before, token]:
+                    last[end], counts[end] = token, counts[start] + 1
+        for end in range(done + 1, n + 1):
+            if counts[end] < 0:
+                self._one(word, end, last, counts)
+        return counts
+
+    def _one(self, word: str, end: int, last: list[str | None], counts: list[int]) -> None:
+        """A character that no longer token ends with: a token, or its bytes."""
+        character = word[end - 1]
+        if character in self.single:
+            last[end], counts[end] = character, counts[end - 1] + 1
+        else:
+            counts[end] = counts[end - 1] + len(character.encode())
 
     def table(self, word: str) -> array:
         """Tokens of the word's prefixes of 1, 2, ... characters."""
-        known = self.tables.get(word)
-        if known is not None:
-            return known
-        last: list[str | None] = [None] * (len(word) + 1)
-        counts = array("q", bytes(8 * (len(word) + 1)))
-        for end in range(1, len(word) + 1):
-            for length in range(min(self.longest, end), 1, -1):
-                token = word[end - length : end]
-                if token in self.split and ((before := last[end - length]) is None or self.stay_apart(before, token)):
-                    last[end], counts[end] = token, counts[end - length] + 1
-                    break
-            else:
-                character = word[end - 1]
-                if character in self.single:
-                    last[end], counts[end] = character, counts[end - 1] + 1
-                else:
-                    counts[end] = counts[end - 1] + len(character.encode())
-        counts = counts[1:]
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self.tables) >= REMEMBERED:
-                self.tables.clear()
-            self.tables[word] = counts
-        return counts
+        return self.tables[word] if len(word) <= LONGEST_REMEMBERED else array("q", self._count(word)[1:])
 
     def total(self, text: str) -> int:
         """Tokens of the whole text."""
-        if not text:
-            return 0
-        words, totals = self.words(self.start + text.replace(" ", BLANK)), self.totals
-        try:
-            return sum(map(totals.__getitem__, words))
-        except KeyError:
-            pass
-        if len(totals) >= REMEMBERED:
-            totals.clear()
-        found = 0
-        for word in words:
-            count = totals.get(word)
-            if count is None:
-                count = self.table(word)[-1]
-                if len(word) <= LONGEST_REMEMBERED:
-                    totals[word] = count
-            found += count
-        return found
+        return sum(map(self.totals.__getitem__, self.words(self.start + text.replace(" ", BLANK)))) if text else 0
 
     def prefixes(self, text: str) -> np.ndarray:
         """Tokens of the prefixes of 0, 1, ... characters, the last being the whole text."""

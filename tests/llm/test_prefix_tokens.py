@@ -75,7 +75,7 @@ def test_memory_is_bounded(library, monkeypatch):
     small = prefix_tokens.Pieces(piece_model_path())
     text = " ".join(f"word{n}s" for n in range(200))
     assert small.total(text) == len(library.encode(text)) == small.prefixes(text)[-1]
-    assert len(small.tables) <= 20 and len(small.apart) <= 20
+    assert all(len(kept) <= 20 and len(kept.before) <= 20 for kept in (small.tables, small.totals, small.apart))
 
 
 def test_query(spark, sf_dir, library):
