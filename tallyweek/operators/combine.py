@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -38,6 +38,13 @@ def with_completeness(df: DataFrame, name: str = "completeness") -> DataFrame:
     return df.withColumn(name, completeness(cells))
 
 
+def best_first(columns: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    """Order of the rows of one key by completeness and all their columns: the first is the one that stays."""
+    order = [F.desc("completeness")]
+    order += [F.asc_nulls_last(c) for c in ORDER_COLUMNS if c in columns]
+    return order + [F.asc_nulls_last(c) for c in columns if c not in ORDER_COLUMNS and c not in keys]
+
+
 def dedup_best(df: DataFrame, keys: Sequence[str] = ("year", "week", "state")) -> DataFrame:
     """Most complete row per key; ties go to the earlier source, then row.
 
@@ -47,10 +54,7 @@ def dedup_best(df: DataFrame, keys: Sequence[str] = ("year", "week", "state")) -
     per task.
     """
     scored = with_completeness(df)
-    order = [F.desc("completeness")]
-    order += [F.asc_nulls_last(c) for c in ORDER_COLUMNS if c in df.columns]
-    order += [F.asc_nulls_last(c) for c in df.columns if c not in ORDER_COLUMNS and c not in keys]
-    best = Window.partitionBy(*keys).orderBy(*order)
+    best = Window.partitionBy(*keys).orderBy(*best_first(df.columns, keys))
     return (
         scored.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") == 1)

@@ -29,6 +29,8 @@ class Rules:
     weekly_only: bool = True
     #: drop rows of the country series whose week is not between 1 and 53.
     check_weeks: bool = True
+    #: "drop" (reject and count), "keep" (cells as far as they go) or "fail": lines with too few or too many cells.
+    malformed: str = "drop"
     #: "sum", "data" or "none"; see ``operators.fold.fold_entities``.
     fold: str = "sum"
 
@@ -43,5 +45,6 @@ PARITY = Rules(
     relabel_first=False,
     weekly_only=False,
     check_weeks=False,
+    malformed="keep",
     fold="data",
 )

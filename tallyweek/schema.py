@@ -88,3 +88,12 @@ POPULATION = T.StructType(
         T.StructField("population", T.LongType()),
     ]
 )
+
+#: place of a row in the landed files.
+ROW_ORD = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("position", T.LongType()),
+    ]
+)

@@ -43,12 +43,16 @@ from tallyweek.schema import (
 log = logging.getLogger(__name__)
 
 
-def _unusable(df: DataFrame, required: list[str], source: str) -> DataFrame | None:
+def unusable(df: DataFrame, required: list[str], source: str) -> bool:
+    """Whether a layout lacks a column it needs, with a warning."""
     absent = missing_columns(df, required)
-    if not absent:
-        return None
-    log.warning("%s: column(s) %s not found, source treated as empty", source, absent)
-    return typed_empty(df.sparkSession, SOURCE)
+    if absent:
+        log.warning("%s: column(s) %s not found, source treated as empty", source, absent)
+    return bool(absent)
+
+
+def _unusable(df: DataFrame, required: list[str], source: str) -> DataFrame | None:
+    return typed_empty(df.sparkSession, SOURCE) if unusable(df, required, source) else None
 
 
 def _finish(df: DataFrame, label: str) -> DataFrame:

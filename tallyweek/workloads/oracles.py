@@ -751,7 +751,10 @@ for _name, _where in (
     oracle(_name, FP, OUTPUT.format("'orders'", "fp") + f" WHERE {_where}")
 
 
-def _compile(parity: bool, names: tuple[str, ...] = ("dated", "country", "packed", "prov")) -> str:
+ALL_SOURCES = ("dated", "country", "packed", "prov")
+
+
+def _compile(parity: bool, names: tuple[str, ...] = ALL_SOURCES, packed_deaths: str = "deaths", packed_from: int = 2015) -> str:
     """The whole batch on the raw layouts named, in typed form."""
     rule = f"greatest({sunday_week('moved')} - 1, 1)" if parity else mmwr_week("moved")
     us_date = "strftime(CAST(week_ending_date AS DATE), '%-m/%-d/%Y')"
@@ -777,8 +780,9 @@ r AS (SELECT nk, {_list(SOURCE_NAMES)}[nk + 1] AS state, year, week, week_ending
 dated AS (SELECT {dated_year} AS year, {rule} AS week, {dated_text} AS week_ending_date, state, deaths,
                  'Local 2019 File' AS data_source
   FROM r WHERE year = 2019 AND state <> 'United States' AND NOT (nk = 7 AND week % 10 = 0)),
-packed AS (SELECT year, week, CAST(NULL AS VARCHAR) AS week_ending_date, state, deaths, 'Archived NCHS' AS data_source
-  FROM r WHERE year BETWEEN 2015 AND 2018 AND nk % 9 <> 8 AND NOT (nk = 10 AND week = 7)),
+packed AS (SELECT year, week, CAST(NULL AS VARCHAR) AS week_ending_date, state, {packed_deaths} AS deaths,
+                  'Archived NCHS' AS data_source
+  FROM r WHERE year BETWEEN {packed_from} AND 2018 AND nk % 9 <> 8 AND NOT (nk = 10 AND week = 7)),
 prov AS (SELECT year, week, {provisional_text} AS week_ending_date, state, deaths + 1 AS deaths,
                 'CDC Provisional' AS data_source
   FROM r WHERE year >= 2020 AND NOT (nk = 11 AND week = 9) AND NOT (nk = 12 AND week = 3) AND NOT (nk = 13 AND week = 2)),
@@ -813,6 +817,68 @@ UNION ALL SELECT 6, 'provisional read', CAST(count(*) AS BIGINT) FROM r WHERE ye
 UNION ALL SELECT 7, 'provisional normalised', CAST(count(*) AS BIGINT) FROM merged WHERE source_ord = 3
 UNION ALL SELECT 8, 'cleaned', CAST(count(*) AS BIGINT) FROM deduped""",
 )
+oracle(
+    "recompile_revised",
+    _compile(False, packed_deaths="CASE WHEN year = 2016 THEN deaths * 2 ELSE deaths END", packed_from=2016),
+    OUTPUT.format("data_source", "out"),
+)
+oracle(
+    "sink_empty_extract",
+    FP,
+    """SELECT 'national' AS extract, CAST(0 AS BIGINT) AS rows
+UNION ALL SELECT 'states', CAST(count(*) AS BIGINT) FROM fp WHERE state <> 'United States'""",
+)
+_LABELS = {"dated": "Local 2019 File", "country": "World Mortality Dataset", "packed": "Archived NCHS", "prov": "CDC Provisional"}
+_ORDER = {"dated": 0, "country": 1, "packed": 2, "prov": 3}
+_LANDED = {"dated": "dated_file", "country": "country_series", "packed": "packed_week", "prov": "provisional"}
+# (source, reason, which raw rows) of the rows that leave before the fold
+_LOST = [
+    ("dated", "national total", "year = 2019 AND nk = 0"),
+    ("dated", "no count", "year = 2019 AND nk = 7 AND week % 10 = 0"),
+    ("country", "other country", "nk = 3"),
+    ("country", "not weekly", "nk = 0 AND week = 53"),
+    ("country", "outside the years", "nk = 0 AND week <> 53 AND year NOT BETWEEN 2015 AND 2020"),
+    ("packed", "other age group", "year <= 2019 AND nk % 9 = 8"),
+    ("packed", "outside the years", "year <= 2019 AND nk % 9 <> 8 AND (nk = 10 AND week = 7 OR year NOT BETWEEN 2015 AND 2018)"),
+    ("prov", "outside the years", "year >= 2019 AND (nk = 11 AND week = 9 OR year = 2019)"),
+    ("prov", "count not positive", "year >= 2020 AND nk = 13 AND week = 2"),
+    ("prov", "no valid week", "year >= 2020 AND nk = 12 AND week = 3"),
+]
+_REJECTS = [
+    f"SELECT '{_LANDED[name]}' AS source, 'normalise' AS stage, '{reason}' AS reason, count(*) AS rows FROM r WHERE {which}"
+    for name, reason, which in _LOST
+]
+for _name in ALL_SOURCES:
+    _read = f"SELECT count(*) FROM {_name}" if _name != "country" else "SELECT count(*) FROM merged WHERE source_ord = 1"
+    _merged = f"SELECT count(*) FROM merged WHERE source_ord = {_ORDER[_name]}"
+    _left = f"SELECT count(*) FROM deduped WHERE data_source = '{_LABELS[_name]}'"
+    _REJECTS += [
+        f"SELECT '{_LANDED[_name]}', 'fold', 'summed into another row', ({_read}) - ({_merged})",
+        f"SELECT '{_LANDED[_name]}', 'clean', 'less complete duplicate', ({_merged}) - ({_left})",
+    ]
+oracle(
+    "rejected_rows",
+    _compile(False),
+    "SELECT source, stage, reason, CAST(rows AS BIGINT) AS rows FROM (" + " UNION ALL ".join(_REJECTS) + ") WHERE rows > 0",
+)
+oracle(
+    "malformed_lines",
+    EVENTS
+    + """, cells AS (SELECT event_id % 5 AS kind, year || ',' || week AS start, strftime(ts, '%Y-%m-%d') AS date,
+  coalesce(label, '') AS state FROM ev),
+lines AS (SELECT CASE kind WHEN 1 THEN start || ',' || date || ',' || state WHEN 2 THEN start || ',' || date || ',' || state || ',7,extra'
+  ELSE start || ',"' || date || ',' || state || ',7' END AS line FROM cells WHERE kind IN (1, 2, 3))""",
+    "SELECT 'provisional' AS source, line, CAST(count(*) AS BIGINT) AS rows FROM lines GROUP BY line",
+)
+oracle(
+    "source_conflicts",
+    _compile(False),
+    """SELECT w.data_source AS kept_source, m.data_source AS source, CAST(count(*) AS BIGINT) AS keys,
+       CAST(count(*) FILTER (WHERE m.deaths = w.deaths) AS BIGINT) AS agreeing,
+       CAST(sum(abs(m.deaths - w.deaths)) AS DOUBLE) AS difference
+FROM merged m JOIN deduped w ON m.year = w.year AND m.week = w.week AND m.state = w.state AND m.data_source <> w.data_source
+GROUP BY ALL""",
+)
 oracle(
     "flagship_deviation",
     f"{BEST}, {baselines('best')}, {POP_ONLY}, {asof('b', 'pop', 'bp')}",

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from tallyweek.functions.calendar import epi_week, parse_date, shift_weeks, split_year_week, unparsed_dates, week_ending
 from tallyweek.functions.columns import compute_once, discover_columns
 from tallyweek.functions.numbers import round_half_even, to_number
-from tallyweek.operators import baseline, combine, filters, fold, metrics, quality, series
+from tallyweek.operators import baseline, combine, filters, fold, metrics, quality, reject, series
 from tallyweek.operators import population as pop
-from tallyweek.plans.compile import compile_facts, compile_landing, finish_facts
+from tallyweek.plans.compile import SOURCES, compile_facts, compile_landing, finish_facts, rejected_rows
 from tallyweek.rules import DEFAULT, PARITY, Rules
 from tallyweek.schema import CITY, CITY_PARENT, NATIONAL
 from tallyweek.sources import ingest
@@ -738,6 +738,61 @@ def flagship_landing_counts(spark, sf_dir):
     return counts.select(F.col("step").cast("int").alias("step"), "stage", F.col("rows").cast("bigint").alias("rows"))
 
 
+def _land(sources, root):
+    for name, rows in sources.items():
+        rows.write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
+
+
+@query
+def rejected_rows_(spark, sf_dir):
+    """All four sources landed: how many rows each loses where, and why."""
+    root = views.scratch(spark, "rejected")
+    _land(views.raw_sources(spark, sf_dir), f"{root}/in")
+    written = compile_landing(spark, f"{root}/in", views.facts_population(spark, sf_dir), f"{root}/out")
+    return scan_csv(spark, written["rejects"]).select("source", "stage", "reason", F.col("rows").cast("bigint").alias("rows"))
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    """A source whose lines are short, long, cut by an open quote or well formed; the malformed ones with their rows."""
+    root = views.scratch(spark, "malformed")
+    views.broken_lines(spark, sf_dir).write.mode("overwrite").options(header=True, sep="\x01", quote="").csv(f"{root}/in/provisional")
+    compile_landing(spark, f"{root}/in", views.facts_population(spark, sf_dir), f"{root}/out")
+    gone = rejected_rows(spark, f"{root}/out").filter(F.col("reason") == reject.MALFORMED_LINE)
+    return gone.groupBy("source", F.col("raw").alias("line")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def recompile_revised(spark, sf_dir):
+    """One source is replaced after a full run; only the years that it touches are compiled again."""
+    root = views.scratch(spark, "revised")
+    sources, population = views.raw_sources(spark, sf_dir), views.facts_population(spark, sf_dir)
+    _land(sources, f"{root}/in")
+    compile_landing(spark, f"{root}/in", population, f"{root}/out")
+    _land({"packed_week": views.revised_packed_week(sources["packed_week"])}, f"{root}/in")
+    written = compile_landing(spark, f"{root}/in", population, f"{root}/out", changed_only=True)
+    return scan_compiled(spark, written["compiled"], "parquet")
+
+
+@query
+def sink_empty_extract(spark, sf_dir):
+    """Facts without a national row: the extract is there, and empty."""
+    states = filters.split_national_state(_finished(spark, sf_dir))[1]
+    written = write_outputs(states, views.scratch(spark, "empty"))
+    parts = [scan_compiled(spark, written[name]).select(F.lit(name).alias("extract"), "state") for name in ("national", "states")]
+    counted = parts[0].unionByName(parts[1]).groupBy("extract").agg(F.count(F.lit(1)).alias("rows"))
+    names = spark.createDataFrame([("national",), ("states",)], "extract string")
+    return names.join(counted, "extract", "left").select("extract", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+@query
+def source_conflicts(spark, sf_dir):
+    """Which source displaces which where they overlap, and how far their counts differ."""
+    raw = views.raw_sources(spark, sf_dir)
+    merged = combine.union_sources([ingest_(raw[name], DEFAULT) for name, ingest_ in SOURCES.items()])
+    return reject.source_conflicts(reject.mark_cleaning(merged))
+
+
 @query
 def flagship_deviation(spark, sf_dir):
     """Two sources to the deviation series of the weeks that have a population."""

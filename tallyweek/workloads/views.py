@@ -269,3 +269,26 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             .alias("Total Deaths"),
         ),
     }
+
+
+def revised_packed_week(rows: DataFrame) -> DataFrame:
+    """A later edition of the packed file: 2015 is gone, the counts of 2016 are twice as high."""
+    year = F.substring("`MMWR Year/Week`", 1, 4)
+    twice = (F.col("All Deaths").cast("bigint") * 2).cast("string")
+    kept = rows.filter(year != "2015")
+    return kept.withColumn("All Deaths", F.when(year == "2016", twice).otherwise(F.col("All Deaths")))
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a provisional file as one column, whose name is the header: well formed, short, long, with an open quote."""
+    key = F.col("event_id")
+    start = F.concat_ws(",", F.col("year"), F.col("week"))
+    date, state = F.date_format("day", "yyyy-MM-dd"), F.coalesce("label", F.lit(""))
+    line = (
+        F.when(key % 5 == 0, F.concat_ws(",", start, date, state, F.lit("7")))
+        .when(key % 5 == 1, F.concat_ws(",", start, date, state))
+        .when(key % 5 == 2, F.concat_ws(",", start, date, state, F.lit("7,extra")))
+        .when(key % 5 == 3, F.concat(start, F.lit(',"'), date, F.lit(","), state, F.lit(",7")))
+        .otherwise(F.concat(start, F.lit(","), date, F.lit(',"'), state, F.lit('",7')))
+    )
+    return dirty_events(spark, sf_dir).select(line.alias("Year,MMWR Week,Week Ending Date,State,Total Deaths"))

@@ -18,7 +18,10 @@ def threshold(spark, request):
 
 
 #: These write files and read them back.
-WRITERS = {"sink_national", "sink_states", "scan_csv", "population_dim", "flagship_landing", "flagship_landing_counts"}
+WRITERS = {
+    "sink_national", "sink_states", "scan_csv", "population_dim", "flagship_landing", "flagship_landing_counts",
+    "rejected_rows", "malformed_lines", "recompile_revised", "sink_empty_extract",
+}
 LAZY = sorted(set(QUERIES) - WRITERS)
 
 
