@@ -47,18 +47,24 @@ def with_expected(df: DataFrame, base_year: int = BASE_YEAR, growth: float = GRO
 def _attach_means(facts: DataFrame, years: tuple[int, int], base_year: int, one_row_per_week: bool) -> DataFrame:
     if not one_row_per_week:
         return facts.join(seasonal_baseline(facts, years, base_year), SEASON, "left")
-    season = Window.partitionBy(*SEASON)
+    ordered = Window.partitionBy(*SEASON).orderBy("year")
+    season = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     known = F.col("state").isNotNull() & F.col("mmwr_week").isNotNull()
+    message = F.concat(F.lit("more than one row of state, week "), F.concat_ws(", ", *SEASON), F.lit(" in one year"))
+    # a year that follows itself, and every row of its group knows
+    facts_of = facts.withColumn("_again", F.lag("year").over(ordered) == F.col("year"))
+    again = F.coalesce(F.max("_again").over(season), F.lit(False))
 
     def mean(of_years):
-        return F.when(known, F.avg(F.when(of_years, F.col("deaths"))).over(season))
+        average = F.avg(F.when(of_years, F.col("deaths"))).over(season)
+        return F.when(known & again, F.raise_error(message).cast("double")).when(known, average)
 
-    return facts.withColumns(
+    return facts_of.withColumns(
         {
             "avg_2015_2019": mean(F.col("year").between(*years)),
             "baseline_2015": mean(F.col("year") == base_year),
         }
-    )
+    ).drop("_again")
 
 
 def with_baselines(
@@ -75,7 +81,9 @@ def with_baselines(
     number of rows per state and week. Compiled facts hold one row per state,
     year and week; say so with ``one_row_per_week``, and the means are taken
     over a window instead: a group is then as long as the list of years, and
-    the facts, with everything that produces them, are computed once.
+    the facts, with everything that produces them, are computed once. A week
+    with two rows of one year would count that year twice, so it is an error,
+    found by the same window and raised when a baseline is computed.
     """
     df = with_expected(_attach_means(facts, years, base_year, one_row_per_week), base_year, growth)
     return df.withColumns(

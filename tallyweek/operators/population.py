@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweek.functions.numbers import per_100k, ratio, round_half_even, total
@@ -66,3 +66,22 @@ def population_gap(population: DataFrame) -> DataFrame:
         total(parts).alias("parts"),
         (F.sum(national) - total(parts)).alias("gap"),
     )
+
+
+def population_runs(population: DataFrame, unit: int = 1000) -> DataFrame:
+    """Estimates that were not made for their year: carried over from year to year, or rounded.
+
+    One row per state and run of consecutive years with one value, where the run is longer than a year (``repeated``)
+    or the value a multiple of ``unit`` (``rounded``). A year that is missing or stands twice ends a run; rows without
+    state, year or value are left out.
+    """
+    known = population.dropna(subset=["state", "year", "population"]).select("state", "year", "population")
+    in_order = Window.partitionBy("state").orderBy("year", "population")
+    goes_on = (F.lag("population").over(in_order) == F.col("population")) & (F.lag("year").over(in_order) == F.col("year") - 1)
+    marked = known.withColumn("_starts", F.when(goes_on, 0).otherwise(1))
+    runs = marked.withColumn("_run", F.sum("_starts").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    found = runs.groupBy("state", "_run", "population").agg(
+        F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count(F.lit(1)).alias("years")
+    )
+    flags = found.withColumns({"repeated": F.col("years") > 1, "rounded": F.col("population") % unit == 0})
+    return flags.filter("repeated OR rounded").select("state", "first_year", "last_year", "years", "population", "repeated", "rounded")

@@ -176,9 +176,27 @@ def yearly_rate(national: DataFrame) -> DataFrame:
     )
 
 
+def week_bits(condition: Column | None = None, week: str = "week") -> tuple[Column, Column]:
+    """(slice, bits): the slice of 64 weeks that a week lies in, and an aggregate of the weeks of a slice as bits.
+
+    Weeks are whole numbers; those of a cleaned table all lie in slice 0. A set of weeks is 8 bytes that combine
+    before the shuffle, where a list or a distinct aggregate would move the weeks themselves. A row without a week,
+    or that does not meet the condition, adds none.
+    """
+    # the function takes a plain number of places; in SQL it varies by row
+    bits = F.expr(f"shiftleft(1L, CAST(pmod(CAST(`{week}` AS BIGINT), 64) AS INT))")
+    return F.floor(F.col(week).cast("long") / 64), F.bit_or(bits if condition is None else F.when(condition, bits))
+
+
+def distinct_weeks(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number of different weeks per key, as ``weeks``."""
+    part, bits = week_bits()
+    sets = rows.groupBy(*keys, part.alias("_slice")).agg(bits.alias("_bits"))
+    return sets.groupBy(*keys).agg(total(F.bit_count("_bits")).cast("bigint").alias("weeks"))
+
+
 def weeks_per_state(facts: DataFrame, year: int = 2019) -> DataFrame:
-    rows = facts.filter(F.col("year") == year).dropna(subset=["state"])
-    return rows.groupBy("state").agg(F.count_distinct("week").alias("weeks"))
+    return distinct_weeks(facts.filter(F.col("year") == year).dropna(subset=["state"]), ["state"])
 
 
 def coverage(facts: DataFrame, year: int = 2019, full: int = FULL_YEAR_WEEKS) -> DataFrame:
@@ -191,7 +209,7 @@ def coverage(facts: DataFrame, year: int = 2019, full: int = FULL_YEAR_WEEKS) ->
 
 
 def weeks_per_year(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("data_source", "year").agg(F.count_distinct("week").alias("weeks"))
+    return distinct_weeks(facts, ["data_source", "year"])
 
 
 def week_range(facts: DataFrame) -> DataFrame:
@@ -247,33 +265,34 @@ def entity_total(facts: DataFrame, entity: str = CITY_PARENT) -> DataFrame:
 def summary(facts: DataFrame, data_type: str = "combined", year: int = 2019) -> DataFrame:
     """One row describing a table; state tables also list states and coverage.
 
-    One pass: rows are reduced to state, year, source and week by hashing, then
-    to state, year and source, then grouped three ways at once (by year, by source, by state), then gathered. The lists hold
-    one entry per state, source or year of a cleaned table, so the jurisdiction
-    list bounds them. Sources come in order of first appearance.
+    One pass: rows are reduced to state, year and source by hashing, their weeks to bits (``week_bits``), then grouped
+    three ways at once (by year, by source, by state), then gathered. The lists hold one entry per state, source or
+    year of a cleaned table, so the jurisdiction list bounds them. Sources come in order of first appearance.
     """
-    weekly = facts.groupBy("state", "year", "data_source", "week").agg(
-        F.count(F.lit(1)).alias("n"), total(F.col("deaths")).alias("d")
-    )
-    cells = weekly.groupBy("state", "year", "data_source").agg(
-        F.sum("n").alias("n"),
-        F.sum("d").alias("d"),
+    part, bits = week_bits(F.col("year") == year)
+    cells = facts.groupBy("state", "year", "data_source", part.alias("slice")).agg(
+        F.count(F.lit(1)).alias("n"),
+        total(F.col("deaths")).alias("d"),
         F.min("week").alias("first_week"),
-        F.collect_set(F.when(F.col("year") == year, F.col("week"))).alias("weeks"),
+        bits.alias("bits"),
     )
     by = ["year", "data_source", "state"]
     first = F.struct("year", "first_week", "state")
     # grouping sets blank the keys of the other sets, so keep the originals
     cells = cells.withColumn("first", first)
-    level = F.grouping_id(*by)
-    sets = cells.groupingSets([["year"], ["data_source"], ["state"]], *by).agg(
+    level = F.grouping_id(*by, "slice")
+    sets = cells.groupingSets([["year"], ["data_source"], ["state", "slice"]], *by, "slice").agg(
         level.alias("level"),
         F.sum("n").alias("n"),
         F.sum("d").alias("d"),
         F.min("first").alias("first"),
-        F.array_size(F.array_distinct(F.flatten(F.collect_list("weeks")))).alias("weeks"),
+        F.bit_count(F.bit_or("bits")).alias("weeks"),
+    )
+    # a state's slices, one each in a cleaned table
+    sets = sets.groupBy("level", *by).agg(
+        F.sum("n").alias("n"), F.sum("d").alias("d"), F.min("first").alias("first"), total(F.col("weeks")).alias("weeks")
     )
-    per_year, per_source, per_state = (F.col("level") == code for code in (0b011, 0b101, 0b110))
+    per_year, per_source, per_state = (F.col("level") == code for code in (0b0111, 0b1011, 0b1100))
 
     def listed(condition: Column, *columns: str) -> Column:
         return F.sort_array(F.collect_list(F.when(condition, F.struct(*columns))))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyweek.functions.columns import typed_empty
+from tallyweek.functions.columns import completeness, typed_empty
 from tallyweek.functions.numbers import number_column
 from tallyweek.schema import FACT, NA_TOKENS, POPULATION
 from tallyweek.sources.publish import RUN, if_present, latest
@@ -84,6 +84,10 @@ def scan_csv(
     )
     if row_order:
         df = df.select("*", position.alias("row_ord"))
+    if MALFORMED in df.columns:
+        # the reader refuses queries of this column alone: it is bound to a cell, by what always holds
+        bound = F.length(F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit(""))) >= 0
+        df = df.withColumn(MALFORMED, F.when(bound, F.col(MALFORMED)))
     return blank_to_null(df)
 
 
@@ -107,9 +111,10 @@ def landed_files(spark: SparkSession, root: str, source: str) -> DataFrame | Non
 
 
 def malformed_lines(scanned: DataFrame) -> DataFrame:
-    """line and rows of the lines that a scan with ``rescue`` found malformed."""
+    """line, cells and rows of the lines that a scan with ``rescue`` found malformed; cells are those that hold a value."""
+    cells = completeness(c for c in scanned.columns if c not in (MALFORMED, "row_ord"))
     lines = scanned.filter(F.col(MALFORMED).isNotNull())
-    return lines.groupBy(F.col(MALFORMED).alias("line")).agg(F.count(F.lit(1)).alias("rows"))
+    return lines.groupBy(F.col(MALFORMED).alias("line"), cells.alias("cells")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def read_years(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,15 @@ from tallyweek.sources.publish import Edition, following, if_present, latest, pu
 
 #: how a partition of rows without a year is named.
 NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
+#: Small jobs that run side by side.
+WRITERS = 6
+
+
+def together(jobs: Mapping[str, Callable[[], None]]) -> None:
+    """Run small independent jobs side by side: none of them fills a cluster. The first error is raised."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(job) for job in jobs.values()]:
+            done.result()
 
 
 def write_csv(df: DataFrame, path: str, sort: list[str]) -> None:
@@ -45,8 +55,12 @@ def write_extracts(table: DataFrame, out: str, run: str) -> dict[str, dict[str,
     An extract without rows is a header, so no earlier run's rows stay behind.
     """
     national, states = split_national_state(table)
-    for name, part, sort in (("national", national, ["year", "week"]), ("states", states, ["year", "week", "state"])):
-        write_csv(part, f"{out}/{name}/run={run}", sort)
+    together(
+        {
+            "national": lambda: write_csv(national, f"{out}/national/run={run}", ["year", "week"]),
+            "states": lambda: write_csv(states, f"{out}/states/run={run}", ["year", "week", "state"]),
+        }
+    )
     return {name: {"": f"{name}/run={run}"} for name in ("national", "states")}
 
 
@@ -76,6 +90,5 @@ def places(edition: Edition, out: str) -> dict[str, str]:
 
 def write_reports(reports: Mapping[str, DataFrame], out: str, run: str) -> dict[str, dict[str, str]]:
     """Each report as lines of JSON in a folder of its name; they hold lists and maps."""
-    for name, report in reports.items():
-        report.write.json(f"{out}/reports/{name}/run={run}")
+    together({name: lambda report=report, name=name: report.write.json(f"{out}/reports/{name}/run={run}") for name, report in reports.items()})
     return {name: {"": f"reports/{name}/run={run}"} for name in reports}

@@ -888,3 +888,14 @@ oracle(
 FROM bp WHERE round_even(deaths / CAST(population AS DOUBLE) * 100000 * 10, 0) / 10 > 0
 GROUP BY year, mmwr_week""",
 )
+oracle(
+    "population_runs",
+    POP_ONLY
+    + """, held AS (SELECT state, year, CASE WHEN nk % 4 = 0 THEN population // 1000 * 1000 + 1
+    WHEN nk % 4 = 1 AND year >= 2018 THEN population // 500 * 500 ELSE population END AS population FROM pop),
+islands AS (SELECT *, year - row_number() OVER (PARTITION BY state, population ORDER BY year) AS island FROM held),
+runs AS (SELECT state, min(year) AS first_year, max(year) AS last_year, CAST(count(*) AS BIGINT) AS years, population
+  FROM islands GROUP BY state, population, island)""",
+    """SELECT *, CAST(years > 1 AS INT) AS repeated, CAST(population % 1000 = 0 AS INT) AS rounded FROM runs
+WHERE years > 1 OR population % 1000 = 0""",
+)

@@ -324,6 +324,16 @@ def population_gap(spark, sf_dir):
     return pop.population_gap(views.facts_population(spark, sf_dir))
 
 
+@query
+def population_runs(spark, sf_dir):
+    """Every fourth nation has one value for all years, every fourth but one a rounded one from 2018 on."""
+    rows, value = views.population(spark, sf_dir), F.col("population")
+    value = F.when(F.col("nk") % 4 == 0, F.floor(value / 1000) * 1000 + 1).otherwise(value)
+    value = F.when((F.col("nk") % 4 == 1) & (F.col("year") >= 2018), F.floor(value / 500) * 500).otherwise(value)
+    runs = pop.population_runs(rows.withColumn("population", value.cast("bigint")))
+    return runs.withColumns({"repeated": F.col("repeated").cast("int"), "rounded": F.col("rounded").cast("int")})
+
+
 @query
 def join_population(spark, sf_dir):
     rows = pop.attach_population(views.weekly(spark, sf_dir), views.population(spark, sf_dir), tolerance=0)

@@ -190,3 +190,36 @@ def test_totals_do_not_depend_on_row_order(spark):
             row = metrics.headline(spark.createDataFrame(rows, schema).repartition(parts)).first()
             found.add((row.total_above_avg, row.total_above_expected))
     assert found == {(round(sum(values) * 5) // 5,) * 2}
+
+
+def test_two_rows_of_a_week_are_an_error(make, rows):
+    from pyspark.errors import PySparkException
+
+    columns = "state string, year int, mmwr_week int, deaths double"
+    unique = [("Ohio", 2015, 1, 4.0), ("Ohio", 2016, 1, 6.0), ("Ohio", 2016, 2, 1.0), ("Texas", 2016, 1, 9.0)]
+    # rows without a key have no baseline, however many there are
+    loose = [(None, 2016, 1, 1.0), (None, 2016, 1, 1.0), ("Ohio", 2016, None, 1.0), ("Ohio", 2016, None, 1.0), ("Ohio", None, 2, 1.0)]
+    found = baseline.with_baselines(make(columns, unique + loose), one_row_per_week=True)
+    general = baseline.with_baselines(make(columns, unique + loose))
+    assert rows(found, *sorted(found.columns)) == rows(general, *sorted(found.columns))
+    twice = make(columns, [*unique, ("Ohio", 2016, 1, 6.0)])
+    with pytest.raises(PySparkException, match="more than one row"):
+        baseline.with_baselines(twice, one_row_per_week=True).collect()
+    # also for a year that does not hold the second row
+    with pytest.raises(PySparkException, match="Ohio, 1"):
+        baseline.with_baselines(twice, one_row_per_week=True).filter("year = 2015").select("deviation_from_avg").collect()
+    assert len(baseline.with_baselines(twice).collect()) == 5
+
+
+def test_population_runs(make, rows):
+    values = [
+        ("Maryland", 2021, 6165129), ("Maryland", 2022, 6164660), ("Maryland", 2023, 6164660), ("Maryland", 2024, 6263000),
+        ("Ohio", 2020, 5), ("Ohio", 2022, 5), ("Texas", 2020, 7), ("Texas", 2020, 7), ("Utah", 2025, 3_500_000),
+        (None, 2020, 1000), ("Iowa", None, 1000), ("Iowa", 2020, None),
+    ]
+    found = population.population_runs(make("state string, year int, population bigint", values))
+    assert rows(found) == [
+        ("Maryland", 2022, 2023, 2, 6164660, True, False),
+        ("Maryland", 2024, 2024, 1, 6263000, False, True),
+        ("Utah", 2025, 2025, 1, 3500000, False, True),
+    ]

@@ -118,3 +118,26 @@ def test_summary(make):
 
 def test_summary_of_nothing(make):
     assert quality.summary(make(FACT + ", data_source string", []), "state").count() == 0
+
+
+def test_weeks_are_counted_as_bits(make, rows):
+    """Weeks beyond the usual, negative and missing ones, and the same week from two sources."""
+    weeks = [1, 1, 2, 53, 63, 64, 65, 128, -1, -64, 1_000_000, None]
+    facts = make(
+        "state string, year int, week int, data_source string, deaths double",
+        [("Ohio", 2019, w, "A", 1.0) for w in weeks]
+        + [("Ohio", 2019, 2, "B", 1.0), ("Ohio", 2018, 7, "A", 1.0), ("Texas", 2019, None, "A", 1.0), (None, 2019, 3, "A", 1.0)],
+    )
+    assert rows(quality.weeks_per_state(facts)) == [("Ohio", 10), ("Texas", 0)]
+    assert rows(quality.weeks_per_year(facts)) == [("A", 2018, 1), ("A", 2019, 11), ("B", 2019, 1)]
+    assert rows(quality.coverage(facts, full=10)) == [(2, 1, 5.0)]
+    row = quality.summary(facts, "state").collect()[0]
+    assert (row.total_records, row.total_deaths, row.coverage_2019.states_with_data) == (16, 16.0, 2)
+    assert row.coverage_2019.average_weeks_per_state == (10 + 1) / 2 and row.state_coverage == ["Ohio", "Texas"]
+
+
+@pytest.mark.parametrize("report", [quality.coverage, lambda facts: quality.summary(facts, "state"), quality.weeks_per_year])
+def test_no_list_of_weeks_is_collected(make, report):
+    facts = make("state string, year int, week int, data_source string, deaths double", [("Ohio", 2019, 1, "A", 1.0)])
+    plan = report(facts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set(" not in plan and "flatten(" not in plan and "distinct week" not in plan and "bit_or(" in plan
