@@ -8,7 +8,7 @@ files only and compile the years again that they touch.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from tallyweek.schema import FACT, JURISDICTIONS, ROW_ORD, SOURCE_COLUMNS
 from tallyweek.sources.marks import MARKS, marked_layout, normalised
 from tallyweek.sources.publish import Edition, Landed, following, latest, publish
 from tallyweek.sources.scan import landed_files, read_years, scan_csv
-from tallyweek.sources.sinks import NO_YEAR, places, write_extracts, write_reports, write_years
+from tallyweek.sources.sinks import NO_YEAR, places, together, write_extracts, write_reports, write_years
 
 #: Steps whose rows the batch counts.
 STEPS = [f"{name} {step}" for name in SOURCES for step in ("read", "normalised")] + ["cleaned"]
@@ -152,7 +152,8 @@ def compile_landing(
         years = _years(_rows(spark, out, reuse.tables["rows"], left)) | _years(_rows(spark, out, added, {k: inputs[k] for k in fresh}))
 
     # a source whose files all lack a column it needs has no rows and is as absent as one without files
-    present = {r.source for r in rows.select("source").distinct().collect()}
+    landed = {(r.source, r.reason): r.n for r in rows.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    present = {source for source, _ in landed}
     untouched = {} if years is None else {y: p for y, p in reuse.tables["cleaned"].items() if y != NO_YEAR and int(y) not in years}
     new = write_years(_clean(rows, present, rules, jurisdictions, years), out, "cleaned", run, ("verdict",))
     cleaned = read_years(spark, out, "cleaned", untouched | new, CLEANED)
@@ -162,23 +163,26 @@ def compile_landing(
 
     table = read_years(spark, out, "compiled", compiled)
     tables = {"rows": parts, "cleaned": untouched | new, "compiled": compiled}
-    tables |= write_extracts(table, out, run)
-    tables |= _write_counts(rows, cleaned, out, run)
-    tables |= write_reports(reports(table) | {"source_conflicts": reject.source_conflicts(cleaned)}, out, run)
+    described = reports(table) | {"source_conflicts": reject.source_conflicts(cleaned)}
+    for written in together(
+        lambda: write_extracts(table, out, run),
+        lambda: _write_counts(landed, cleaned, out, run),
+        lambda: write_reports(described, out, run),
+    ):
+        tables |= written
     edition = Edition(number, run, tables, inputs, settings)
     publish(spark, out, edition)
     return places(edition, out)
 
 
-def _write_counts(rows: DataFrame, cleaned: DataFrame, out: str, run: str) -> dict[str, dict[str, str]]:
+def _write_counts(landed: Mapping[tuple[str, str | None], int], cleaned: DataFrame, out: str, run: str) -> dict[str, dict[str, str]]:
     """Rows after each of STEPS, and rows that left by source, stage and reason.
 
     Both are sums of the same two counts per source and reason, of which there are a few dozen: what a source
     has read is what it rejects, sums into others and passes on.
     """
-    spark = rows.sparkSession
+    spark = cleaned.sparkSession
     names = list(SOURCES)
-    landed = {(r.source, r.reason): r.n for r in rows.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n")).collect()}
     by_source = cleaned.groupBy("source_ord", "reason").agg(F.count(F.lit(1)).alias("n")).collect()
     merged = {(names[r.source_ord], r.reason): r.n for r in by_source}
     counts, rejected = [], []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +21,10 @@ NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
 WRITERS = 6
 
 
-def together(jobs: Mapping[str, Callable[[], None]]) -> None:
-    """Run small independent jobs side by side: none of them fills a cluster. The first error is raised."""
+def together(*jobs: Callable[[], object]) -> list:
+    """Run small independent jobs side by side, as none of them fills a cluster; their results, or the first error."""
     with ThreadPoolExecutor(WRITERS) as pool:
-        for done in [pool.submit(job) for job in jobs.values()]:
-            done.result()
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
 
 
 def write_csv(df: DataFrame, path: str, sort: list[str]) -> None:
@@ -56,10 +56,8 @@ def write_extracts(table: DataFrame, out: str, run: str) -> dict[str, dict[str,
     """
     national, states = split_national_state(table)
     together(
-        {
-            "national": lambda: write_csv(national, f"{out}/national/run={run}", ["year", "week"]),
-            "states": lambda: write_csv(states, f"{out}/states/run={run}", ["year", "week", "state"]),
-        }
+        lambda: write_csv(national, f"{out}/national/run={run}", ["year", "week"]),
+        lambda: write_csv(states, f"{out}/states/run={run}", ["year", "week", "state"]),
     )
     return {name: {"": f"{name}/run={run}"} for name in ("national", "states")}
 
@@ -90,5 +88,5 @@ def places(edition: Edition, out: str) -> dict[str, str]:
 
 def write_reports(reports: Mapping[str, DataFrame], out: str, run: str) -> dict[str, dict[str, str]]:
     """Each report as lines of JSON in a folder of its name; they hold lists and maps."""
-    together({name: lambda report=report, name=name: report.write.json(f"{out}/reports/{name}/run={run}") for name, report in reports.items()})
+    together(*(partial(report.write.json, f"{out}/reports/{name}/run={run}") for name, report in reports.items()))
     return {name: {"": f"reports/{name}/run={run}"} for name in reports}
