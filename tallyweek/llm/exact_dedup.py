@@ -116,9 +116,9 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     the first by the hash of all columns stays.
     """
     rows, heavy = _split(docs, counters)
-    names = [F.col(f"`{name}`") for name in docs.columns]
     losers = heavy.select(F.col("digest").alias("_heavy"), F.col("winner.doc_id").alias("_stays"))
-    marked = docs.withColumn("_digest", _digest()).join(
+    # the row travels as one column, so no name in it meets a name of this function
+    marked = docs.select("doc_id", _digest().alias("_digest"), F.struct("*").alias("_row")).join(
         F.broadcast(losers), (F.col("_digest") == F.col("_heavy")) & ~F.col("doc_id").eqNullSafe(F.col("_stays")), "left_anti"
     )
     groups = (
@@ -132,10 +132,6 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     )
     marked = marked.join(cut(groups), F.col("_digest") == F.col("_of"), "left")
     marked = marked.where(F.col("_of").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep_id")))
-    repeated = (
-        marked.where(F.col("_same") > 1)
-        .groupBy("_digest")
-        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("_row"))
-        .select("_row.*")
-    )
-    return marked.where(F.col("_of").isNull() | (F.col("_same") == 1)).select(*names).unionByName(repeated)
+    repeated = marked.where(F.col("_same") > 1).groupBy("_digest").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    ones = marked.where(F.col("_of").isNull() | (F.col("_same") == 1))
+    return ones.select("_row").unionByName(repeated.select("_row")).select("_row.*")

@@ -358,7 +358,6 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, blo
     Rows without shingles are linked with nothing and all stay. Among rows of a group with that doc_id the
     first by the hashes of the text and of all columns stays.
     """
-    names = [F.col(f"`{name}`") for name in docs.columns]
     groups = cut(linked_groups(docs, width, percent, block_bytes).where("n_shingles > 0"))
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     best = groups.groupBy(F.col("root").alias("_root")).agg(F.min(place).alias("_best"), F.count("*").alias("_rows")).where("_rows > 1")
@@ -368,13 +367,8 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, blo
     # a row per text that goes, and per text that stays once of several equal rows
     marks = judged.groupBy("_id", "_text").agg(F.max("_stays").alias("_stays"), F.count("*").alias("_times"))
     marks = cut(marks.where("NOT _stays OR _times > 1"))
-    marked = docs.withColumn("_key", F.xxhash64("text")).join(
-        marks, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")), "left"
-    )
-    repeated = (
-        marked.where("_stays")
-        .groupBy("_id", "_text")
-        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("_row"))
-        .select("_row.*")
-    )
-    return marked.where("_stays IS NULL").select(*names).unionByName(repeated)
+    # the row travels as one column, so no name in it meets a name of this function
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_key"), F.struct("*").alias("_row"))
+    marked = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")), "left")
+    repeated = marked.where("_stays").groupBy("_id", "_text").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return marked.where("_stays IS NULL").select("_row").unionByName(repeated.select("_row")).select("_row.*")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RANK_ROWS, WORD, cut, word_count
+from .common import RANK_ROWS, cut, word_count
 
 WEIGHTS = (5, 2, 1)
 #: No document is taken more often.
@@ -224,8 +224,8 @@ def mix(
     agree in doc_id are separate documents that stand next to each other. An empty table gives two
     empty results; other columns are not read.
 
-    Targets are met to the word, which cuts one copy of a source; with ``whole_documents`` no copy is
-    cut, and a source's words are as near to its target as ``at_documents`` brings them.
+    Targets are met to the word, so one copy of a source counts with a part of its words; with ``whole_documents``
+    every copy counts whole, and a source's words are as near to its target as ``at_documents`` brings them.
     """
     sized = cut(
         docs.select(
@@ -316,39 +316,42 @@ def taken_words(docs: DataFrame, **how) -> DataFrame:
     )
 
 
-def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The mix as rows of ``docs``: one for each time a document is taken.
+def mixed_rows(docs: DataFrame, seed: str = SEED, shards: int = 16, placed: tuple[str, str] | None = None, **how) -> DataFrame:
+    """The mix as rows of ``docs``, each unchanged: one for each time a document is taken, by shard in the order of place.
 
-    With ``whole_documents`` every row is an unchanged row of ``docs``. Without it the one copy of a source
-    that its target cuts has its first words only, with the blanks between them, and its own n_chars, if there
-    is such a column. Rows that agree in doc_id, source and text are interchangeable.
+    A copy belongs to the shard that drew the block with its first word; within a shard copies stand in a shuffled
+    order. A partition of the result is a stretch of one shard, so written files follow both. ``placed`` names two
+    columns that get shard and place (an unsigned order as a hash). Rows that agree in doc_id, source and text are
+    interchangeable. What ``mix`` says of nulls, blank texts and empty tables holds; no copy is cut.
     """
-    lined, pieces = mix(docs, **how)
-    copies = pieces.groupBy("row_key", "epoch").agg(_drawn_words("_words")).join(lined, "row_key")
+    if placed and set(placed) & set(docs.columns):
+        raise ValueError(f"{placed}: there are columns of that name")
+    lined, pieces = mix(docs, seed=seed, shards=shards, whole_documents=True, **how)
+    copies = pieces.groupBy("row_key", "epoch").agg(F.min_by("shard", "from_word").alias("_shard")).join(lined, "row_key")
     copies = copies.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "_words", F.col("size").alias("_size")
+        F.col("doc_id").alias("_id"),
+        F.col("source").alias("_source"),
+        F.col("text_key").alias("_key"),
+        "_shard",
+        F.xxhash64(F.lit(seed), "source", "doc_id", "text_key", "epoch", F.lit("place")).alias("_place"),
     )
-    names = [F.col(f"`{name}`") for name in docs.columns]
-    # equal rows are one here; each of them has its own copies on the other side
+    # equal rows are one here; each of them has its own copies on the other side. A row travels as one column
     ones = (
-        docs.groupBy(F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_source"), F.xxhash64("text").alias("_key"))
-        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("_row"))
-        .withColumnsRenamed({"_id": "_of_id", "_source": "_of_source", "_key": "_of_key"})
+        docs.select("doc_id", F.col("source").cast("string").alias("_s"), F.xxhash64("text").alias("_k"), F.struct("*").alias("_row"))
+        .groupBy(F.col("doc_id").alias("_of_id"), F.col("_s").alias("_of_source"), F.col("_k").alias("_of_key"))
+        .agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
     )
     taken = copies.join(
         ones,
         F.col("_id").eqNullSafe(F.col("_of_id")) & F.col("_source").eqNullSafe(F.col("_of_source")) & (F.col("_key") == F.col("_of_key")),
     )
-    whole = F.col("_words") == F.col("_size")
-    parts = F.regexp_extract_all(F.col("_row.text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))  # words with the blanks before them
-    begun = F.array_join(F.slice(parts, F.lit(1), F.col("_words").cast("int")), "")
-    out = taken.withColumn("_text", F.when(whole, F.col("_row.text")).otherwise(begun))
-    columns = []
-    for field in docs.schema.fields:
-        own = F.col(f"_row.`{field.name}`")
-        if field.name == "text":
-            own = F.col("_text")
-        elif field.name == "n_chars":
-            own = F.when(whole, own).otherwise(F.char_length("_text").cast(field.dataType))
-        columns.append(own.alias(field.name))
-    return out.select(*columns)
+    # a shard is as many stretches of place as the shuffle has partitions for it
+    stretches = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    stretch = F.expr(f"CAST(shiftrightunsigned(_place, 40) * {stretches} div {1 << 24} AS INT)")
+    ordered = (
+        taken.select("_shard", "_place", "_row")
+        .repartitionById(shards * stretches, F.col("_shard") * stretches + stretch)
+        .sortWithinPartitions("_shard", "_place")
+    )
+    added = [F.col(own).alias(name) for own, name in zip(("_shard", "_place"), placed or ())]
+    return ordered.select("_row.*", *added)

@@ -271,8 +271,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
     The statistics are computed once; a row goes if its doc_id and the hash of its text were rejected.
     """
-    names = [F.col(f"`{name}`") for name in docs.columns]
     rows, _ = _judged(docs, labels, **how)
     rejected = rows.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
-    return docs.withColumn("_key", F.xxhash64("text")).join(rejected, same, "left_anti").select(*names)
+    # the row travels as one column, so no name in it meets a name of this function
+    given = docs.select("doc_id", F.xxhash64("text").alias("_key"), F.struct("*").alias("_row"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text"))
+    return given.join(rejected, same, "left_anti").select("_row.*")

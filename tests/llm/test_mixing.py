@@ -92,16 +92,85 @@ def test_shards_draw_disjoint_blocks(some_docs):
     assert max(per_shard.values()) - min(per_shard.values()) < 0.1 * sum(per_shard.values())
 
 
+def copies_of(docs, **how):
+    lined, pieces = mixing.mix(docs, whole_documents=True, **how)
+    found = {r.row_key: r for r in lined.collect()}
+    return found, {(p.row_key, p.epoch) for p in pieces.collect()}
+
+
 def test_rows_of_the_mix(some_docs, odd_docs):
+    """A row for each copy, unchanged."""
     for docs in (some_docs, odd_docs):
         out = mixing.mixed_rows(docs)
         assert out.columns == docs.columns
-        taken = sum(r.taken for r in mixing.taken_words(docs).collect())
-        rows = out.collect()
-        assert sum(words(r.text) for r in rows) == taken
-        whole = {(r.doc_id, r.text) for r in docs.collect()}
-        cut = [r for r in rows if (r.doc_id, r.text) not in whole]
-        assert len(cut) <= len({r.source for r in rows})
+        rows, (found, copies) = out.collect(), copies_of(docs)
+        assert len(rows) == len(copies)
+        assert sum(words(r.text) for r in rows) == sum(found[key]["size"] for key, _ in copies)
+        given = {tuple(r) for r in docs.collect()}
+        assert all(tuple(r) in given for r in rows)
+
+
+def test_each_source_is_as_near_its_target_as_whole_documents_allow(spark):
+    """Every choice of one copy more or not of each document, on top of the copies that all have."""
+    docs = spark.range(150).selectExpr("id AS doc_id", "repeat('w\n', cast(3 + id * id % 90 AS int)) AS text", "'s' || id % 25 AS source")
+    found, copies = copies_of(docs)
+    sizes, taken = defaultdict(list), defaultdict(int)
+    for r in found.values():
+        sizes[r.source].append(r["size"])
+    for key, _ in copies:
+        taken[found[key].source] += found[key]["size"]
+    for source, target in {r.source: r.target for r in found.values()}.items():
+        own = sizes[source]
+        all_have = round(target) // sum(own) * sum(own)
+        choices = {all_have + sum(n for bit, n in enumerate(own) if chosen >> bit & 1) for chosen in range(1 << len(own))} - {0}
+        assert abs(taken[source] - round(target)) == min(abs(sum_ - round(target)) for sum_ in choices)
+
+
+def placed_rows(docs, **how):
+    out = mixing.mixed_rows(docs, placed=("in_shard", "at_place"), **how)
+    return [[(r.doc_id, r.source, r.in_shard, r.at_place) for r in part] for part in out.rdd.glom().collect()]
+
+
+def test_rows_come_by_shard_in_the_order_of_place(some_docs, spark):
+    parts = placed_rows(some_docs, shards=5, block_words=16)
+    unsigned = [(shard, place % (1 << 64)) for part in parts for _, _, shard, place in part]
+    shards = [shard for shard, _ in unsigned]
+    assert shards == sorted(shards) and set(shards) == set(range(5))
+    stretches = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 5)
+    tops = [(shard, place * stretches >> 64) for shard, place in unsigned]
+    assert tops == sorted(tops)
+    assert all(part == sorted(part, key=lambda r: (r[2], r[3])) for part in parts)
+    assert sorted(parts) == sorted(placed_rows(some_docs.repartition(3), shards=5, block_words=16))
+    with pytest.raises(ValueError):
+        mixing.mixed_rows(some_docs, placed=("source", "place"))
+
+
+def test_the_tree_decides_the_shard_of_a_row(some_docs, monkeypatch):
+    """The drawn ranges, recomputed from the tree, give every copy's shard; another tree gives others."""
+    how = {"shards": 5, "block_words": 16}
+    found, _ = copies_of(some_docs, **how)
+    real = mixing.split_quotas
+
+    _, pieces = mixing.mix(some_docs, whole_documents=True, **how)
+    blocks = defaultdict(lambda: defaultdict(int))
+    whole = defaultdict(int)
+    for p in pieces.collect():
+        blocks[found[p.row_key].source][p.shard] += 1
+        whole[found[p.row_key].source] += p.words
+    names = sorted(whole, key=lambda s: s.encode())
+    quotas = np.array([-(-whole[name] // 16) for name in names])
+    total = int(quotas.sum())
+    room = np.array([total * (at + 1) // 5 - total * at // 5 for at in range(5)])
+    number = int.from_bytes(mixing.SEED.encode()[:8], "big")
+    outer = real(np.array([total]), room, [number])[0]
+    tree = real(quotas, outer, [number, 1])
+    # shards without a block of a source have no piece of it, and no others are without
+    for at, name in enumerate(names):
+        assert {s for s in range(5) if tree[at, s]} == set(blocks[name])
+    rows = sorted(r for part in placed_rows(some_docs, **how) for r in part)
+    monkeypatch.setattr(mixing, "split_quotas", lambda *given: real(*given)[:, ::-1])
+    other = sorted(r for part in placed_rows(some_docs, **how) for r in part)
+    assert [r[:2] for r in rows] == [r[:2] for r in other] and [r[2] for r in rows] != [r[2] for r in other]
 
 
 def test_many_sources_are_split_in_two_tiers(spark, monkeypatch):
@@ -133,19 +202,11 @@ def test_whole_documents_come_nearest_to_the_target(spark, some_docs, odd_docs):
 def test_whole_documents_are_unchanged_rows(spark, some_docs, odd_docs):
     few = spark.range(60).selectExpr("id AS doc_id", "repeat('w\n', cast(3 + id * id % 90 AS int)) AS text", "'s' || id % 25 AS source")
     for docs in (some_docs, odd_docs, few):
-        before, after = docs.collect(), mixing.mixed_rows(docs, whole_documents=True).collect()
+        before, after = docs.collect(), mixing.mixed_rows(docs).collect()
         assert after and {(r.doc_id, r.text, r.source) for r in after} <= {(r.doc_id, r.text, r.source) for r in before}
         assert {r.source for r in after} == {r.source for r in before if words(r.text)}
 
 
-def test_a_cut_copy_keeps_its_line_breaks(spark):
-    docs = spark.range(40).selectExpr("id AS doc_id", "repeat(' one\ntwo\t three\n\n', cast(3 + id AS int)) AS text", "'s' || id % 5 AS source")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    rows = mixing.mixed_rows(docs).collect()
-    assert all(texts[r.doc_id].startswith(r.text) for r in rows)
-    assert any(r.text != texts[r.doc_id] for r in rows)
-
-
 def test_a_block_that_no_shard_drew_is_an_error(some_docs, monkeypatch):
     real = mixing.shard_quotas
     monkeypatch.setattr(mixing, "shard_quotas", lambda *given: real(*given).where("shard != 0"))
