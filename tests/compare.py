@@ -37,8 +37,8 @@ def table(columns, rows):
 
 
 KINDS = {
-    "int": "int", "bigint": "bigint", "double": "double", "string": "text", "date": "date",
-    "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "text", "DATE": "date",
+    "int": "int", "bigint": "bigint", "double": "double", "string": "text", "date": "date", "boolean": "boolean",
+    "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "text", "DATE": "date", "BOOLEAN": "boolean",
 }
 
 
