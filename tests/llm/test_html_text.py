@@ -125,3 +125,133 @@ def test_table(spark):
     text = f"The headline {BODY}"
     assert out == sorted([(1, "u", text, len(text))] * 2 + [(None, None, "", 0), (3, "v", "", 0)], key=repr)
     assert extract(pages.limit(0)).count() == 0
+
+
+STORY = "<p>One sentence of the story here.</p><p>Two sentences it has in all.</p>"
+SIDE = "<p>First line of the bar, and long.</p><p>Second line, longer than the rest of it.</p><p>Third line.</p><p>Fourth line.</p>" * 3
+
+
+@pytest.mark.parametrize(
+    "name", ["sidebar", "cookie-notice", "newsletter", "comments", "related-posts", "ad", "promo", "footer", "breadcrumbs", "popup", "consent"]
+)
+@pytest.mark.parametrize("times", [1, 20])
+def test_furniture_goes_however_long_it_is(name, times):
+    text = "Head One sentence of the story here. Two sentences it has in all."
+    for kind in ("class", "id"):
+        furniture = f'<div {kind}="{name}">{SIDE * times}</div>'
+        for story in (f"<article><h1>Head</h1>{STORY}</article>", f"<div><h1>Head</h1>{STORY}</div>", f"<main><h1>Head</h1>{STORY}</main>"):
+            assert main_text(page(story, before=furniture)) == text
+            assert main_text(page(story, after=furniture)) == text
+            assert main_text(page(story.replace("</p><p>", f"</p>{furniture}<p>"))) == text
+
+
+def test_a_name_that_tells_of_another_part_is_none():
+    for name in ("has-sidebar", "noComments", "with_newsletter", "content without-cookie"):
+        assert main_text(page(f"<p>Lead.</p><div class='{name}'>{STORY}</div>")).endswith("in all.")
+
+
+def test_furniture_that_is_all_there_is_stays_once():
+    both = f'<div class="promo">{STORY}</div><div class="sidebar"><p>Less.</p></div>'
+    assert main_text(page(both)) == "One sentence of the story here. Two sentences it has in all."
+
+
+@pytest.mark.parametrize("broken", ["<div>", "</div>", "</span>", "<p>", "<!-- ", '<a href="', "<a href='x ", "<a ", "<?", "</", "<td>", "<span></div>", "<b>", "<", "<li>"])
+def test_broken_pages_take_linear_time(broken):
+    import time
+
+    start = time.perf_counter()
+    found = main_text(f"<p>{LONG}</p><p>{MORE}</p>" + broken * (1_000_000 // len(broken)))
+    assert found.startswith(BODY) or broken == "<td>"
+    took = time.perf_counter() - start
+    assert took < 20, took
+
+
+def test_half_open_markup():
+    assert main_text("<p>a</p><!-- b <p>c</p>") == "a b c"
+    assert main_text("<p>a <!-- b --> c <!-- d --> e</p>") == "a c e"
+    assert main_text("<p>a</p><script><!-- x</script><p>b</p>") == "a b"
+    assert main_text("<p class=x id='y' hidden>a</p><p data-x=\"<b>\">b</p>") == "b"
+    assert main_text("<p>a<p class=\"ad\"\n>b</p><p>c</p ><P>d</P>") == "a c d"
+    assert main_text("<title>x</title><p>1 < 2 &lt; 3 <3</p><?php x ?><!DOCTYPE y>") == "1 < 2 < 3 <3"
+
+
+class Node:
+    def __init__(self, tag, children=(), text=""):
+        self.tag, self.children, self.text = tag, [], text
+        for child in children:
+            # text beside text is one text
+            if not child.tag and self.children and not self.children[-1].tag:
+                self.children[-1].text += child.text
+            else:
+                self.children.append(child)
+
+    def html(self):
+        return self.text if not self.tag else f"<{self.tag}>{''.join(c.html() for c in self.children)}</{self.tag}>"
+
+    def all(self):
+        yield self
+        for child in self.children:
+            yield from child.all()
+
+    def words(self):
+        return [w for node in self.all() for w in node.text.split()]
+
+    def counts(self, linked=False):
+        """Characters, tags below, characters in links, links below."""
+        linked = linked or self.tag == "a"
+        out = [len("".join(self.text.split())), 0, len("".join(self.text.split())) if linked else 0, 0]
+        for child in self.children:
+            c = child.counts(linked)
+            out = [out[0] + c[0], out[1] + c[1] + bool(child.tag), out[2] + c[2], out[3] + c[3] + (child.tag == "a")]
+        return out
+
+
+def brute_force(body):
+    """Composite text density written down as it is defined, every subtree walked anew."""
+    import math
+
+    above = {id(child): node for node in body.all() for child in node.children}
+    in_link = lambda n: n.tag == "a" or id(n) in above and in_link(above[id(n)])
+    chars, _, of_links, _ = body.counts()
+
+    def density(node):
+        c, t, lc, lt = node.counts(id(node) in above and in_link(above[id(node)]))
+        if not c:
+            return 0.0
+        other, t, lc_, lt = max(1, c - lc), max(1, t), max(1, lc), max(1, lt)
+        scale = math.log(c / other * lc_ + of_links / max(1, chars) * c + math.e)
+        return c / t * max(0.0, math.log(c / lc_ * t / lt)) / math.log(scale)
+
+    total = lambda node: sum(density(child) for child in node.children)
+    nodes = list(body.all())
+
+    def richest(node):
+        return max(node.all(), key=lambda n: (total(n), -nodes.index(n)))
+
+    centre = richest(body)
+    path = [centre]
+    while id(path[-1]) in above:
+        path.append(above[id(path[-1])])
+    threshold = min(map(density, path))
+    chosen = {id(n) for node in nodes if density(node) >= threshold for n in richest(node).all()}
+    return [w for node in nodes if id(node) in chosen for w in node.text.split()]
+
+
+def test_density_against_brute_force():
+    import random
+
+    draw = random.Random(4)
+
+    def grow(depth):
+        if depth == 0 or draw.random() < 0.3:
+            return Node("", text=" " + " ".join(f"w{draw.randrange(99)}" for _ in range(draw.choice([0, 1, 3, 30, 120]))) + " ")
+        tag = draw.choice(["div", "div", "section", "span", "a", "ul", "blockquote"]) if depth > 1 else draw.choice(["span", "a", "b"])
+        return Node(tag, [grow(depth - 1) for _ in range(draw.randrange(0, 5))])
+
+    partial = 0
+    for _ in range(300):
+        body = Node("body", [grow(4) for _ in range(draw.randrange(1, 6))])
+        expected = brute_force(body)
+        assert main_text("<html>" + body.html() + "</html>").split() == expected, body.html()
+        partial += 0 < len(expected) < len(body.words())
+    assert partial > 20
