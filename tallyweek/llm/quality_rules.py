@@ -40,12 +40,13 @@ def _matched(text: Column, pattern: str) -> Column:
     return (F.char_length(text) - F.char_length(F.regexp_replace(text, f"{pattern}+", ""))).cast("long")
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
+def text_statistics(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """Add the counts named in BASE and EXTRA; a null text counts like the empty one, with zeros.
 
     Columns of the same names are replaced. Words of three-word windows that occur twice are found
     by sorting each text's windows: a long holds the window's hash above its position, so equal
-    windows become neighbours. With n words the hash has 64 - log2(n) bits.
+    windows become neighbours. With n words the hash has 64 - log2(n) bits (at most ``hash_bits``, 1 to 64);
+    neighbours' words are compared, and where some differ the text's windows are sorted as words.
     """
     names = [*BASE, *EXTRA]
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -61,21 +62,32 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     )
     # bits for the position, per text
     step = step.withColumns({"n_words": F.size("_words").cast("long"), "_bits": F.length(F.bin(F.size("_words").cast("long")))})
+    windows = "sequence(0, CAST(n_words AS int) - 3)"
+    hashed = f"(xxhash64(_words[i], _words[i + 1], _words[i + 2]) & {-1 << (64 - hash_bits)}L)"
     keys = (
-        "CASE WHEN n_words < 4 THEN CAST(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, CAST(n_words AS int) - 3), "
-        "i -> coalesce(shiftleft(shiftrightunsigned(xxhash64(_words[i], _words[i + 1], _words[i + 2]), _bits), _bits) | i, 0L))) END"
+        "CASE WHEN n_words < 4 THEN CAST(array() AS array<bigint>) ELSE sort_array(transform("
+        f"{windows}, i -> coalesce(shiftleft(shiftrightunsigned({hashed}, _bits), _bits) | i, 0L))) END"
     )
     step = compute_once(step, {"_keys": F.expr(keys)})
-    # both positions of neighbours with one hash
-    same = (
-        "zip_with(slice(_keys, 1, greatest(size(_keys) - 1, 0)), slice(_keys, 2, greatest(size(_keys) - 1, 0)), (a, b) -> "
+    # the two positions of neighbours with one hash
+    pairs = (
+        "filter(zip_with(slice(_keys, 1, greatest(size(_keys) - 1, 0)), slice(_keys, 2, greatest(size(_keys) - 1, 0)), (a, b) -> "
         "IF(shiftrightunsigned(a, _bits) = shiftrightunsigned(b, _bits), "
-        "array(a & (shiftleft(1L, _bits) - 1), b & (shiftleft(1L, _bits) - 1)), NULL))"
+        "array(CAST(a & (shiftleft(1L, _bits) - 1) AS int), CAST(b & (shiftleft(1L, _bits) - 1) AS int)), NULL)), p -> p IS NOT NULL)"
     )
-    step = compute_once(step, {"_at": F.expr(f"sort_array(array_distinct(flatten(filter({same}, p -> p IS NOT NULL))))")})
+    step = compute_once(step, {"_pairs": F.expr(pairs)})
+    # where one hash stands for different windows, two neighbours differ; such a text's windows are compared as they are
+    differ = " OR ".join(f"_words[p[0] + {at}] <> _words[p[1] + {at}]" for at in range(3))
+    spelled = f"sort_array(transform({windows}, i -> struct(array(_words[i], _words[i + 1], _words[i + 2]) AS w, i AS at)))"
+    apart = (
+        f"flatten(zip_with(slice({spelled}, 1, CAST(n_words AS int) - 3), slice({spelled}, 2, CAST(n_words AS int) - 3), "
+        "(a, b) -> IF(a.w = b.w, array(a.at, b.at), CAST(array() AS array<int>))))"
+    )
+    found = f"CASE WHEN exists(_pairs, p -> {differ}) THEN {apart} ELSE flatten(_pairs) END"
+    step = compute_once(step, {"_at": F.expr(f"sort_array(array_distinct({found}))")})
     # a repeated window covers three words, or as many as there are up to the next one
     covered = (
-        "aggregate(zip_with(_at, slice(_at, 2, size(_at)), (a, b) -> least(coalesce(b - a, 3L), 3L)), 0L, (s, x) -> s + x)"
+        "aggregate(zip_with(_at, slice(_at, 2, size(_at)), (a, b) -> CAST(least(coalesce(b - a, 3), 3) AS bigint)), 0L, (s, x) -> s + x)"
     )
     return step.withColumns(
         {
@@ -88,7 +100,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
             "n_marks": _matched(F.col("_solid"), r"[\p{P}\p{S}]"),
             "n_digits": _matched(F.col("_solid"), r"[0-9]"),
         }
-    ).drop("_words", "_lines", "_solid", "_bits", "_keys", "_at")
+    ).drop("_words", "_lines", "_solid", "_bits", "_keys", "_pairs", "_at")
 
 
 def base_failed() -> Column:

@@ -36,6 +36,24 @@ def test_random_repetitions(spark):
         assert tuple(row[name] for name in quality_rules.BASE) == statistics(row.text), row.text
 
 
+@pytest.mark.parametrize("bits", [1, 3, 6])
+def test_windows_with_one_hash_are_told_apart(spark, odd_docs, bits):
+    """With so few bits most hashes stand for many windows."""
+    draw = random.Random(bits)
+    rows = [(n, " ".join(f"w{draw.randrange(3 + n)}" for _ in range(draw.randrange(0, 120)))) for n in range(120)]
+    for docs in (spark.createDataFrame(rows, "doc_id long, text string"), odd_docs):
+        for row in quality_rules.text_statistics(docs, hash_bits=bits).collect():
+            assert tuple(row[name] for name in quality_rules.BASE) == statistics(row.text), row.text
+
+
+def test_two_million_words(spark):
+    draw = random.Random(1)
+    words = [f"w{draw.randrange(600)}" for _ in range(2_000_000)]
+    text = " ".join(words)
+    row = quality_rules.text_statistics(spark.createDataFrame([(1, text)], "doc_id long, text string")).drop("text").collect()[0]
+    assert tuple(row[name] for name in quality_rules.BASE) == statistics(text)
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     """Bad where x is large, or where y is small and z large; a few labels are wrong."""
