@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,11 +19,15 @@ RANK_ROWS = 50_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, of ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests) a private one is made.
+    Where the session names none, a session that is one process (tests) gets a private one; on a cluster that is
+    an error, as a folder of this machine would be lost to the others.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-llm-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-llm-"))
     return context.getCheckpointDir()
 
 
