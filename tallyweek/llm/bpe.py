@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Pieces and pairs that a worker remembers.
+#: Pieces, and pairs of tokens, that a worker remembers at most.
 REMEMBERED = 250_000
+#: Longer pieces are not remembered (characters).
+LONGEST_REMEMBERED = 64
 #: Rows that are worked on at once.
 ROWS = 256
 
@@ -43,6 +45,30 @@ def byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + at): b for at, b in enumerate(others)}
 
 
+class Remembered(dict):
+    """What ``make`` gives for the keys asked for last; it is made again for those that were forgotten.
+
+    The keys in use and as many from before them are kept, ``REMEMBERED`` at most in all: when the first half is
+    full it becomes the second, so whatever is asked for often stays.
+    """
+
+    def __init__(self, make: Callable) -> None:
+        super().__init__()
+        self.make = make
+        self.before: dict = {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if not isinstance(key, str) or len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class Vocabulary:
     """Tokens in order of rank: single bytes first, then a token for each merge."""
 
@@ -56,31 +82,36 @@ class Vocabulary:
         self.special = {entry["content"]: entry["id"] for entry in described.get("added_tokens", [])}
         merges = [merge.split(" ") if isinstance(merge, str) else merge for merge in model["merges"]]
         self.tokens = [bytes([b]) for b in range(256)]
-        self.split = [(b, b) for b in range(256)]
+        # pairs are left * number of tokens + right, so no tuple is built to look one up
+        self.many = 256 + len({raw(left) + raw(right) for left, right in merges})
+        self.left, self.right = list(range(256)), list(range(256))
         rank = {token: at for at, token in enumerate(self.tokens)}
-        self.merged: dict[tuple[int, int], int] = {}
+        self.merged: dict[int, int] = {}
         for left, right in merges:
-            pair = rank[raw(left)], rank[raw(right)]
+            a, b = rank[raw(left)], rank[raw(right)]
             token = raw(left) + raw(right)
             if token in rank:  # a second way to a token never wins against the first
                 continue
-            rank[token] = self.merged[pair] = len(self.tokens)
+            rank[token] = self.merged[a * self.many + b] = len(self.tokens)
             self.tokens.append(token)
-            self.split.append(pair)
+            self.left.append(a)
+            self.right.append(b)
         self.ids = np.array([ids[token] for token in self.tokens], np.uint32)
         self.rank = rank
+        self.lengths = [len(token) for token in self.tokens]
         self.shorter = [self._prefix(token) for token in self.tokens]
+        self.coded = [int(number).to_bytes(4, "little") for number in self.ids]
         self.automaton = ahocorasick.Automaton()
         for at, token in enumerate(self.tokens):
-            self.automaton.add_word(token.decode("latin-1"), at)
+            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, at))
         self.automaton.make_automaton()
         known = {int(number): token for token, number in zip(self.tokens, self.ids, strict=True)}
         known |= {number: text.encode() for text, number in self.special.items()}
         blobs = [known.get(number, b"") for number in range(max(known) + 1)]
         self.offsets = np.cumsum([0, *map(len, blobs)])
         self.blob = np.frombuffer(b"".join(blobs), np.uint8)
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.fits = Remembered(lambda pair: self.compatible(*divmod(pair, self.many)))
+        self.pieces = Remembered(self.code)
 
     def _prefix(self, token: bytes) -> int:
         """The longest token that starts ``token`` and is shorter; -1 if there is none."""
@@ -92,53 +123,41 @@ class Vocabulary:
         Undo the later of the two merges next to the border, step by step; a merge across the
         border that comes before the undone one would have joined them.
         """
-        key = left, right
-        known = self.fits.get(key)
-        if known is not None:
-            return known
-        a, b = left, right
+        a, b, many, merged = left, right, self.many, self.merged.get
         # nothing with a rank from here on was merged yet
-        until = len(self.tokens)
-        good = True
+        until = many
         while True:
-            joined = self.merged.get((a, b))
-            if joined is not None and joined < until:
-                good = False
-                break
+            if merged(a * many + b, many) < until:
+                return False
             if a < 256 and b < 256:
-                break
+                return True
             if a > b:
                 until = a
-                a = self.split[a][1]
+                a = self.right[a]
             else:
                 # merges of equal rank run from left to right, so the right one is undone first
                 until = b + 1
-                b = self.split[b][0]
-        if len(self.fits) >= REMEMBERED:
-            self.fits.clear()
-        self.fits[key] = good
-        return good
+                b = self.left[b]
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ranks of the piece's tokens."""
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        longest = [0] * len(piece)
-        lengths = [0] * len(piece)
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            n = len(self.tokens[token])
-            if n > lengths[end - n + 1]:
-                lengths[end - n + 1], longest[end - n + 1] = n, token
+        size, lengths, fits, many = len(piece), self.lengths, self.fits, self.many
+        # matches come in the order of their ends, so the last from a start is the longest
+        longest = [0] * size
+        for end, (before, token) in self.automaton.iter(piece.decode("latin-1")):
+            longest[end - before] = token
         out: list[int] = []
         at, token, dead = 0, longest[0], set()
-        while at < len(piece):
+        while at < size:
             while True:
-                end = at + len(self.tokens[token])
-                if end not in dead and (not out or self.compatible(out[-1], token)):
+                end = at + lengths[token]
+                if end not in dead and (not out or fits[out[-1] * many + token]):
                     out.append(token)
                     at = end
-                    token = longest[at] if at < len(piece) else -1
+                    token = longest[at] if at < size else -1
                     break
                 shorter = self.shorter[token]
                 if shorter >= 0:
@@ -147,28 +166,17 @@ class Vocabulary:
                 # no token goes on from here: take the last one back and try a shorter one
                 dead.add(at)
                 token = out.pop()
-                at -= len(self.tokens[token])
+                at -= lengths[token]
         return out
 
+    def code(self, piece: str) -> bytes:
+        """Ids of a piece's tokens, as little-endian 32-bit integers."""
+        coded = self.coded
+        return b"".join([coded[token] for token in self.encode_piece(piece.encode())])
+
     def encode_text(self, text: str, findall) -> bytes:
         """Ids of a text without special tokens, as little-endian 32-bit integers."""
-        pieces = self.pieces
-        found = findall(text)
-        try:
-            return b"".join([pieces[piece] for piece in found])
-        except KeyError:
-            pass
-        if len(pieces) >= REMEMBERED:
-            pieces.clear()
-        out = []
-        for piece in found:
-            coded = pieces.get(piece)
-            if coded is None:
-                coded = self.ids[self.encode_piece(piece.encode())].astype("<u4").tobytes()
-                if len(piece) <= 64:
-                    pieces[piece] = coded
-            out.append(coded)
-        return b"".join(out)
+        return b"".join(map(self.pieces.__getitem__, findall(text)))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' bytes; unknown ids stand for nothing."""

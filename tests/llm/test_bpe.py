@@ -78,3 +78,32 @@ def test_memory_of_pieces_is_bounded(coder, known, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
     for text in ["some words here and there", "others come after them again", "some words here and there"]:
         same(coder, known, text)
+
+
+def test_pieces_in_use_stay_remembered(coder, known, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    words = bpe.Vocabulary(PATH)
+    plain, coded = words.encode_piece, []
+    monkeypatch.setattr(words, "encode_piece", lambda piece: coded.append(piece) or plain(piece))
+    for at in range(100):
+        text = f" common words qz{chr(97 + at // 10)}{chr(97 + at % 10)} " + "long" * 20
+        ids = np.frombuffer(words.encode_text(text, coder.findall), "<u4").tolist()
+        assert ids == known.encode(text, add_special_tokens=False).ids
+    assert coded.count(b" common") == coded.count(b" words") == 1
+    for memory in (words.pieces, words.fits):
+        assert 0 < len(memory) + len(memory.before) <= 40
+
+
+def test_pairs_of_tokens_against_their_joined_text(coder):
+    words, draw = coder.vocabulary, random.Random(6)
+    for _ in range(3000):
+        left, right = draw.randrange(len(words.tokens)), draw.randrange(len(words.tokens))
+        # merging in rank order, pair by pair
+        parts = [bytes([b]) for b in words.tokens[left] + words.tokens[right]]
+        while True:
+            ranked = [(words.merged.get(words.rank[a] * words.many + words.rank[b], words.many), at) for at, (a, b) in enumerate(zip(parts, parts[1:]))]
+            rank, at = min(ranked, default=(words.many, 0))
+            if rank == words.many:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        assert words.compatible(left, right) == (parts == [words.tokens[left], words.tokens[right]])
